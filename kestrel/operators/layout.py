@@ -86,7 +86,7 @@ def summary_averages(parts: DataFrame) -> DataFrame:
     s_t, s_w = F.col("suma_temp").cast("double"), F.col("suma_viento").cast("double")
     return parts.select(
         "*",
-        round_half_up(s_t / F.col("lecturas")).alias("temp_prom"),
-        round_half_up(s_w / F.col("lecturas")).alias("viento_prom_cero"),
-        round_half_up(s_w / F.col("n_viento")).alias("viento_prom"),
+        round_half_up(F.try_divide(s_t, F.col("lecturas"))).alias("temp_prom"),
+        round_half_up(F.try_divide(s_w, F.col("lecturas"))).alias("viento_prom_cero"),
+        round_half_up(F.try_divide(s_w, F.col("n_viento"))).alias("viento_prom"),
     )

@@ -2,7 +2,7 @@
 
 All row-level rules of a table are counted in one aggregate (one scan, partial aggregation);
 each uniqueness rule is one grouped count. The report is a small long frame:
-(check, table_name, column_name, violations).
+(check_name, table_name, column_name, violations).
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ def quality_report(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFram
     parts = []
     if row_rules:
         counts = df.agg(*[F.count_if(violation(r)).alias(f"r{i}") for i, r in enumerate(row_rules)])
-        entries = F.array(*[F.struct(F.lit(r.name).alias("check"), F.lit(table).alias("table_name"),
+        entries = F.array(*[F.struct(F.lit(r.name).alias("check_name"), F.lit(table).alias("table_name"),
                                      F.lit(r.column_label).alias("column_name"),
                                      F.col(f"r{i}").cast("long").alias("violations"))
                             for i, r in enumerate(row_rules)])
@@ -88,7 +88,7 @@ def quality_report(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFram
         if r.kind == "unique":
             dup = (df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
                    .agg(F.count(F.lit(1)).cast("long").alias("violations")))
-            parts.append(dup.select(F.lit(r.name).alias("check"), F.lit(table).alias("table_name"),
+            parts.append(dup.select(F.lit(r.name).alias("check_name"), F.lit(table).alias("table_name"),
                                     F.lit(r.column_label).alias("column_name"), "violations"))
     out = parts[0]
     for p in parts[1:]:

@@ -38,7 +38,7 @@ def daily_rollup(df: DataFrame, place: str, ts: str, temp: str, tiebreak: str, f
     day = local_date(ts, offset).alias(date_col)
     t = F.col(temp)
     aggs = [
-        round_half_up(celsius_to_fahrenheit(exact_sum(t) / F.count(t))).alias("temperatura_f"),
+        round_half_up(celsius_to_fahrenheit(F.try_divide(exact_sum(t), F.count(t)))).alias("temperatura_f"),
         round_half_up(celsius_to_fahrenheit(F.max(t))).alias("temp_max_f"),
         round_half_up(celsius_to_fahrenheit(F.min(t))).alias("temp_min_f"),
         F.min(F.struct(F.col(ts), F.col(tiebreak), F.col(first_of_day))).getField(first_of_day).alias(first_of_day),
@@ -46,7 +46,7 @@ def daily_rollup(df: DataFrame, place: str, ts: str, temp: str, tiebreak: str, f
     for out, c in (max_cols or {}).items():
         aggs.append(F.max(c).alias(out))
     for out, c in (avg_cols or {}).items():
-        aggs.append(round_half_up(exact_sum(c) / F.count(c)).alias(out))
+        aggs.append(round_half_up(F.try_divide(exact_sum(c), F.count(c))).alias(out))
     return df.groupBy(*keys, day).agg(*aggs)
 
 

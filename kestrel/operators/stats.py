@@ -63,7 +63,7 @@ def describe(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
     """
     c = F.col(col)
     return df.agg(
-        round_half_up(exact_sum(c) / F.count(c)).alias(f"{prefix}avg"),
+        round_half_up(F.try_divide(exact_sum(c), F.count(c))).alias(f"{prefix}avg"),
         round_half_up(F.stddev_samp(c)).alias(f"{prefix}stddev"),
         F.min(c).alias(f"{prefix}min"),
         F.max(c).alias(f"{prefix}max"),

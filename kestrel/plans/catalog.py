@@ -343,7 +343,7 @@ def q22_median_mode(spark, d):
 
 def q23_unified_metrics(spark, d):
     li = _t(spark, d).lineitem
-    avg = li.agg(round_half_up(exact_sum("l_extendedprice") / F.count("l_extendedprice")).alias("promedio"))
+    avg = li.agg(round_half_up(F.try_divide(exact_sum("l_extendedprice"), F.count("l_extendedprice"))).alias("promedio"))
     med = stats.exact_median(li, "l_extendedprice", "mediana")
     mode = stats.mode_with_frequency(li, "l_extendedprice", "moda").drop("frequency")
     return stats.one_row([avg, med, mode])
@@ -357,7 +357,7 @@ def q24_flag_buyers(spark, d):
     t = _t(spark, d)
     p = customer_prefs(t).filter((F.col("likerock") == True) & (F.col("likejazz") == False))  # noqa: E712
     s = sales(t).join(p, F.col("o_custkey") == F.col("c_custkey"))
-    return s.agg(round_half_up(exact_sum("l_extendedprice") / F.count(F.lit(1))).alias("promedio_ventas"),
+    return s.agg(round_half_up(F.try_divide(exact_sum("l_extendedprice"), F.count(F.lit(1)))).alias("promedio_ventas"),
                  F.count("l_orderkey").alias("total_ventas"),
                  F.count_distinct("o_custkey").alias("total_compradores"))
 

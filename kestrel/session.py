@@ -16,6 +16,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Row parsers build wide projections (24 parsed fields, each a guarded conversion); inferring
+    # constraints over their aliases grows combinatorially and can stall planning for minutes.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
