@@ -108,6 +108,8 @@ class ClassWeightModel(Model):
         self.label, self.weight_col, self.weights = label, weight_col, weights
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        if self.label not in df.columns:  # scoring rows without a label: weights are not used
+            return df.withColumn(self.weight_col, F.lit(1.0))
         expr = F.lit(None).cast("double")
         for v, w in self.weights.items():
             expr = F.when(F.col(self.label) == F.lit(v), F.lit(float(w))).otherwise(expr)
