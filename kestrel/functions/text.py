@@ -8,8 +8,12 @@ from pyspark.sql import Column, functions as F
 # Digits with optional single underscores between digit groups, optional fraction and exponent;
 # or inf / infinity / nan in any case, optionally signed.
 DECIMAL_TOKEN = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
-INFINITY_TOKEN = r"^(?i)[+-]?(inf|infinity)$"
-NAN_TOKEN = r"^(?i)[+-]?nan$"
+INFINITY_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
+NAN_WORDS = ("nan", "+nan", "-nan")
+# On this alphabet a strict float parser and Spark's cast accept exactly the same strings.
+PLAIN_NUMBER_CHARS = "0123456789.eE+-"
+# White space as a general-purpose ``str.strip()`` removes it (derived from the rule, not listed).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x10000)) if ch.isspace())
 
 
 def _c(c: Column | str) -> Column:
@@ -17,8 +21,11 @@ def _c(c: Column | str) -> Column:
 
 
 def ustrip(c: Column | str) -> Column:
-    """Strip all Unicode white space at both ends (``trim`` drops only ASCII spaces)."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    """Strip all Unicode white space at both ends (``trim`` drops only ASCII spaces).
+
+    ``btrim`` with the white-space set: a character scan, several times cheaper than a regex.
+    """
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def strip_quotes(c: Column | str) -> Column:
@@ -45,11 +52,19 @@ def safe_double(c: Column | str, default: float = 0.0) -> Column:
     Accepts digit groups joined by single underscores (removed), a sign, a fraction, an exponent,
     and signed inf/infinity/nan words in any case. Rejects what only Spark's cast accepts (``12d``,
     ``12f``, hex floats) and anything else. The input is expected stripped already.
+
+    Cost matters (every field of every record goes through here), so the common case avoids
+    regexes and exceptions: a token made only of digits, dots, signs and exponent letters is cast
+    directly (null, hence ``default``, if malformed); other tokens are either special words,
+    underscore-grouped numbers (the only ones checked with the full pattern) or not numbers.
     """
     c = _c(c)
-    negative = c.startswith("-")
-    return (F.when(c.rlike(DECIMAL_TOKEN), F.regexp_replace(c, "_", "").try_cast("double"))
-            .when(c.rlike(INFINITY_TOKEN),
-                  F.when(negative, F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-            .when(c.rlike(NAN_TOKEN), F.lit(float("nan")))
-            .otherwise(F.lit(float(default))))
+    plain = F.translate(c, PLAIN_NUMBER_CHARS, "") == ""
+    low = F.lower(c)
+    grouped = F.when(c.rlike(DECIMAL_TOKEN), F.replace(c, F.lit("_"), F.lit("")).try_cast("double"))
+    return F.coalesce(
+        F.when(plain, c.try_cast("double"))
+         .when(c.contains("_"), grouped)
+         .when(low.isin(*INFINITY_WORDS), F.when(c.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
+         .when(low.isin(*NAN_WORDS), F.lit(float("nan"))),
+        F.lit(float(default)))

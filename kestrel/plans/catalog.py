@@ -68,8 +68,16 @@ def offer_lines(t: Tables) -> DataFrame:
     return li.select(F.concat_ws(" , ", plant, rtype, F.concat_ws(" , ", tokens)).alias("line"))
 
 
+def as_text_file(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
+    """Write rendered records as a text file in the shared scratch folder and read it back with the
+    line reader (S1), as the parsers meet their input in practice."""
+    path = scratch_path(spark, name)
+    lines.select("line").write.mode("overwrite").text(path)
+    return L.read_lines(spark, path)
+
+
 def q01_typed_records(spark, d):
-    return L.parse_typed_records(offer_lines(_t(spark, d)), RECORD_TYPE)
+    return L.parse_typed_records(as_text_file(spark, offer_lines(_t(spark, d)), "offers"), RECORD_TYPE)
 
 
 def conversation_lines(t: Tables) -> DataFrame:
@@ -153,7 +161,7 @@ def declaration_lines(t: Tables) -> DataFrame:
 def q09_master_join_declarations(spark, d):
     t = _t(spark, d)
     master = q07_master_filter(spark, d).drop("c_custkey")
-    decl = L.parse_declarations(declaration_lines(t))
+    decl = L.parse_declarations(as_text_file(spark, declaration_lines(t), "declarations"))
     joined = master.join(decl, on="Central", how="inner")
     joined = joined.select("Nombre_Agente", "Agente_OFEI", "Central", "Tipo_Central", *HOURS)
     return shape.keep_positive(shape.with_row_total(joined, HOURS, "Suma_Horas"), "Suma_Horas")

@@ -12,7 +12,7 @@ from kestrel.plans.catalog import (BALANCE_CLASSES_OK, DAY_OFFSET, REGIONS_OK, S
 from kestrel.sources.tables import DRIVER_TABLES
 
 HOURS = [f"Hora_{i}" for i in range(1, 25)]
-WS = r"[\s\x{0B}\x{85}\p{Z}]"  # Unicode white space for RE2
+WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"  # white space as str.strip() removes it, for RE2
 
 
 def _r2(x: str) -> str:

@@ -63,24 +63,30 @@ def typed_record_filter(line: Column, parts: Column, record_type: str = "D", n_v
     token = re.escape(record_type)
     return (line.rlike(rf"(?U),\s*{token}\s*,")
             & (F.size(parts) >= 2 + n_values)
-            & (F.upper(ustrip(parts.getItem(1))) == record_type.upper()))
+            & (F.upper(ustrip(F.get(parts, 1))) == record_type.upper()))
 
 
-def hour_values(parts: Column, start: int, n: int = N_HOURS, prefix: str = HOUR_PREFIX) -> list[Column]:
-    """Fields start..start+n-1 as safe doubles named Hora_1..Hora_n (extra fields ignored)."""
-    return [safe_double(ustrip(parts.getItem(start + i))).alias(f"{prefix}{i + 1}") for i in range(n)]
+def hour_values(df: DataFrame, parts: str, start: int, n: int = N_HOURS, prefix: str = HOUR_PREFIX,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """Fields start..start+n-1 as safe doubles named Hora_1..Hora_n (extra fields ignored).
+
+    The stripped fields are a projection of their own, so each is computed once per row; the
+    conversion then only reads columns.
+    """
+    names = [f"{prefix}{i + 1}" for i in range(n)]
+    staged = df.select(*keep, *[ustrip(F.get(F.col(parts), start + i)).alias(nm) for i, nm in enumerate(names)])
+    return staged.select(*keep, *[safe_double(nm).alias(nm) for nm in names])
 
 
 def parse_typed_records(lines: DataFrame, record_type: str = "D", line_col: str = "line",
                         keep: Sequence[str] = (), plant_col: str = "Planta",
                         n_values: int = N_HOURS) -> DataFrame:
     """S3+S4: typed records as (keep..., Planta, Hora_1..Hora_n)."""
-    line = ustrip(line_col)
-    parts = split_fields(line, ",")
-    return (lines.withColumn("__parts", parts)
-            .filter(typed_record_filter(line, F.col("__parts"), record_type, n_values))
-            .select(*keep, ustrip(F.col("__parts").getItem(0)).alias(plant_col),
-                    *hour_values(F.col("__parts"), 2, n_values)))
+    staged = lines.select(*keep, ustrip(line_col).alias("__line"))
+    staged = staged.select(*keep, "__line", split_fields("__line", ",").alias("__parts"))
+    records = staged.filter(typed_record_filter(F.col("__line"), F.col("__parts"), record_type, n_values))
+    records = records.select(*keep, ustrip(F.get(F.col("__parts"), 0)).alias(plant_col), "__parts")
+    return hour_values(records, "__parts", 2, n_values, keep=[*keep, plant_col])
 
 
 def read_sectioned_offers(spark: SparkSession, paths, header_prefix: str = "AGENTE:",
@@ -96,17 +102,14 @@ def parse_declarations(lines: DataFrame, line_col: str = "line", key_col: str =
     """Headerless ``key, v1..vn`` records: blank lines skipped, each field stripped then freed of
     surrounding double quotes (no quote-aware parsing), at least n+1 fields, the ``TOTAL`` row
     (any case) skipped, values as safe doubles."""
-    line = ustrip(line_col)
-    parts = F.transform(split_fields(line, ","), lambda p: strip_quotes(p))
-    staged = lines.withColumn("__line", line).withColumn("__parts", parts)
-    key = F.col("__parts").getItem(0)
-    return (staged
-            .filter((F.col("__line") != "")
-                    & (F.size("__parts") >= 1 + n_values)
-                    & (F.upper(key) != total_label.upper()))
-            .select(*keep, key.alias(key_col),
-                    *[safe_double(ustrip(F.col("__parts").getItem(i))).alias(f"{HOUR_PREFIX}{i}")
-                      for i in range(1, n_values + 1)]))
+    staged = lines.select(*keep, ustrip(line_col).alias("__line"))
+    staged = staged.filter(F.col("__line") != "").select(*keep, split_fields("__line", ",").alias("__raw"))
+    staged = staged.filter(F.size("__raw") >= 1 + n_values)
+    fields = [strip_quotes(F.get(F.col("__raw"), i)).alias(f"__f{i}") for i in range(0, n_values + 1)]
+    staged = staged.select(*keep, *fields).filter(F.upper("__f0") != total_label.upper())
+    names = [f"{HOUR_PREFIX}{i}" for i in range(1, n_values + 1)]
+    return staged.select(*keep, F.col("__f0").alias(key_col),
+                         *[safe_double(ustrip(f"__f{i}")).alias(nm) for i, nm in zip(range(1, n_values + 1), names)])
 
 
 def read_declarations(spark: SparkSession, paths, **kw) -> DataFrame:
