@@ -48,6 +48,7 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
         if samples:
             times[name] = round(statistics.median(samples), 3)
+        print(f"[bench] {name}: {times.get(name, errors.get(name))}", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus, "runs": runs}

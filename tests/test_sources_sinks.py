@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F, types as T
 
 from kestrel.operators import layout
-from kestrel.sources.sinks import export_single_csv, insert_select, write_csv
+from kestrel.sources.sinks import export_single_csv, insert_select, save_table, write_csv
 from kestrel.sources.tables import bulk_load_delimited, project_master, read_headered_csv, with_auto_timestamps
 from kestrel.streaming import read_summary, start_summary_refresh
 
@@ -74,6 +74,10 @@ def test_sinks(spark, tmp_path):
     insert_select(df, tbl, ["v", "id"])
     back = spark.read.parquet(tbl)
     assert back.columns == ["v", "id"] and back.count() == 100
+    ctas = str(tmp_path / "ctas")
+    save_table(df.withColumn("bucket", F.col("id") % 5), ctas, partition_by=["bucket"])
+    save_table(df.withColumn("bucket", F.col("id") % 5), ctas, partition_by=["bucket"])  # overwrite
+    assert spark.read.parquet(ctas).count() == 50
 
 
 def test_month_layout_prunes(spark, tmp_path):
