@@ -94,9 +94,12 @@ def with_row_total(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame
 
 
 def keep_positive(df: DataFrame, col: str) -> DataFrame:
-    """F8: rows whose value is > 0 (NaN is not positive)."""
-    c = F.col(col)
-    return df.filter((c > 0) & ~F.isnan(c))
+    """F8: rows whose value is > 0 (NaN is not positive).
+
+    One reference to the column: the filter may be pushed below the projection that computes it,
+    and each reference then carries the whole expression.
+    """
+    return df.filter(F.nanvl(F.col(col), F.lit(0.0)) > 0)
 
 
 def replace_column(base: DataFrame, key: str, values: DataFrame, column: str, value_col: str) -> DataFrame:

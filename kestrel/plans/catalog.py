@@ -246,7 +246,8 @@ def q13_bucketed_layout(spark, d):
     ev = _t(spark, d).events
     path = scratch_path(spark, "events_bucketed")
     table = f"kestrel_events_{uuid.uuid4().hex[:10]}"
-    layout.write_bucketed(ev, table, path, "user_id", "ts", 8)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # scales with the cluster setting
+    layout.write_bucketed(ev, table, path, "user_id", "ts", buckets)
     b = spark.table(table).filter((F.col("ts") >= F.lit(WEEK_LO)) & (F.col("ts") < F.lit(WEEK_HI)))
     return b.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"),
                                     F.max("ts").alias("last_ts"), exact_sum("value").alias("total_value"))
