@@ -18,9 +18,13 @@ def month_of(ts: str):
 
 
 def write_month_partitioned(df: DataFrame, ts: str, path: str, mode: str = "overwrite") -> None:
-    """K5: one folder per UTC month; a predicate on ``month`` prunes folders at planning."""
+    """K5: one folder per UTC month; a predicate on ``month`` prunes folders at planning.
+
+    Rows are range partitioned on (month, ts) before the write: each task writes into one or two
+    month folders (few files), and a month holding most rows is still split over many tasks.
+    """
     (df.withColumn(MONTH_COL, month_of(ts))
-       .repartition(MONTH_COL)
+       .repartitionByRange(F.col(MONTH_COL), F.col(ts))
        .write.mode(mode).partitionBy(MONTH_COL).parquet(path))
 
 
@@ -74,9 +78,14 @@ def merge_summary_parts(parts: DataFrame, place: str, date_col: str = "fecha") -
                  .agg(*[F.sum(c).alias(c) for c in ("suma_temp", "suma_viento", "lecturas", "n_viento")]))
 
 
-def write_summary(parts: DataFrame, path: str, date_col: str = "fecha") -> None:
-    """Store parts by day; a refresh rewrites only the days it carries (dynamic overwrite)."""
-    (parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def write_summary(parts: DataFrame, path: str, date_col: str = "fecha", place: str | None = None) -> None:
+    """Store parts by day; a refresh rewrites only the days it carries (dynamic overwrite).
+
+    Range partitioning on (day[, place]) keeps each task to few day folders without sending a busy
+    day to a single task.
+    """
+    keys = [F.col(date_col)] + ([F.col(place)] if place else [])
+    (parts.repartitionByRange(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(date_col).parquet(path))
 
 

@@ -257,7 +257,7 @@ def q14_daily_summary(spark, d):
     ev = _t(spark, d).events.withColumn("wind", _wind())
     parts = layout.daily_summary_parts(ev, "user_id", "ts", "value", "wind", DAY_OFFSET)
     path = scratch_path(spark, "daily_summary")
-    layout.write_summary(parts, path)
+    layout.write_summary(parts, path, place="user_id")
     stored = spark.read.parquet(path).withColumn("fecha", F.col("fecha").cast("date"))
     out = layout.summary_averages(stored)
     return out.select("user_id", "fecha", F.col("suma_temp").cast("double").alias("suma_temp"),
