@@ -3,7 +3,7 @@
     python tools/show_plans.py [--sf-dir /root/testdata/sf0.1] [--full out_dir] [name ...]
 
 Per query: shuffles (Exchange), broadcasts, join strategies, scans with pushed filters or partition
-filters, whole-stage codegen stages, Arrow Python nodes, and whether a single-partition exchange or
+filters, Arrow Python nodes, and whether a single-partition exchange or
 a cartesian product appears. ``--full`` also writes each ``explain("formatted")`` to a file.
 """
 
@@ -32,7 +32,6 @@ def summarize(plan: str) -> dict:
         "cartesian": n(r"CartesianProduct|BroadcastNestedLoopJoin"),
         "pushed_filters": n(r"PushedFilters: \[[^\]]+\]"),
         "partition_filters": n(r"PartitionFilters: \[[^\]]+\]"),
-        "codegen_stages": n(r"\*\(\d+\)"),
         "python_nodes": n(r"MapInPandas|MapInArrow|PythonMapInArrow|ArrowEvalPython|BatchEvalPython"),
     }
 
@@ -48,14 +47,14 @@ def main():
     if args.full:
         os.makedirs(args.full, exist_ok=True)
     print("| query | exchanges | single-partition | broadcast joins | sort-merge joins | cartesian | "
-          "pushed filters | partition filters | codegen stages | python nodes |")
-    print("|---|---|---|---|---|---|---|---|---|---|")
+          "pushed filters | partition filters | python nodes |")
+    print("|---|---|---|---|---|---|---|---|---|")
     for name in names:
         df = catalog.QUERIES[name](spark, args.sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
         print(f"| {name} | {s['exchanges']} | {s['single_partition']} | {s['bhj']} | {s['smj']} | {s['cartesian']} | "
-              f"{s['pushed_filters']} | {s['partition_filters']} | {s['codegen_stages']} | {s['python_nodes']} |",
+              f"{s['pushed_filters']} | {s['partition_filters']} | {s['python_nodes']} |",
               flush=True)
         if args.full:
             with open(os.path.join(args.full, f"{name}.txt"), "w") as fh:
