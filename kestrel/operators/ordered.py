@@ -21,12 +21,18 @@ included). ``keys=[]`` treats the whole frame as one group (global row numbers,
 from __future__ import annotations
 
 import pickle
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+# The per-partition functions below run in Python workers. Ship this module's code with them
+# (pickled by value), so executors need no copy of the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _KINDS = ("lag", "ffill", "cumsum")
 
 
