@@ -86,3 +86,10 @@ def test_summary_parts_average_equals_direct(spark):
     assert poblado["lecturas"] == 3 and poblado["temp_prom"] == 22.13
     bello = got[("Bello", "2024-01-01")]
     assert bello["viento_prom_cero"] == 0.0 and bello["viento_prom"] is None  # null-as-zero vs ignore-null
+
+
+def test_one_row_per_place_and_day_even_with_country(spark):
+    """The roll-up takes the first reading in the same aggregate, so no join can fan out."""
+    daily = series.daily_rollup(hourly(spark), "localidad", "fecha_hora", "temperatura_c", "id", "cobertura_nubes",
+                                country="pais")
+    assert daily.count() == daily.select("localidad", "fecha").distinct().count()

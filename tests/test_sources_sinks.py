@@ -108,3 +108,26 @@ def test_streaming_summary_refresh_matches_batch(spark, tmp_path):
     direct = {(r["place"], r["fecha"]): (r["lecturas"], r["temp_prom"], r["viento_prom"])
               for r in layout.summary_averages(direct_parts).collect()}
     assert streamed == direct
+
+
+def test_local_range_crosses_utc_month_edge(spark, tmp_path):
+    """Months are UTC folders, days are local (-05:00): the evening of a local Jan 31 lies in the
+    UTC February folder and must still be found."""
+    rows = [(1, dt.datetime(2024, 1, 31, 12)), (2, dt.datetime(2024, 2, 1, 3)), (3, dt.datetime(2024, 2, 1, 6))]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz")
+    path = str(tmp_path / "edge")
+    layout.write_month_partitioned(df, "ts", path)
+    local_jan31 = layout.read_time_range(spark, path, "ts", dt.datetime(2024, 1, 31, 5), dt.datetime(2024, 2, 1, 5))
+    assert sorted(r["id"] for r in local_jan31.collect()) == [1, 2]
+
+
+def test_range_sorted_layout_lookup(spark, tmp_path):
+    df = spark.createDataFrame([(i % 7, dt.datetime(2024, 1, 1 + i % 28, i % 24), float(i)) for i in range(500)],
+                               "place long, ts timestamp_ntz, v double")
+    path = str(tmp_path / "sorted")
+    layout.write_range_sorted(df, path, "place", "ts")
+    got = spark.read.parquet(path).filter((F.col("place") == 3) & (F.col("ts") >= dt.datetime(2024, 1, 10)))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "EqualTo(place,3)" in plan
+    want = df.filter((F.col("place") == 3) & (F.col("ts") >= dt.datetime(2024, 1, 10)))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
