@@ -106,8 +106,9 @@ def _apply_batch(pdf: pd.DataFrame, keys, ops, state):
     return cols, (last_key, ends)
 
 
-def _fold_states(summaries: list[tuple[int, tuple | None, bool, tuple | None]], ops) -> dict:
-    """Driver-side fold: state entering each partition, from per-partition (pid, first_key, single, end)."""
+def _fold_states(summaries: list[tuple[int, tuple | None, bool, tuple | None]], ops):
+    """Driver-side fold: state entering each partition, from per-partition (pid, first_key, single, end);
+    also the state after the last partition (the last key's totals)."""
     entering, state = {}, None
     for pid, first_key, single, end in sorted(summaries, key=lambda s: s[0]):
         if end is None:  # empty partition
@@ -125,16 +126,18 @@ def _fold_states(summaries: list[tuple[int, tuple | None, bool, tuple | None]],
             state = (end[0], merged)
         else:
             state = end
-    return entering
+    return entering, state
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                  ops: Sequence[tuple[str, str, str]], n_partitions: int | None = None,
-                 out_types: dict[str, T.DataType] | None = None) -> DataFrame:
+                 out_types: dict[str, T.DataType] | None = None, return_final: bool = False):
     """Add one column per ``(kind, input_col, output_col)`` computed in (keys, order) order.
 
     ``order`` must make the order total inside each key (add a unique tiebreak column), otherwise
-    the result depends on arrival order exactly as a window's would.
+    the result depends on arrival order exactly as a window's would. With ``return_final`` the
+    result is ``(frame, final)`` where ``final`` is the state after the last row, one value per op
+    (for ``keys=[]`` the grand totals), known on the driver without another job.
     """
     keys = list(keys)
     ops = [tuple(o) for o in ops]
@@ -167,7 +170,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     for r in rows:
         first_key, single, end = pickle.loads(r["summary"])
         summaries.append((r["pid"], first_key, bool(single), end))
-    entering = _fold_states(summaries, ops)
+    entering, final = _fold_states(summaries, ops)
 
     src_types = {f.name: f.dataType for f in staged.schema.fields}
     out_fields = []
@@ -193,7 +196,10 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
                 res[out] = values
             yield res[names]
 
-    return staged.mapInPandas(apply, out_schema)
+    result = staged.mapInPandas(apply, out_schema)
+    if return_final:
+        return result, (list(final[1]) if final is not None else [None] * len(ops))
+    return result
 
 
 def lag_in_order(df: DataFrame, keys, order, col: str, out: str, **kw) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kestrel.functions.numeric import exact_sum, round_half_up
-from kestrel.operators.ordered import cumulative_sum
+from kestrel.operators.ordered import ordered_scan
 
 
 def value_counts(df: DataFrame, col: str, count_col: str = "frequency") -> DataFrame:
@@ -29,8 +29,8 @@ def exact_percentile(df: DataFrame, col: str, q: float = 0.5, out: str = "median
     written as lo + (hi - lo) * frac.
     """
     vc = value_counts(df, col, "__n")
-    cum = cumulative_sum(vc, [], [col], "__n", "__cum")
-    n = cum.agg(F.max("__cum")).first()[0] or 0
+    cum, final = ordered_scan(vc, [], [col], [("cumsum", "__n", "__cum")], return_final=True)
+    n = final[0] or 0  # total count, from the scan's driver-side fold
     if n == 0:
         return cum.agg(F.lit(None).cast("double").alias(out))
     pos = q * (n - 1)
