@@ -20,6 +20,7 @@ from kestrel.functions.temporal import auto_timestamp, local_date
 from kestrel.functions.text import safe_double, ustrip
 from kestrel.operators import features, layout, model, quality, series, shape, star, stats
 from kestrel.operators.ordered import row_number_in_order
+from kestrel.plans.jobs import FRAUD_DROP as DROP_COLS
 from kestrel.session import scratch_path
 from kestrel.sources import lines as L
 from kestrel.sources.sinks import insert_select, write_csv
@@ -36,7 +37,6 @@ SECTION_PREFIX = "USER:"
 DAY_OFFSET = "-05:00"
 SCORE_HALF_AT = 2000.0
 N_FOLDS = 5
-DROP_COLS = ("ID", "id", "FRAUDE", "FECHA", "FECHA_VIN", "OFICINA_VIN", "FECHA_FRAUDE")
 MONTH_LO, MONTH_HI = dt.datetime(1996, 3, 1), dt.datetime(1996, 4, 1)
 WEEK_LO, WEEK_HI = dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 15)
 
