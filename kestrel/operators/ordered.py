@@ -16,6 +16,11 @@ runs in one task outright. The operators here keep the same results but split th
 Supported operations: ``lag`` (previous row's value in the group), ``ffill`` (last non-null value so
 far in the group, current row included) and ``cumsum`` (running sum in the group, current row
 included). ``keys=[]`` treats the whole frame as one group (global row numbers, prefix sums).
+
+``strategy="auto"`` first counts rows per key (a partial aggregate, one small row per key and task)
+and uses a plain window - JVM only, no Python, no checkpoint - when the largest key holds at most
+``kestrel.ordered.maxGroupRows`` rows (default 2,000,000); otherwise, and always without keys, the
+range-partitioned scan above. Both give the same result.
 """
 
 from __future__ import annotations
@@ -27,13 +32,15 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # The per-partition functions below run in Python workers. Ship this module's code with them
 # (pickled by value), so executors need no copy of the package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _KINDS = ("lag", "ffill", "cumsum")
+MAX_GROUP_ROWS_KEY = "kestrel.ordered.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
 
 
 def _norm(v):
@@ -131,7 +138,8 @@ def _fold_states(summaries: list[tuple[int, tuple | None, bool, tuple | None]],
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                  ops: Sequence[tuple[str, str, str]], n_partitions: int | None = None,
-                 out_types: dict[str, T.DataType] | None = None, return_final: bool = False):
+                 out_types: dict[str, T.DataType] | None = None, return_final: bool = False,
+                 strategy: str = "auto"):
     """Add one column per ``(kind, input_col, output_col)`` computed in (keys, order) order.
 
     ``order`` must make the order total inside each key (add a unique tiebreak column), otherwise
@@ -145,8 +153,17 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
         if kind not in _KINDS:
             raise ValueError(f"unknown ordered operation {kind!r}")
     spark = df.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
+    if strategy == "auto":
+        strategy = "range"
+        if keys and not return_final:
+            limit = int(spark.conf.get(MAX_GROUP_ROWS_KEY, str(DEFAULT_MAX_GROUP_ROWS)))
+            biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+            if biggest <= limit:
+                strategy = "window"
+    if strategy == "window":
+        return _window_ops(df, keys, sort_cols[len(keys):], ops, out_types)
+    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
     staged = staged.checkpoint(eager=True)
 
@@ -202,6 +219,23 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return result
 
 
+def _window_ops(df: DataFrame, keys, order_cols, ops, out_types) -> DataFrame:
+    """The same operations as window functions, for keys known to be small."""
+    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = []
+    for kind, src, out in ops:
+        if kind == "lag":
+            c = F.lag(src).over(w)
+        elif kind == "ffill":
+            c = F.last(src, ignorenulls=True).over(run)
+        else:
+            c = F.sum(F.coalesce(F.col(src), F.lit(0))).over(run)
+        t = (out_types or {}).get(out)
+        cols.append((c.cast(t) if t is not None else c).alias(out))
+    return df.select("*", *cols)
+
+
 def lag_in_order(df: DataFrame, keys, order, col: str, out: str, **kw) -> DataFrame:
     """Previous row's ``col`` within each key in ``order`` (null on each key's first row)."""
     return ordered_scan(df, keys, order, [("lag", col, out)], **kw)

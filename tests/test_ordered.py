@@ -33,7 +33,7 @@ def _as_dict(df, cols):
 def test_matches_windows_under_skew(spark):
     df = _skewed(spark)
     got = ordered_scan(df, ["k"], ["t"], [("lag", "v", "lag_v"), ("ffill", "h", "ff_h"), ("cumsum", "v", "cs_v")],
-                       n_partitions=12)
+                       n_partitions=12, strategy="range")
     cols = ["lag_v", "ff_h", "cs_v"]
     a, b = _as_dict(got, cols), _as_dict(_expected(df), cols)
     assert a.keys() == b.keys()
@@ -45,7 +45,7 @@ def test_matches_windows_under_skew(spark):
 
 def test_hot_key_is_split(spark):
     df = _skewed(spark)
-    staged = ordered_scan(df, ["k"], ["t"], [("lag", "v", "p")], n_partitions=12)
+    staged = ordered_scan(df, ["k"], ["t"], [("lag", "v", "p")], n_partitions=12, strategy="range")
     per_part = staged.groupBy(F.spark_partition_id().alias("pid")).agg(F.count_distinct("k").alias("keys"),
                                                                        F.count(F.lit(1)).alias("n"))
     hot = staged.filter("k = 3").select(F.spark_partition_id().alias("pid")).distinct().count()
@@ -62,9 +62,31 @@ def test_global_row_numbers(spark):
 def test_empty_partitions_and_null_keys(spark):
     rows = [(None, 1, 1.0), (None, 2, None), (1, 1, 5.0), (1, 2, 6.0)]
     df = spark.createDataFrame(rows, "k long, t long, v double")
-    got = {(r["k"], r["t"]): r["p"] for r in lag_in_order(df, ["k"], ["t"], "v", "p", n_partitions=16).collect()}
+    got = {(r["k"], r["t"]): r["p"] for r in lag_in_order(df, ["k"], ["t"], "v", "p", n_partitions=16,
+                                                           strategy="range").collect()}
     assert got == {(None, 1): None, (None, 2): 1.0, (1, 1): None, (1, 2): 5.0}
-    ff = {(r["k"], r["t"]): r["f"] for r in fill_forward(df, ["k"], ["t"], "v", "f", n_partitions=3).collect()}
+    ff = {(r["k"], r["t"]): r["f"] for r in fill_forward(df, ["k"], ["t"], "v", "f", n_partitions=3,
+                                                         strategy="range").collect()}
     assert ff[(None, 2)] == 1.0
-    cs = {(r["k"], r["t"]): r["c"] for r in cumulative_sum(df, ["k"], ["t"], "v", "c", n_partitions=3).collect()}
+    cs = {(r["k"], r["t"]): r["c"] for r in cumulative_sum(df, ["k"], ["t"], "v", "c", n_partitions=3,
+                                                           strategy="range").collect()}
     assert cs == {(None, 1): 1.0, (None, 2): 1.0, (1, 1): 5.0, (1, 2): 11.0}
+
+
+def test_auto_strategy_picks_by_largest_key_and_agrees(spark):
+    df = _skewed(spark)
+    ops = [("lag", "v", "lag_v"), ("ffill", "h", "ff_h"), ("cumsum", "v", "cs_v")]
+    cols = ["lag_v", "ff_h", "cs_v"]
+    window = ordered_scan(df, ["k"], ["t"], ops, strategy="window")
+    assert "MapInPandas" not in window._jdf.queryExecution().executedPlan().toString()
+    old = spark.conf.get("kestrel.ordered.maxGroupRows", "2000000")
+    try:
+        spark.conf.set("kestrel.ordered.maxGroupRows", "1000")  # the hot key (~4,200 rows) is over the bound
+        auto = ordered_scan(df, ["k"], ["t"], ops, n_partitions=12)
+        assert "MapInPandas" in auto._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("kestrel.ordered.maxGroupRows", old)
+    a, b = _as_dict(window, cols), _as_dict(auto, cols)
+    assert a.keys() == b.keys()
+    for key in a:
+        assert a[key][:2] == b[key][:2] and abs(a[key][2] - b[key][2]) < 1e-6
