@@ -91,3 +91,18 @@ def one_row(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames:
         cols.extend(f.columns)
     return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+
+
+def approx_percentile(df: DataFrame, col: str, q: float = 0.5, out: str = "p", accuracy: int = 10_000) -> DataFrame:
+    """A8 opt-in: one-pass sketch (``percentile_approx``) returning an actual value of the column
+    within rank error 1/accuracy; no interpolation. For very large inputs where an exact answer is
+    not required."""
+    return df.agg(F.percentile_approx(F.col(col), q, accuracy).alias(out))
+
+
+def distinct_count(df: DataFrame, col: str, out: str = "n_distinct", approx: bool = False,
+                   rsd: float = 0.05) -> DataFrame:
+    """A2: number of distinct non-null values; ``approx=True`` uses a HyperLogLog++ sketch
+    (``approx_count_distinct``, relative standard deviation ``rsd``) instead of an exact distinct."""
+    c = F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
+    return df.agg(c.alias(out))

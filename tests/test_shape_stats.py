@@ -101,3 +101,11 @@ def test_wide_long_roundtrip(spark):
     long = shape.wide_to_long(df, ["k"], ["Hora_1", "Hora_2"], "hora", "valor")
     back = shape.long_to_wide(long, ["k"], "hora", ["Hora_1", "Hora_2"], F.col("valor"), ["Hora_1", "Hora_2"])
     assert sorted(tuple(r) for r in back.collect()) == [(1, 1.5, 2.0), (2, 0.0, -1.0)]
+
+
+def test_approx_opt_ins(spark):
+    df = spark.range(0, 10001).select((F.col("id") % 1000).cast("double").alias("x"))
+    assert stats.distinct_count(df, "x").first()[0] == 1000
+    assert abs(stats.distinct_count(df, "x", approx=True).first()[0] - 1000) < 100
+    p = stats.approx_percentile(df, "x", 0.5).first()[0]
+    assert abs(p - float(np.percentile(np.arange(10001) % 1000, 50))) <= 1.0
