@@ -428,24 +428,25 @@ def q29_mode_impute(spark, d):
     return imputer.transform(docs).select("doc_id", "lang_imputed")
 
 
-def _case_clash_frame(df: DataFrame, with_labels: bool) -> DataFrame:
+def _case_clash_frame(df: DataFrame, labelled: bool) -> DataFrame:
+    """Documents as a feature file with headers that clash ignoring case (Lang/LANG, N_CHARS/n_Chars);
+    the hold-out side has an empty label column and no quality column."""
     cols = [F.col("doc_id"), F.col("lang"), F.upper("lang"), F.col("source"), F.col("n_chars"),
-            F.col("n_chars") * 2,
-            F.col("quality") if with_labels else F.lit(None).cast("int"),
-            F.col("toxic") if with_labels else F.lit(None).cast("int"),
-            F.col("doc_id").cast("string")]
-    names = ["ID", "Lang", "LANG", "Source", "N_CHARS", "n_Chars", "quality", "FRAUDE", "FECHA"]
+            F.col("n_chars") * 2]
+    names = ["ID", "Lang", "LANG", "Source", "N_CHARS", "n_Chars"]
+    if labelled:
+        cols.append(F.col("quality"))
+        names.append("quality")
+    cols += [F.col("toxic") if labelled else F.lit(None).cast("int"), F.col("doc_id").cast("string")]
+    names += ["FRAUDE", "FECHA"]
     return df.select(*cols).toDF(*names)
 
 
 def feature_frames(t: Tables) -> tuple[DataFrame, DataFrame, list[str]]:
     """P4-P7 as the training job uses them: dedup case-clashing names, drop ids/labels, keep the
     columns common to train and test in train order."""
-    train = shape.dedup_columns_ci(_case_clash_frame(labelled_docs(t), True))
-    test = shape.dedup_columns_ci(_case_clash_frame(unlabelled_docs(t).withColumn("quality", F.lit(None))
-                                                    .withColumn("toxic", F.lit(None)), False))
-    x_train = shape.drop_if_present(train, DROP_COLS)
-    x_test = shape.drop_if_present(test, DROP_COLS).drop("QUALITY")
+    x_train = shape.drop_if_present(shape.dedup_columns_ci(_case_clash_frame(labelled_docs(t), True)), DROP_COLS)
+    x_test = shape.drop_if_present(shape.dedup_columns_ci(_case_clash_frame(unlabelled_docs(t), False)), DROP_COLS)
     common = shape.common_columns(x_train, x_test)
     return x_train.select(*common), x_test.select(*common), common
 
