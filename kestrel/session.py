@@ -29,6 +29,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         # checkpoint files of frames that are garbage collected are removed by Spark's cleaner
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "16g")))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
