@@ -21,6 +21,10 @@ included). ``keys=[]`` treats the whole frame as one group (global row numbers,
 and uses a plain window - JVM only, no Python, no checkpoint - when the largest key holds at most
 ``kestrel.ordered.maxGroupRows`` rows (default 2,000,000); otherwise, and always without keys, the
 range-partitioned scan above. Both give the same result.
+
+Limit of the range path: values travel through pandas, where an integer column with nulls is
+float64, so integers beyond 2**53 in such a column (or produced by ``lag`` on one) lose precision.
+Running counts and sums of doubles are unaffected.
 """
 
 from __future__ import annotations
