@@ -137,3 +137,16 @@ def test_fraud_job(spark, tmp_path):
     assert set(cv) == {0, 1, 2, 3, 4, -1, -2} and cv[-1] > 0.8
     assert spark.read.option("header", True).csv(out).count() == 30
     assert res["summary"].first()["filas"] == 30
+
+
+def test_consolidation_dates_by_sale_not_event(spark, tmp_path):
+    paths = {
+        "users": _write(tmp_path, "u.txt", ["1|u1|Ana|Ruiz|Bogota|DC|ana@x.co|555|" + "|".join(["false"] * 10)]),
+        "venue": _write(tmp_path, "v.txt", ["10|Arena|Bogota|DC|100"]),
+        "date": _write(tmp_path, "d.txt", ["1827|2008-01-01|WE|1|JAN|1|2008|TRUE",
+                                           "1900|2008-03-14|FR|11|MAR|1|2008|FALSE"]),
+        "event": _write(tmp_path, "e.txt", ["100|10|1|1900|Show A|2008-03-14 20:00:00"]),  # event on 14 March
+        "sales": _write(tmp_path, "s.txt", ["1\t1\t1\t1\t100\t1827\t2\t80.00\t12.00\t1/1/2008 9:00:00"]),  # sold 1 Jan
+    }
+    cons = jobs.ticket_consolidate(jobs.ticket_load(spark, paths))
+    assert [str(r["fecha_evento"]) for r in cons.collect()] == ["2008-01-01"]
