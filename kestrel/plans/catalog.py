@@ -253,6 +253,17 @@ def q13_bucketed_layout(spark, d):
                                     F.max("ts").alias("last_ts"), exact_sum("value").alias("total_value"))
 
 
+def q13b_range_sorted_layout(spark, d):
+    """K6 file form: events range partitioned and sorted by (user, ts) before the Parquet write, so
+    row-group statistics skip what a (place, time-range) lookup does not need; same report as q13."""
+    ev = _t(spark, d).events
+    path = scratch_path(spark, "events_sorted")
+    layout.write_range_sorted(ev, path, "user_id", "ts")
+    s = spark.read.parquet(path).filter((F.col("ts") >= F.lit(WEEK_LO)) & (F.col("ts") < F.lit(WEEK_HI)))
+    return s.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"),
+                                    F.max("ts").alias("last_ts"), exact_sum("value").alias("total_value"))
+
+
 def q14_daily_summary(spark, d):
     ev = _t(spark, d).events.withColumn("wind", _wind())
     parts = layout.daily_summary_parts(ev, "user_id", "ts", "value", "wind", DAY_OFFSET)
@@ -541,6 +552,7 @@ QUERIES = {
     "q11_auto_timestamps": q11_auto_timestamps,
     "q12_month_layout": q12_month_layout,
     "q13_bucketed_layout": q13_bucketed_layout,
+    "q13b_range_sorted_layout": q13b_range_sorted_layout,
     "q14_daily_summary": q14_daily_summary,
     "q15_daily_rollup": q15_daily_rollup,
     "q16_hourly_delta": q16_hourly_delta,

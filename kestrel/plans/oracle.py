@@ -387,4 +387,5 @@ SELECT doc_id,
         "q34_auc_report": _q34(),
         "q35_stratified_folds": _q35(),
     }
+    q["q13b_range_sorted_layout"] = q["q13_bucketed_layout"]
     return q
