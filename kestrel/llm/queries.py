@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import mixing
 from .common import table
 from .jaccard import Similarity, jaccard_join
 
@@ -16,8 +17,16 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n_shingles", "component AS component_id", "n_links")
 
 
+def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the targets of their sources."""
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_low_discrepancy_mix": mixing.ORACLE_SQL,
+}
