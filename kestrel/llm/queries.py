@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import mixing, quality
 from .common import table
 from .jaccard import Similarity, jaccard_join
 
@@ -17,6 +17,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n_shingles", "component AS component_id", "n_links")
 
 
+def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against the fences of their language and source."""
+    return quality.quality_filter(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the targets of their sources."""
     return mixing.mix_sources(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -24,9 +29,11 @@ def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op8_adaptive_quality": op8_adaptive_quality,
     "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_adaptive_quality": quality.ORACLE_SQL,
     "op10_low_discrepancy_mix": mixing.ORACLE_SQL,
 }
