@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality
+from . import mixing, quality, toxicity
 from .common import table
 from .jaccard import Similarity, jaccard_join
 
@@ -22,6 +22,12 @@ def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_filter(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op9_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a classifier of the labelled ones."""
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the targets of their sources."""
     return mixing.mix_sources(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -30,6 +36,7 @@ def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op8_adaptive_quality": op8_adaptive_quality,
+    "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
     "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
 }
 

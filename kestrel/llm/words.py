@@ -35,6 +35,7 @@ def _tables() -> dict[str, np.ndarray]:
         space = np.zeros(256, dtype=bool)
         space[[32, *range(9, 14)]] = True
         _STATE["low"], _STATE["space"] = low, space
+        _STATE["marks"] = space | np.isin(np.arange(256), [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
         _STATE["value"] = mix(low.astype(np.uint64) + np.uint64(0x1234567))
         _STATE["pow"], _STATE["inv"] = _powers(_BASE, _SEG), _powers(_INV, _SEG)
     return _STATE
@@ -46,10 +47,10 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def _segment(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _segment(data: np.ndarray, gaps: str = "space") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     t = _tables()
     gap = np.ones(len(data) + 2, dtype=np.int8)
-    gap[1:-1] = t["space"][data]
+    gap[1:-1] = t[gaps][data]
     edge = np.diff(gap)
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(start):
@@ -62,11 +63,14 @@ def _segment(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, end, mix(h + (end - start).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
-def hash_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts, ends and hashes of the words of one text, in segments cut between words."""
+def hash_words(text: bytes, gaps: str = "space") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts, ends and hashes of the words of one text, in segments cut between words.
+
+    With ``gaps="marks"`` ASCII punctuation parts words too.
+    """
     data = np.frombuffer(text, dtype=np.uint8)
     if len(data) <= _SEG:
-        return _segment(data)
+        return _segment(data, gaps)
     space, parts, at = _tables()["space"], [], 0
     while at < len(data):
         stop = min(len(data), at + _SEG)
@@ -76,13 +80,13 @@ def hash_words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 stop = at + int(back[-1]) + 1
                 break
             stop = min(len(data), stop + _SEG)
-        s, e, h = _segment(data[at:stop])
+        s, e, h = _segment(data[at:stop], gaps)
         parts.append((s + at, e + at, h))
         at = stop
     return tuple(np.concatenate(x) for x in zip(*parts))  # type: ignore[return-value]
 
 
-def each_text(texts: Sequence[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def each_text(texts: Sequence[bytes], gaps: str = "space") -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(row, starts, ends, word hashes) of each text; short texts are hashed together."""
     at = 0
     while at < len(texts):
@@ -91,9 +95,9 @@ def each_text(texts: Sequence[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndar
             size += len(texts[stop]) + 1
             stop += 1
         if stop == at + 1:
-            yield (at, *hash_words(texts[at]))
+            yield (at, *hash_words(texts[at], gaps))
         else:
-            s, e, h = hash_words(b"\n".join(texts[at:stop]))
+            s, e, h = hash_words(b"\n".join(texts[at:stop]), gaps)
             ends = np.cumsum([len(x) + 1 for x in texts[at:stop]])
             cut = [0, *np.searchsorted(s, ends).tolist()]
             base = 0
