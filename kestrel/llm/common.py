@@ -39,12 +39,21 @@ def keep_buckets(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Colu
     filter passes every wanted row and some others, so an exact join must follow; it only spares
     that join the rows that cannot match.
     """
+    return _by_bucket(df, key, wanted, wanted_key, "left_semi")
+
+
+def other_buckets(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """The rows that ``keep_buckets`` leaves out: none of them has a wanted key."""
+    return _by_bucket(df, key, wanted, wanted_key, "left_anti")
+
+
+def _by_bucket(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, how: str) -> DataFrame:
     def bucket(c: Column) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(FILTER_BUCKETS))
 
     hit = wanted.select(bucket(wanted_key).alias("__bucket")).distinct()
-    return (df.withColumn("__bucket", bucket(key))
-            .join(F.broadcast(hit), "__bucket", "left_semi").drop("__bucket"))
+    left = df.select(F.struct("*").alias("__row"), bucket(key).alias("__bucket"))
+    return left.join(F.broadcast(hit), "__bucket", how).select("__row.*")
 
 
 def rows_of(batch: pa.RecordBatch, name: str) -> list[bytes]:

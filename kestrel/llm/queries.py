@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, quality, toxicity
+from . import lines, mixing, quality, toxicity
 from .common import table
 from .jaccard import Similarity, jaccard_join
 
@@ -17,6 +18,15 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n_shingles", "component AS component_id", "n_links")
 
 
+def op7_deletion_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose lines: the lines' numbers, how many of them are near ones, and whose lines stay."""
+    found = lines.dropped_lines(table(spark, sf_dir, "documents"))
+    return found.groupBy(F.col("id").alias("doc_id")).agg(
+        F.count("*").alias("n_dropped"), F.sum(F.col("near").cast("long")).alias("n_near"),
+        F.concat_ws(",", F.transform(F.sort_array(F.collect_list("line")), lambda x: x.cast("string"))).alias("lines"),
+        F.concat_ws(",", F.transform(F.sort_array(F.collect_set("kept_id")), lambda x: x.cast("string"))).alias("kept_in"))
+
+
 def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against the fences of their language and source."""
     return quality.quality_filter(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -35,6 +45,7 @@ def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op7_deletion_line_dedup": op7_deletion_line_dedup,
     "op8_adaptive_quality": op8_adaptive_quality,
     "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
     "op10_low_discrepancy_mix": op10_low_discrepancy_mix,

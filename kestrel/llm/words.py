@@ -134,3 +134,25 @@ def powers(n: int) -> np.ndarray:
 
 def inverses(n: int) -> np.ndarray:
     return _tables()["inv"][:n] if n <= _SEG else _powers(_INV, n)
+
+
+class Runs:
+    """Hashes of any runs of one sequence of word hashes, from sums taken once."""
+
+    def __init__(self, h: np.ndarray):
+        n = len(h)
+        self.total = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(h * powers(max(1, n))[:n], dtype=np.uint64, out=self.total[1:])
+        self.inverse = inverses(n + 1)
+
+    def hash(self, lo: np.ndarray, hi: np.ndarray, seed: int = 0) -> np.ndarray:
+        """Hashes of the runs [lo, hi): equal for equal runs wherever they stand."""
+        size = (hi - lo).astype(np.uint64)
+        return mix((self.total[hi] - self.total[lo]) * self.inverse[lo] + size * np.uint64(0xC2B2AE3D27D4EB4F)
+                   + np.uint64((seed * 0x9FB21C651E98DF25) & _MASK))
+
+    def without_each(self, seed: int = 0) -> np.ndarray:
+        """Hashes of the sequence with one word left out, for each word; equal to ``hash`` of that run."""
+        n = len(self.total) - 1
+        rest = self.total[:-1] + (self.total[-1] - self.total[1:]) * np.uint64(_INV)
+        return mix(rest + np.uint64(((n - 1) * 0xC2B2AE3D27D4EB4F + seed * 0x9FB21C651E98DF25) & _MASK))
