@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, lines, mixing, quality, toxicity
+from . import decontamination, lines, mixing, pages, quality, toxicity
 from .common import table
 from .jaccard import Similarity, jaccard_join
 
@@ -18,6 +18,12 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id AS doc_id", "n_shingles", "component AS component_id", "n_links")
 
 
+def op2_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return pages.extract(table(spark, sf_dir, "pages")).select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_seed_alignment_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a test item that it holds."""
     found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -51,6 +57,7 @@ def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_tag_path_extraction": op2_tag_path_extraction,
     "op5_seed_alignment_decontamination": op5_seed_alignment_decontamination,
     "op7_deletion_line_dedup": op7_deletion_line_dedup,
     "op8_adaptive_quality": op8_adaptive_quality,
