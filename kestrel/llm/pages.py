@@ -11,6 +11,7 @@ link lists and without what its mark-up names as something else.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -55,7 +56,7 @@ class Page:
 
     parent: list[int] = field(default_factory=list)
     tag: list[str] = field(default_factory=list)
-    path: list[str] = field(default_factory=list)
+    path: list[int] = field(default_factory=list)  # equal numbers: equal tags and names from the root on
     node: list[tuple[int, int, str, bool]] = field(default_factory=list)  # element, block, text, in a link
 
 
@@ -77,9 +78,16 @@ def _is_aside(tag: str, attributes: str, in_article: bool) -> tuple[bool, str]:
 
 def parse(html: str) -> Page:
     """Elements and text nodes of a page; missing and stray tags are mended as browsers do, roughly."""
-    page = Page([-1], [""], [""])
+    page = Page([-1], [""], [0])
+    paths: dict[tuple[int, str, str], int] = {}
     stack: list[tuple[int, str, bool, bool]] = [(0, "", False, False)]  # element, tag, aside, in a link
     block, at, size = 0, 0, len(html)
+    open_tags: Counter[str] = Counter()
+
+    def pop(k: int) -> None:
+        for x in stack[k:]:
+            open_tags[x[1]] -= 1
+        del stack[k:]
 
     def text(piece: str) -> None:
         number, _, aside, link = stack[-1]
@@ -99,9 +107,9 @@ def parse(html: str) -> Page:
         if tag in BLOCK:
             block += 1
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if open_tags[tag] else ():
                 if stack[k][1] == tag:
-                    del stack[k:]
+                    pop(k)
                     break
                 if stack[k][1] in ("table", "article", "main") and tag not in BLOCK:
                     break
@@ -111,22 +119,23 @@ def parse(html: str) -> Page:
             continue
         if tag in VOID:
             continue
-        if tag in ENDS_P:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][1] == "p"), 0)
-            if k and not any(x[1] in BLOCK for x in stack[k + 1:]):
-                del stack[k:]
-        if tag in CLOSES:
+        if tag in ENDS_P and open_tags["p"]:
+            k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k][1] in BLOCK)
+            if stack[k][1] == "p":
+                pop(k)
+        if tag in CLOSES and any(open_tags[x] for x in CLOSES[tag]):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][1] in CLOSES[tag]:
-                    del stack[k:]
+                    pop(k)
                     break
                 if stack[k][1] in HOLDS[tag]:
                     break
         up, _, aside, link = stack[-1]
-        own, label = _is_aside(tag, m[3], any(x[1] == "article" for x in stack))
+        own, label = _is_aside(tag, m[3], open_tags["article"] > 0)
         page.parent.append(up)
         page.tag.append(tag)
-        page.path.append(f"{page.path[up]}/{tag}" + (f".{label}" if label else ""))
+        page.path.append(paths.setdefault((page.path[up], tag, label), len(paths) + 1))
+        open_tags[tag] += 1
         stack.append((len(page.tag) - 1, tag, aside or own, link or tag == "a"))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(html, at)
@@ -143,10 +152,10 @@ def smooth(x: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return np.convolve(x, k)[reach:reach + len(x)] / ones
 
 
-def content_nodes(page: Page, strictness: float = 0.5) -> tuple[list[int], set[str]]:
+def content_nodes(page: Page, strictness: float = 0.5) -> tuple[list[int], set[int]]:
     """Numbers of the nodes above the threshold, and the paths whose text is mostly links."""
     shown = [i for i, n in enumerate(page.node) if n[2].strip()]
-    total: dict[str, list[int]] = {}
+    total: dict[int, list[int]] = {}
     for i in shown:
         number, _, text, link = page.node[i]
         t = total.setdefault(page.path[number], [0, 0, 0, 0])
@@ -171,26 +180,15 @@ def container(page: Page, chosen: list[int], share: float = 0.9) -> int:
         weight[page.node[i][0]] += len(page.node[i][2].strip())
     for number in range(len(weight) - 1, 0, -1):
         weight[page.parent[number]] += weight[number]
-    # parents come before children, so the last element that qualifies is the innermost
     best = 0
-    for number in range(1, len(weight)):
-        if weight[number] >= share * weight[0] and page.tag[number] in STRUCTURE and page.parent[number] in (best, *_up(page, best, number)):
+    for number in range(1, len(weight)):  # parents come before children
+        if weight[number] >= share * weight[0] and page.tag[number] in STRUCTURE:
             best = number
             if page.tag[number] == "article":
                 break
     return best
 
 
-def _up(page: Page, best: int, number: int) -> tuple[int, ...]:
-    """The elements between ``best`` and ``number``, if ``number`` lies below it."""
-    chain = []
-    at = page.parent[number]
-    while at > best:
-        chain.append(at)
-        at = page.parent[at]
-    return tuple(chain) if at == best else ()
-
-
 def main_text(html: str) -> str:
     """The article of a page: its blocks in page order, one per line; empty if there is none."""
     page = parse(html)
