@@ -8,14 +8,16 @@ groups of n2 cells by the features' hashes. Any set of k differences leaves a gr
 k2 cells differ, so the two sets agree on some n2 - k2 cells of it: a signature is the content of such
 a subset of cells. Linked sets share at least one.
 
-All links are found, and no list of pairs is made within a group of copies:
+A signature of an empty projection says nothing, so it is emitted only by sets that have such in more
+than one group: one group more than needed makes up for the others.
 
-* equal sets collapse to one node first;
-* in a bucket of equal signatures every node is compared with the smallest one only; links between
-  these give first components;
-* buckets that still hold more than one component are compared in full across components.
+All links are found and counted, and no list of pairs is made:
 
-A pair that shares a signature is thus verified, or already known to be connected.
+* equal sets collapse to one node first;
+* sets that share a signature are in one candidate cluster, whatever their similarity; only edges to
+  the smallest set of each signature are needed to find the clusters;
+* the sets of a cluster are dealt to blocks of bounded size, and each two blocks meet in one task,
+  which compares all their sets and returns each set's number of links and a spanning forest of them.
 """
 
 from __future__ import annotations
@@ -56,8 +58,8 @@ class Similarity:
 
 
 def scheme(k: int) -> tuple[int, int, int]:
-    """(groups n1, cells n2, cells left out k2) with n1 * (k2 + 1) > k."""
-    return (1, k + 3, k) if k <= 2 else (k // 2 + 1, 3, 1)
+    """(groups n1, cells n2, cells left out k2): n1 * (k2 + 1) > k, with a group to spare where k > 2."""
+    return (1, k + 3, k) if k <= 2 else (k // 2 + 2, 3, 1)
 
 
 def signatures(features: np.ndarray, sim: Similarity, bands: np.ndarray) -> np.ndarray:
@@ -79,10 +81,17 @@ def signatures(features: np.ndarray, sim: Similarity, bands: np.ndarray) -> np.n
         # a cell is a range of hashes, so it is a run of the sorted features
         edge = np.searchsorted((high * np.uint64(cells)) >> np.uint64(32), np.arange(cells + 1, dtype=np.uint64))
         content = np.diff(total[edge]).reshape(n1, n2)
-        for j, subset in enumerate(combinations(range(n2), n2 - k2)):
+        held = np.diff(edge).reshape(n1, n2)
+        subsets = list(combinations(range(n2), n2 - k2))
+        empty = np.stack([held[:, s].sum(axis=1) == 0 for s in subsets], axis=1)
+        if k > 2 and empty.any(axis=1).sum() <= 1:
+            use = ~empty
+        else:
+            use = np.ones_like(empty)
+        for j, subset in enumerate(subsets):
             where = np.arange(n1, dtype=np.uint64) * np.uint64(comb(n2, k2)) + np.uint64(j)
             tag = W.mix(where + np.uint64(band << 40))
-            out.append(W.mix(content[:, subset].sum(axis=1, dtype=np.uint64) + tag))
+            out.append(W.mix(content[:, subset].sum(axis=1, dtype=np.uint64) + tag)[use[:, j]])
     return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
 
@@ -112,13 +121,13 @@ def set_digests(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFram
 
 
 def signature_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame:
-    """(sig, digest, n) of the distinct sets; a task emits the signatures of a set once."""
+    """(sig, digest) of the distinct sets; a task emits the signatures of a set once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = sim.bands(1 << 16), set()
         for batch in batches:
             step = max(1, min(batch.num_rows, int(batch.num_rows * (2 << 20) / max(1, batch.nbytes))))
             for at in range(0, batch.num_rows, step):
-                sigs, owner, size = [], [], []
+                sigs, owner = [], []
                 for _, x in shingle_sets(batch.slice(at, step), "text", sim.n):
                     d = digest(x)
                     if not len(x) or d in seen:
@@ -131,49 +140,86 @@ def signature_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame
                     s = signatures(x, sim, bands)
                     sigs.append(s)
                     owner.append(np.full(len(s), d, dtype=np.int64))
-                    size.append(np.full(len(s), len(x), dtype=np.int32))
                 if sigs:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(owner)),
-                         pa.array(np.concatenate(size))], names=["sig", "digest", "n"])
+                        [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(owner))],
+                        names=["sig", "digest"])
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "sig long, digest long, n int")
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "sig long, digest long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the similarity; ``sets`` has (node, features)."""
+def feature_sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, n: int) -> DataFrame:
+    """``nodes`` (digest, n, id, ...) with their ``features``; only rows of their ids are shuffled."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keep = []
-        for i in range(batch.num_rows):
-            x = np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.uint64)
-            y = np.frombuffer(batch.column(3)[i].as_buffer(), dtype=np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if sim.den * both >= sim.num * (len(x) + len(y) - both):
-                keep.append(i)
-        if keep:
-            yield batch.select([0, 1]).take(pa.array(keep))
-
-    left = sets.select(F.col("node").alias("b"), F.col("features").alias("fb"))
-    right = sets.select(F.col("node").alias("a"), F.col("features").alias("fa"))
-    node = "struct<digest:long,n:int>"
-    return map_batches(pairs.join(left, "b").join(right, "a").select("a", "b", "fa", "fb"), run, f"a {node}, b {node}")
-
-
-def feature_sets(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame, n: int) -> DataFrame:
-    """(node, features) of the nodes in ``reps`` (node, id); only their rows of ``docs`` are shuffled."""
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        at = {row: x.tobytes() for row, x in shingle_sets(batch, "text", n)}
-        found = [(digest(np.frombuffer(x, dtype=np.uint64)), len(x) // 8, x) for x in (at[i] for i in range(batch.num_rows))]
+        found = [x for _, x in shingle_sets(batch, "text", n)]
         yield pa.RecordBatch.from_arrays(
-            [pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int32())],
-                                        names=["digest", "n"]),
-             pa.array([x[2] for x in found], pa.binary())], names=["node", "features"])
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = keep_buckets(rows, F.col("id"), reps, F.col("id")).join(reps.select("id"), "id", "left_semi")
-    sets = map_batches(rows.select("text"), run, "node struct<digest:long,n:int>, features binary")
-    # an id that repeats with other texts gives other nodes too: keep the wanted ones, once each
-    return sets.join(reps.select("node"), "node", "left_semi").groupBy("node").agg(F.first("features").alias("features"))
+            [pa.array([digest(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64()),
+             pa.array([x.tobytes() for x in found], pa.binary())], names=["digest", "n", "features"])
+
+    key = F.struct(F.col(id_col).alias("id"))  # in a struct a null id equals another
+    wanted = nodes.select(F.struct("id").alias("key")).distinct()
+    rows = keep_buckets(docs.select(key.alias("key"), F.col(text_col).alias("text")), F.col("key"), wanted, F.col("key"))
+    sets = map_batches(rows.join(wanted, "key", "left_semi").select("text"), run, "digest long, n long, features binary")
+    # an id that repeats with other texts gives other sets too, and repeated rows the same one again
+    return nodes.join(sets, ["digest", "n"]).groupBy(*nodes.columns).agg(F.first("features").alias("features"))
+
+
+#: Sets, and features of sets, that a block of a cluster holds on average at most.
+BLOCK_SETS, BLOCK_FEATURES = 256, 1 << 19
+
+
+def compare(sizes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
+            copies: np.ndarray, sim: Similarity) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Numbers of links of each set, and a spanning forest of them, between the sets ``left`` and
+    ``right`` (boolean); sets that are both meet each other once."""
+    vocab, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    cut = np.concatenate([[0], np.cumsum(sizes)])
+    links, forest, root = np.zeros(len(sets), dtype=np.int64), [], np.arange(len(sets))
+    mark = np.zeros(len(vocab), dtype=np.int32)
+    for i in np.flatnonzero(left):
+        own = flat[cut[i]:cut[i + 1]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[flat], cut[:-1])
+        mark[own] = 0
+        hit = right & (sim.den * both >= sim.num * (sizes + sizes[i] - both))
+        hit &= ~left | (np.arange(len(sets)) > i)  # two of the same side meet once
+        for j in np.flatnonzero(hit):
+            links[i] += copies[j]
+            links[j] += copies[i]
+            if root[i] != root[j]:
+                root[root == root[j]] = root[i]
+                forest.append((int(i), int(j)))
+    return links, forest
+
+
+def compare_blocks(sets: DataFrame, sim: Similarity) -> DataFrame:
+    """(a, b, links): forest edges a-b, and numbers of links of a with b null.
+
+    ``sets`` has (cluster, digest, n, copies, features). Each row goes to the pairs of blocks that its
+    block is in; a pair of blocks is one group.
+    """
+    size = sets.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_FEATURES)).cast("int")
+    own = F.pmod(F.xxhash64("digest", "n"), F.col("blocks")).cast("int")
+    dealt = (sets.join(size.select("cluster", blocks.alias("blocks")), "cluster").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "n", "copies", "features"))
+
+    def run(group: pa.Table) -> pa.Table:
+        sizes, own = group["n"].to_numpy(), group["own"].to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group["features"]]
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        left, right = own == i, own == j
+        links, forest = compare(sizes, sets, left, right, group["copies"].to_numpy(), sim)
+        node = pa.StructArray.from_arrays([group["digest"].combine_chunks(), group["n"].combine_chunks()], names=["digest", "n"])
+        at = np.flatnonzero(links)
+        a = pa.array([*at.tolist(), *[x for x, _ in forest]], pa.int64())
+        b = pa.array([*[None] * len(at), *[x for _, x in forest]], pa.int64())
+        count = pa.array([*links[at].tolist(), *[None] * len(forest)], pa.int64())
+        return pa.Table.from_arrays([node.take(a), node.take(b), count], names=["a", "b", "links"])
+
+    node = "struct<digest:long,n:long>"
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(run, f"a {node}, b {node}, links long")
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -181,8 +227,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, n_shingles, n_links, component): one row for each row of ``docs``.
 
     The component is the smallest id reachable by links, the row's own included; ``n_links`` counts
-    the distinct other texts' sets that a row's set was found linked with while connecting it, plus
-    one where its own set occurs again.
+    the other rows that a row is linked with, equal ones among them.
 
     A null or empty text, or one without words, has no shingles and is linked with nothing, not with
     another empty one either. A text of fewer words than a shingle is one shingle of its whole
@@ -190,54 +235,33 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the smallest id it is linked with (null if it has none). An empty table gives an empty table.
     """
     base = written(set_digests(docs, id_col, text_col, sim.n), "sets")
-    node = F.struct("digest", F.col("n_shingles").cast("int").alias("n"))
-    nodes = (base.where("n_shingles > 0").groupBy(node.alias("node"))
+    nodes = (base.where("n_shingles > 0").groupBy("digest", F.col("n_shingles").alias("n"))
              .agg(F.min("id").alias("id"), F.count("*").alias("copies")))
 
-    rows = signature_rows(docs, text_col, sim).select("sig", F.struct("digest", "n").alias("node"))
-    shared = (rows.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("other"))
+    rows = signature_rows(docs, text_col, sim)
+    shared = (rows.groupBy("sig").agg(F.min("digest").alias("hub"), F.max("digest").alias("other"))
               .where("hub != other").select("sig", "hub"))
-    members = written(rows.join(shared, "sig").select("sig", "hub", "node").distinct(), "buckets")
-
-    close = f"{sim.den} * least(a.n, b.n) >= {sim.num} * greatest(a.n, b.n)"
-    star = written(members.where("hub != node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-                   .distinct().where(close), "pairs")
-    links = written(verified(star, feature_sets(docs, id_col, text_col, _reps(star, nodes), sim.n), sim), "linked")
-    first = components(links, "a", "b")
-
-    # buckets of more than one component: every pair across components, each pair once
-    placed = (members.join(first, "node", "left")
-              .select("sig", "node", F.coalesce("component", "node").alias("part")))
-    mixed = placed.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi").select("sig")
-    left = written(placed.join(mixed, "sig", "left_semi"), "mixed")
-    right = left.select("sig", F.col("node").alias("b"), F.col("part").alias("pb"))
-    rest = (left.select("sig", F.col("node").alias("a"), F.col("part").alias("pa")).join(right, "sig")
-            .where("pa < pb").where(close)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            .join(star, ["a", "b"], "left_anti"))
-    rest = written(rest, "pairs")
-    more = verified(rest, feature_sets(docs, id_col, text_col, _reps(rest, nodes), sim.n), sim)
-    links = written(links.union(more), "linked")
-    parts = components(links, "a", "b")
-
-    degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree")))
-    found = (nodes.join(parts, "node", "left").join(degree, "node", "left")
-             .select("node", "id", "copies", F.coalesce("degree", F.lit(0)).alias("degree"),
-                     F.coalesce("component", "node").alias("part")))
-    least = found.groupBy("part").agg(F.min("id").alias("component"))
-    found = found.join(least, "part").select(
-        "node", "component", (F.col("degree") + (F.col("copies") > 1).cast("long")).alias("n_links"))
-    return (base.withColumn("node", F.when(F.col("n_shingles") > 0, node)).join(found, "node", "left")
+    star = written(rows.join(shared, "sig").where("hub != digest").select("hub", "digest").distinct(), "candidates")
+    clusters = components(star, "hub", "digest")
+
+    wanted = written(nodes.join(clusters.select(F.col("node").alias("digest"), F.col("component").alias("cluster")), "digest")
+                     .select("cluster", "digest", "n", "id", "copies"), "clusters")
+    found = written(compare_blocks(feature_sets(docs, id_col, text_col, wanted, sim.n), sim), "compared")
+    parts = components(found.where("b is not null"), "a", "b")
+    links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+
+    node = F.struct("digest", "n")
+    placed = (nodes.withColumn("node", node).join(parts, "node", "left").join(links, "node", "left")
+              .select("node", "id", F.coalesce("component", "node").alias("part"),
+                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    least = placed.groupBy("part").agg(F.min("id").alias("component"))
+    placed = placed.join(least, "part").select("node", "component", "n_links")
+    own = F.when(F.col("n_shingles") > 0, F.struct("digest", F.col("n_shingles").alias("n")))
+    return (base.withColumn("node", own).join(placed, "node", "left")
             .select("id", "n_shingles", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
                     F.coalesce("component", F.col("id")).alias("component")))
 
 
-def _reps(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, id) of the nodes in the pairs; a node's smallest id stands for it."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return written(wanted.join(nodes.select("node", "id"), "node"), "reps")
-
-
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      sim: Similarity = Similarity()) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component: one document of each group stays.
