@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, lines, mixing, pages, quality, toxicity
+from . import decontamination, lines, mixing, pages, pii, quality, toxicity
 from .common import table
 from .jaccard import Similarity, jaccard_join
 
@@ -24,6 +24,14 @@ def op2_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in all documents."""
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    spans = F.concat_ws(",", F.nullif(F.col("base"), F.lit("")), F.nullif(F.col("added"), F.lit("")))
+    return found.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base", 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op5_seed_alignment_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a test item that it holds."""
     found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -58,6 +66,7 @@ def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_tag_path_extraction": op2_tag_path_extraction,
+    "op3_bootstrapped_pii": op3_bootstrapped_pii,
     "op5_seed_alignment_decontamination": op5_seed_alignment_decontamination,
     "op7_deletion_line_dedup": op7_deletion_line_dedup,
     "op8_adaptive_quality": op8_adaptive_quality,
