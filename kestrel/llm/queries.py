@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, lines, mixing, pages, pii, quality, toxicity
+from . import decontamination, language_model, lines, mixing, pages, pii, quality, toxicity
 from .common import table
 from .jaccard import Similarity, jaccard_join
 
@@ -38,6 +38,11 @@ def op5_seed_alignment_decontamination(spark: SparkSession, sf_dir: str) -> Data
     return found.selectExpr("id AS doc_id", "item AS item_id", "score", "first_word", "stop_word")
 
 
+def op6_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those that are not held out."""
+    return language_model.score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_deletion_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lose lines: the lines' numbers, how many of them are near ones, and whose lines stay."""
     found = lines.dropped_lines(table(spark, sf_dir, "documents"))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_tag_path_extraction": op2_tag_path_extraction,
     "op3_bootstrapped_pii": op3_bootstrapped_pii,
     "op5_seed_alignment_decontamination": op5_seed_alignment_decontamination,
+    "op6_kneser_ney_scores": op6_kneser_ney_scores,
     "op7_deletion_line_dedup": op7_deletion_line_dedup,
     "op8_adaptive_quality": op8_adaptive_quality,
     "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
