@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_model, lines, mixing, pages, pii, quality, toxicity
+from . import decontamination, language_model, lines, mixing, pages, pii, quality, sentences, toxicity
 from .common import table
 from .jaccard import Similarity, jaccard_join
 
@@ -32,6 +32,14 @@ def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("base", 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op4_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose sentences: their numbers, and the documents in which the spans come first."""
+    found = sentences.covered(sentences.repeated_spans(table(spark, sf_dir, "documents")))
+    return found.select(F.col("id").alias("doc_id"), F.size("gone").cast("long").alias("n_removed"),
+                        F.concat_ws(",", F.transform("gone", lambda x: x.cast("string"))).alias("sentences"),
+                        F.col("kept_ids").alias("kept_in"))
+
+
 def op5_seed_alignment_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a test item that it holds."""
     found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -49,7 +57,7 @@ def op7_deletion_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(F.col("id").alias("doc_id")).agg(
         F.count("*").alias("n_dropped"), F.sum(F.col("near").cast("long")).alias("n_near"),
         F.concat_ws(",", F.transform(F.sort_array(F.collect_list("line")), lambda x: x.cast("string"))).alias("lines"),
-        F.concat_ws(",", F.transform(F.sort_array(F.collect_set("kept_id")), lambda x: x.cast("string"))).alias("kept_in"))
+        F.sort_array(F.collect_set("kept_id")).alias("kept_in"))
 
 
 def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_tag_path_extraction": op2_tag_path_extraction,
     "op3_bootstrapped_pii": op3_bootstrapped_pii,
+    "op4_sentence_span_dedup": op4_sentence_span_dedup,
     "op5_seed_alignment_decontamination": op5_seed_alignment_decontamination,
     "op6_kneser_ney_scores": op6_kneser_ney_scores,
     "op7_deletion_line_dedup": op7_deletion_line_dedup,
