@@ -14,8 +14,8 @@ than one group: one group more than needed makes up for the others.
 All links are found and counted, and no list of pairs is made:
 
 * equal sets collapse to one node first;
-* sets that share a signature are in one candidate cluster, whatever their similarity; only edges to
-  the smallest set of each signature are needed to find the clusters;
+* sets that share a signature are in one candidate cluster, whatever their similarity; for that,
+  edges to the smallest set of each signature are enough, and a task combines its own sets first;
 * the sets of a cluster are dealt to blocks of bounded size, and each two blocks meet in one task,
   which compares all their sets and returns each set's number of links and a spanning forest of them.
 """
@@ -31,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import words as W
-from .common import keep_buckets, map_batches, rows_of, written
+from .common import keep_buckets, map_batches, other_buckets, rows_of, written
 from .components import components
 
 
@@ -57,9 +58,30 @@ class Similarity:
         return np.array(low + [low[-1] * self.den // self.num + 1], dtype=np.int64)
 
 
-def scheme(k: int) -> tuple[int, int, int]:
-    """(groups n1, cells n2, cells left out k2): n1 * (k2 + 1) > k, with a group to spare where k > 2."""
-    return (1, k + 3, k) if k <= 2 else (k // 2 + 2, 3, 1)
+@dataclass(frozen=True)
+class Scheme:
+    """``groups`` of ``cells``, of which a signature leaves out ``out``; ``spare`` groups more than the bound needs."""
+
+    groups: int
+    cells: int
+    out: int
+    spare: int
+
+
+def scheme(k: int, sim: Similarity) -> Scheme:
+    """How signatures are made for at most ``k`` differences: (groups - spare) * (out + 1) > k.
+
+    More cells of fewer groups make a signature's content larger, so that fewer sets share it by
+    chance, and signatures more numerous. Small sets are given many, for they have few features;
+    for large sets the number of signatures is 0.6 to 0.8 per feature and instance at most.
+    """
+    if k <= 6:
+        return Scheme(1, k + 3, k, 0)
+    if k <= 20:
+        return Scheme(k // 3 + 2, 4, 2, 1)
+    groups = k // 2 + 1
+    spare = 1 + groups // 12
+    return Scheme(groups + spare, 3 if 6 * sim.num >= 5 * sim.den else 2, 1, spare)
 
 
 def signatures(features: np.ndarray, sim: Similarity, bands: np.ndarray) -> np.ndarray:
@@ -76,20 +98,20 @@ def signatures(features: np.ndarray, sim: Similarity, bands: np.ndarray) -> np.n
         k = sim.differences(int(bands[band + 1]) - 1)
         if k == 0:  # only equal sets are this close, and those are one node
             continue
-        n1, n2, k2 = scheme(k)
+        how = scheme(k, sim)
+        n1, n2 = how.groups, how.cells
         cells = n1 * n2
         # a cell is a range of hashes, so it is a run of the sorted features
         edge = np.searchsorted((high * np.uint64(cells)) >> np.uint64(32), np.arange(cells + 1, dtype=np.uint64))
         content = np.diff(total[edge]).reshape(n1, n2)
         held = np.diff(edge).reshape(n1, n2)
-        subsets = list(combinations(range(n2), n2 - k2))
+        subsets = list(combinations(range(n2), n2 - how.out))
         empty = np.stack([held[:, s].sum(axis=1) == 0 for s in subsets], axis=1)
-        if k > 2 and empty.any(axis=1).sum() <= 1:
-            use = ~empty
-        else:
-            use = np.ones_like(empty)
+        # a set with empty signatures in no more groups than are to spare needs none of them
+        few = how.spare and empty.any(axis=1).sum() <= how.spare
+        use = ~empty if few else np.ones_like(empty)
         for j, subset in enumerate(subsets):
-            where = np.arange(n1, dtype=np.uint64) * np.uint64(comb(n2, k2)) + np.uint64(j)
+            where = np.arange(n1, dtype=np.uint64) * np.uint64(comb(n2, how.out)) + np.uint64(j)
             tag = W.mix(where + np.uint64(band << 40))
             out.append(W.mix(content[:, subset].sum(axis=1, dtype=np.uint64) + tag)[use[:, j]])
     return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
@@ -109,25 +131,48 @@ def digest(features: np.ndarray) -> int:
 
 
 def set_digests(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(id, n_shingles, digest) of every row."""
+    """(id, th, n_shingles, digest) of every row; th is the hash of the text."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = [(len(x), digest(x)) for _, x in shingle_sets(batch, "text", n)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())],
-            names=["id", "n_shingles", "digest"])
+            [batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())],
+            names=["id", "th", "n_shingles", "digest"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
+    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, th long, n_shingles long, digest long")
+
 
-    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run,
-                       "id long, n_shingles long, digest long")
+#: Signatures that a task gathers before it sends them on.
+FLUSH = 1 << 20
 
 
-def signature_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame:
-    """(sig, digest) of the distinct sets; a task emits the signatures of a set once."""
+def candidate_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame:
+    """(sig, digest, other) of the distinct sets, combined before the shuffle.
+
+    Of the sets that share a signature among those a task has gathered, only the smallest digest goes
+    on with the signature; the others go once each, as an edge from it (``other``). However many
+    documents share a signature, it has one row for each time a task sends what it has gathered.
+    """
+    def flush(sig: np.ndarray, digests: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((digests, sig))
+        sig, digests = sig[order], digests[order]
+        first = np.concatenate([[True], sig[1:] != sig[:-1]])
+        head = np.flatnonzero(first)
+        hub = np.repeat(digests[head], np.diff(np.append(head, len(sig))))
+        edges = np.unique(np.stack([hub, digests], axis=1)[hub != digests], axis=0)
+        lone = W.mix(edges[:, 0].view(np.uint64) * np.uint64(3) + edges[:, 1].view(np.uint64))
+        other = pa.array(np.concatenate([np.zeros(len(head), np.int64), edges[:, 1]]),
+                         mask=np.arange(len(head) + len(edges)) < len(head))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([sig[head], lone]).view(np.int64)), pa.array(np.concatenate([digests[head], edges[:, 0]])), other],
+            names=["sig", "digest", "other"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = sim.bands(1 << 16), set()
+        sigs, owner, size = [], [], 0
         for batch in batches:
             step = max(1, min(batch.num_rows, int(batch.num_rows * (2 << 20) / max(1, batch.nbytes))))
             for at in range(0, batch.num_rows, step):
-                sigs, owner = [], []
                 for _, x in shingle_sets(batch.slice(at, step), "text", sim.n):
                     d = digest(x)
                     if not len(x) or d in seen:
@@ -140,12 +185,22 @@ def signature_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame
                     s = signatures(x, sim, bands)
                     sigs.append(s)
                     owner.append(np.full(len(s), d, dtype=np.int64))
-                if sigs:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(owner))],
-                        names=["sig", "digest"])
+                    size += len(s)
+                    if size >= FLUSH:
+                        yield flush(np.concatenate(sigs), np.concatenate(owner))
+                        sigs, owner, size = [], [], 0
+        if size:
+            yield flush(np.concatenate(sigs), np.concatenate(owner))
+
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "sig long, digest long, other long")
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "sig long, digest long")
+
+def candidate_edges(rows: DataFrame) -> DataFrame:
+    """Distinct (a, b): sets that share a signature are connected by them."""
+    hub = F.min("digest").over(Window.partitionBy("sig"))
+    met = rows.withColumn("hub", hub).where("hub != digest or other is not null")
+    ends = F.array(F.struct(F.col("hub").alias("a"), F.col("digest").alias("b")), F.struct(F.col("digest").alias("a"), F.col("other").alias("b")))
+    return met.select(F.explode(ends).alias("e")).select("e.*").where("a != b").distinct()
 
 
 def feature_sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, n: int) -> DataFrame:
@@ -165,7 +220,7 @@ def feature_sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame,
 
 
 #: Sets, and features of sets, that a block of a cluster holds on average at most.
-BLOCK_SETS, BLOCK_FEATURES = 256, 1 << 19
+BLOCK_SETS, BLOCK_FEATURES = 512, 1 << 19
 
 
 def compare(sizes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
@@ -234,15 +289,17 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sequence. Rows that repeat an id come back as often as they came. A row whose id is null gets
     the smallest id it is linked with (null if it has none). An empty table gives an empty table.
     """
+    return grouped(docs, id_col, text_col, sim).select(
+        "id", "n_shingles", "n_links", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+
+
+def grouped(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
+    """(id, th, n_shingles, n_links, part, component) of each row; part names its group, null without words."""
     base = written(set_digests(docs, id_col, text_col, sim.n), "sets")
     nodes = (base.where("n_shingles > 0").groupBy("digest", F.col("n_shingles").alias("n"))
              .agg(F.min("id").alias("id"), F.count("*").alias("copies")))
 
-    rows = signature_rows(docs, text_col, sim)
-    shared = (rows.groupBy("sig").agg(F.min("digest").alias("hub"), F.max("digest").alias("other"))
-              .where("hub != other").select("sig", "hub"))
-    star = written(rows.join(shared, "sig").where("hub != digest").select("hub", "digest").distinct(), "candidates")
-    clusters = components(star, "hub", "digest")
+    clusters = components(candidate_edges(candidate_rows(docs, text_col, sim)), "a", "b")
 
     wanted = written(nodes.join(clusters.select(F.col("node").alias("digest"), F.col("component").alias("cluster")), "digest")
                      .select("cluster", "digest", "n", "id", "copies"), "clusters")
@@ -255,21 +312,28 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .select("node", "id", F.coalesce("component", "node").alias("part"),
                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     least = placed.groupBy("part").agg(F.min("id").alias("component"))
-    placed = placed.join(least, "part").select("node", "component", "n_links")
+    placed = placed.join(least, "part").select("node", "part", "component", "n_links")
     own = F.when(F.col("n_shingles") > 0, F.struct("digest", F.col("n_shingles").alias("n")))
     return (base.withColumn("node", own).join(placed, "node", "left")
-            .select("id", "n_shingles", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-                    F.coalesce("component", F.col("id")).alias("component")))
+            .select("id", "th", "n_shingles", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "part", "component"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      sim: Similarity = Similarity()) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component: one document of each group stays.
+    """One row of ``docs`` for each group of linked ones: that of the smallest id, null last, all columns as they are.
 
-    Rows without words are in no group and stay. Rows whose id is null stay only where no row with an
-    id is linked with them.
+    Rows without words are in no group and stay. Of rows that repeat id and text any one stays.
     """
-    found = jaccard_join(docs, id_col, text_col, sim)
-    gone = found.where("n_shingles > 0 and (id is null and component is not null or id != component)").select("id").distinct()
-    kept = docs.withColumn("__id", F.col(id_col)).join(gone.withColumnRenamed("id", "__gone"), F.col("__id").eqNullSafe(F.col("__gone")), "left_anti")
-    return kept.drop("__id")
+    found = grouped(docs, id_col, text_col, sim).where("part is not null")
+    rank = F.struct(F.col("id").isNull().alias("no"), "id", "th")
+    found = written(found.groupBy("part", "id", "th").agg(F.count("*").alias("times")), "groups")
+    least = found.groupBy("part").agg(F.min(rank).alias("least"))
+    acts = written(found.join(least, "part").select(F.struct("id", "th").alias("key"), "times", (rank != F.col("least")).alias("gone"))
+                   .where("gone or times > 1"), "acts")
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"))
+    same = other_buckets(docs, key, acts, F.col("key"))
+    rows = (keep_buckets(docs, key, acts, F.col("key")).select(F.struct("*").alias("row"), key.alias("key"))
+            .join(acts, "key", "left").where("not coalesce(gone, false)"))
+    lone = rows.where("times is null").select("row.*")
+    one = rows.where("times is not null").groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    return same.union(lone).union(one)
