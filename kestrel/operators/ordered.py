@@ -1,243 +1,95 @@
-"""Order-dependent operators that stay parallel when one group is huge.
+"""Order-dependent operators that stay parallel when one group is huge, as DataFrame operations only.
 
 ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one task, so a key holding a
 third of the rows becomes a third of the job in a single task, and a window with no partition key
-runs in one task outright. The operators here keep the same results but split the work by range:
+runs in one task outright. The operators here give the same results with the work split by range:
 
-1. ``repartitionByRange`` on (keys, order) then ``sortWithinPartitions``: a hot key is cut into many
-   ranges, each a partition. The result is checkpointed to the shared checkpoint folder so both
-   passes below see identical partitions (range bounds come from sampling).
-2. Pass 1 (``mapInPandas``, narrow): each partition reports its first key and its end state per
-   operation (last value, last non-null value, running sum) - one small row per partition.
-3. The driver folds those rows in partition order into the state entering each partition. Its size
-   is bounded by the number of partitions, never by the data.
-4. Pass 2 (``mapInPandas``, narrow): each partition applies the operation with that entering state.
+1. ``repartitionByRange`` on (keys, order) cuts a hot key into many ranges. The frame is written to
+   the shared scratch folder with its range number, so that every later step sees the same ranges
+   (range bounds come from sampling) and columns that a step does not need are not read.
+2. Windows inside (range, key) give each row's value as if the key began with the range.
+3. The last row of each (range, key) holds that piece's end state. A window over these few rows, at
+   most one for each range and key, gives the state that enters each piece.
+4. The entering state is joined back on (range, key): ``lag`` takes it on a piece's first row,
+   ``ffill`` where nothing was seen yet, ``cumsum`` adds it.
 
 Supported operations: ``lag`` (previous row's value in the group), ``ffill`` (last non-null value so
 far in the group, current row included) and ``cumsum`` (running sum in the group, current row
-included). ``keys=[]`` treats the whole frame as one group (global row numbers, prefix sums).
-
-``strategy="auto"`` first counts rows per key (a partial aggregate, one small row per key and task)
-and uses a plain window - JVM only, no Python, no checkpoint - when the largest key holds at most
-``kestrel.ordered.maxGroupRows`` rows (default 2,000,000); otherwise, and always without keys, the
-range-partitioned scan above. Both give the same result.
-
-Limit of the range path: values travel through pandas, where an integer column with nulls is
-float64, so integers beyond 2**53 in such a column (or produced by ``lag`` on one) lose precision.
-Running counts and sums of doubles are unaffected.
+included, nulls as 0). ``keys=[]`` treats the whole frame as one group (row numbers, prefix sums).
+There is one path for every size. Values never leave their Spark types; the sum of doubles is added
+up range by range, in another order than a single window's.
 """
 
 from __future__ import annotations
 
-import pickle
-import sys
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-# The per-partition functions below run in Python workers. Ship this module's code with them
-# (pickled by value), so executors need no copy of the package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from kestrel.session import written
 
 _KINDS = ("lag", "ffill", "cumsum")
-MAX_GROUP_ROWS_KEY = "kestrel.ordered.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
-
-def _norm(v):
-    """Hashable, null-normalised Python value for key comparison."""
-    if v is None:
-        return None
-    if isinstance(v, float) and np.isnan(v):
-        return None
-    if v is pd.NaT:
-        return None
-    if isinstance(v, np.generic):
-        v = v.item()
-        if isinstance(v, float) and np.isnan(v):
-            return None
-    return v
-
-
-def _row_key(pdf: pd.DataFrame, keys: Sequence[str], i: int) -> tuple:
-    return tuple(_norm(pdf[k].iloc[i]) for k in keys)
-
-
-def _group_starts(pdf: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
-    n = len(pdf)
-    starts = np.zeros(n, dtype=bool)
-    if n:
-        starts[0] = True
-    if keys and n > 1:
-        k = pdf[list(keys)]
-        prev = k.shift(1)
-        same = (k == prev) | (k.isna() & prev.isna())
-        starts |= ~same.all(axis=1).to_numpy()
-    return starts
-
-
-def _apply_batch(pdf: pd.DataFrame, keys, ops, state):
-    """Apply ``ops`` to one sorted batch given the state entering it; return (columns, new state)."""
-    n = len(pdf)
-    if n == 0:
-        return {out: pd.Series([], dtype=object) for _, _, out in ops}, state
-    starts = _group_starts(pdf, keys)
-    gid = np.cumsum(starts) - 1
-    first_key = _row_key(pdf, keys, 0)
-    last_key = _row_key(pdf, keys, n - 1)
-    cont = state is not None and state[0] == first_key
-    in_first = gid == 0
-    cols, ends = {}, []
-    for j, (kind, src, out) in enumerate(ops):
-        v = pdf[src]
-        carried = state[1][j] if cont else None
-        if kind == "lag":
-            res = v.shift(1).mask(starts)
-            if cont and carried is not None:
-                res.iloc[0] = carried
-            end = _norm(v.iloc[-1])
-        elif kind == "ffill":
-            res = v.groupby(gid).ffill()
-            if cont and carried is not None:
-                fill_mask = in_first & res.isna().to_numpy()
-                if fill_mask.any():
-                    res = res.copy()
-                    res[fill_mask] = carried
-            end = _norm(res.iloc[-1])
-        else:  # cumsum
-            res = v.fillna(0).groupby(gid).cumsum()
-            if cont and carried is not None:
-                res = res + np.where(in_first, carried, 0)
-            end = _norm(res.iloc[-1])
-        cols[out] = res.reset_index(drop=True)
-        ends.append(end)
-    return cols, (last_key, ends)
-
-
-def _fold_states(summaries: list[tuple[int, tuple | None, bool, tuple | None]], ops):
-    """Driver-side fold: state entering each partition, from per-partition (pid, first_key, single, end);
-    also the state after the last partition (the last key's totals)."""
-    entering, state = {}, None
-    for pid, first_key, single, end in sorted(summaries, key=lambda s: s[0]):
-        if end is None:  # empty partition
-            continue
-        entering[pid] = state
-        if state is not None and single and state[0] == first_key:
-            merged = []
-            for (kind, _, _), s_in, s_p in zip(ops, state[1], end[1]):
-                if kind == "lag":
-                    merged.append(s_p)
-                elif kind == "ffill":
-                    merged.append(s_p if s_p is not None else s_in)
-                else:
-                    merged.append((s_in or 0) + (s_p or 0))
-            state = (end[0], merged)
-        else:
-            state = end
-    return entering, state
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                  ops: Sequence[tuple[str, str, str]], n_partitions: int | None = None,
-                 out_types: dict[str, T.DataType] | None = None, return_final: bool = False,
-                 strategy: str = "auto"):
+                 out_types: dict[str, T.DataType] | None = None) -> DataFrame:
     """Add one column per ``(kind, input_col, output_col)`` computed in (keys, order) order.
 
     ``order`` must make the order total inside each key (add a unique tiebreak column), otherwise
-    the result depends on arrival order exactly as a window's would. With ``return_final`` the
-    result is ``(frame, final)`` where ``final`` is the state after the last row, one value per op
-    (for ``keys=[]`` the grand totals), known on the driver without another job.
+    the result depends on arrival order exactly as a window's would. Null keys form one group.
     """
-    keys = list(keys)
-    ops = [tuple(o) for o in ops]
+    keys, ops = list(keys), [tuple(o) for o in ops]
     for kind, _, _ in ops:
         if kind not in _KINDS:
             raise ValueError(f"unknown ordered operation {kind!r}")
-    spark = df.sparkSession
-    sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
-    if strategy == "auto":
-        strategy = "range"
-        if keys and not return_final:
-            limit = int(spark.conf.get(MAX_GROUP_ROWS_KEY, str(DEFAULT_MAX_GROUP_ROWS)))
-            biggest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-            if biggest <= limit:
-                strategy = "window"
-    if strategy == "window":
-        return _window_ops(df, keys, sort_cols[len(keys):], ops, out_types)
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-    staged = staged.checkpoint(eager=True)
-
-    needed = list(dict.fromkeys(keys + [src for _, src, _ in ops]))
-
-    def summarize(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        state, first_key, seen = None, None, False
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if not seen:
-                first_key, seen = _row_key(pdf, keys, 0), True
-            _, state = _apply_batch(pdf, keys, ops, state)
-        single = seen and state[0] == first_key  # sorted by key: first == last means one group
-        yield pd.DataFrame({"pid": [pid], "summary": [pickle.dumps((first_key, single, state if seen else None))]})
-
-    rows = staged.select(*needed).mapInPandas(summarize, "pid int, summary binary").collect()
-    summaries = []
-    for r in rows:
-        first_key, single, end = pickle.loads(r["summary"])
-        summaries.append((r["pid"], first_key, bool(single), end))
-    entering, final = _fold_states(summaries, ops)
-
-    src_types = {f.name: f.dataType for f in staged.schema.fields}
-    out_fields = []
-    for kind, src, out in ops:
-        t = (out_types or {}).get(out)
-        if t is None:
-            t = src_types[src]
-            if kind == "cumsum" and isinstance(t, (T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
-                t = T.LongType()
-        out_fields.append(T.StructField(out, t, True))
-    out_schema = T.StructType(list(staged.schema.fields) + out_fields)
-    names = [f.name for f in out_schema.fields]
-
-    def apply(batches):
-        from pyspark import TaskContext
-        state = entering.get(TaskContext.get().partitionId())
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            cols, state = _apply_batch(pdf, keys, ops, state)
-            res = pdf.reset_index(drop=True)
-            for out, values in cols.items():
-                res[out] = values
-            yield res[names]
-
-    result = staged.mapInPandas(apply, out_schema)
-    if return_final:
-        return result, (list(final[1]) if final is not None else [None] * len(ops))
-    return result
-
-
-def _window_ops(df: DataFrame, keys, order_cols, ops, out_types) -> DataFrame:
-    """The same operations as window functions, for keys known to be small."""
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = []
-    for kind, src, out in ops:
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
+    staged = written(ranged.withColumn("__range", F.spark_partition_id()), "ordered")
+
+    piece = Window.partitionBy("__range", *keys).orderBy(*order_cols)
+    so_far = piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local, state = [], []
+    for j, (kind, src, _) in enumerate(ops):
+        if kind == "lag":
+            local.append(F.lag(src).over(piece).alias(f"__v{j}"))
+            state.append(F.struct(F.col(src).alias("s")).alias(f"__s{j}"))
+        elif kind == "ffill":
+            local.append(F.last(src, ignorenulls=True).over(so_far).alias(f"__v{j}"))
+            state.append(F.col(f"__v{j}").alias(f"__s{j}"))
+        else:
+            local.append(F.sum(F.coalesce(F.col(src), F.lit(0))).over(so_far).alias(f"__v{j}"))
+            state.append(F.col(f"__v{j}").alias(f"__s{j}"))
+    local += [F.row_number().over(piece).alias("__at"), F.lead(F.lit(True)).over(piece).isNull().alias("__end")]
+    needed = list(dict.fromkeys([*keys, *[src for _, src, _ in ops]]))
+    ordering = [c for c in staged.columns if c not in needed]  # order columns may be any expression
+
+    ends = (staged.select(*needed, *ordering, *local).where("__end")
+            .select("__range", *keys, *state))
+    earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    entering = []
+    for j, (kind, _, _) in enumerate(ops):
+        s = F.col(f"__s{j}")
+        entering.append((F.sum(s) if kind == "cumsum" else F.last(s, ignorenulls=True)).over(earlier).alias(f"__e{j}"))
+    carried = ends.select(F.col("__range").alias("__r"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *entering)
+
+    same = F.col("__range") == F.col("__r")
+    for i, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}"))
+    joined = staged.select("*", *local).join(carried, same, "left")
+    out = []
+    for j, (kind, _, name) in enumerate(ops):
+        v, e = F.col(f"__v{j}"), F.col(f"__e{j}")
         if kind == "lag":
-            c = F.lag(src).over(w)
+            c = F.when(F.col("__at") == 1, e.getField("s")).otherwise(v)
         elif kind == "ffill":
-            c = F.last(src, ignorenulls=True).over(run)
+            c = F.coalesce(v, e)
         else:
-            c = F.sum(F.coalesce(F.col(src), F.lit(0))).over(run)
-        t = (out_types or {}).get(out)
-        cols.append((c.cast(t) if t is not None else c).alias(out))
-    return df.select("*", *cols)
+            c = F.when(e.isNull(), v).otherwise(v + e)
+        t = (out_types or {}).get(name)
+        out.append((c.cast(t) if t is not None else c).alias(name))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *out)
 
 
 def lag_in_order(df: DataFrame, keys, order, col: str, out: str, **kw) -> DataFrame:

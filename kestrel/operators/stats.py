@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kestrel.functions.numeric import exact_sum, round_half_up
 from kestrel.operators.ordered import ordered_scan
+from kestrel.session import written
 
 
 def value_counts(df: DataFrame, col: str, count_col: str = "frequency") -> DataFrame:
@@ -28,11 +29,11 @@ def exact_percentile(df: DataFrame, col: str, q: float = 0.5, out: str = "median
     Linear interpolation between the values at 0-based ranks floor(p) and ceil(p), p = q*(n-1),
     written as lo + (hi - lo) * frac.
     """
-    vc = value_counts(df, col, "__n")
-    cum, final = ordered_scan(vc, [], [col], [("cumsum", "__n", "__cum")], return_final=True)
-    n = final[0] or 0  # total count, from the scan's driver-side fold
+    vc = written(value_counts(df, col, "__n"), "values")
+    n = vc.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
     if n == 0:
-        return cum.agg(F.lit(None).cast("double").alias(out))
+        return vc.agg(F.lit(None).cast("double").alias(out))
+    cum = ordered_scan(vc, [], [col], [("cumsum", "__n", "__cum")])
     pos = q * (n - 1)
     lo, hi = math.floor(pos), math.ceil(pos)
     frac = pos - lo

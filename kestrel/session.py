@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on: instants are compared in UTC, AQE re-plans joins and
 # shuffle partition counts at runtime and splits skewed join partitions.
@@ -17,9 +18,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Row parsers build wide projections (24 parsed fields, each a guarded conversion); inferring
-    # constraints over their aliases grows combinatorially and can stall planning for minutes.
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -51,13 +49,19 @@ def apply_defaults(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only when it is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; on a local master one under /tmp if it is unset.
+
+    On a cluster the driver's own folder is not seen by executors, so there the setting must be given.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="kestrel-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -74,7 +78,35 @@ def case_sensitive(spark: SparkSession):
         spark.conf.set("spark.sql.caseSensitive", old)
 
 
+_RUN = uuid.uuid4().hex[:12]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for tables a job writes and reads back."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/kestrel-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared checkpoint folder for tables a job writes and reads back.
+
+    All paths of a driver process lie in one folder, which is removed when the process ends.
+    """
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kestrel-scratch-{_RUN}"
+    if base not in _scratch:
+        _scratch.add(base)
+        atexit.register(_remove, spark, base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_scratch: set[str] = set()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that Spark writes it with, while the session still runs."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: its lineage ends there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,6 +1,8 @@
 """Ordered scans agree with window functions, including a key holding most rows across partitions."""
 
+import datetime
 import random
+from decimal import Decimal
 
 from pyspark.sql import Window as W, functions as F
 
@@ -33,7 +35,7 @@ def _as_dict(df, cols):
 def test_matches_windows_under_skew(spark):
     df = _skewed(spark)
     got = ordered_scan(df, ["k"], ["t"], [("lag", "v", "lag_v"), ("ffill", "h", "ff_h"), ("cumsum", "v", "cs_v")],
-                       n_partitions=12, strategy="range")
+                       n_partitions=12)
     cols = ["lag_v", "ff_h", "cs_v"]
     a, b = _as_dict(got, cols), _as_dict(_expected(df), cols)
     assert a.keys() == b.keys()
@@ -45,12 +47,12 @@ def test_matches_windows_under_skew(spark):
 
 def test_hot_key_is_split(spark):
     df = _skewed(spark)
-    staged = ordered_scan(df, ["k"], ["t"], [("lag", "v", "p")], n_partitions=12, strategy="range")
-    per_part = staged.groupBy(F.spark_partition_id().alias("pid")).agg(F.count_distinct("k").alias("keys"),
-                                                                       F.count(F.lit(1)).alias("n"))
-    hot = staged.filter("k = 3").select(F.spark_partition_id().alias("pid")).distinct().count()
-    assert hot > 1  # the hot key spans several tasks
-    assert per_part.agg(F.max("n")).first()[0] < 0.5 * df.count()
+    got = lag_in_order(df, ["k"], ["t"], "v", "p", n_partitions=12)
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    staged = spark.read.parquet(*got.inputFiles())
+    assert staged.where("k = 3").select("__range").distinct().count() > 1  # the hot key spans several pieces
+    assert staged.groupBy("__range").count().agg(F.max("count")).first()[0] < 0.5 * df.count()
 
 
 def test_global_row_numbers(spark):
@@ -62,31 +64,38 @@ def test_global_row_numbers(spark):
 def test_empty_partitions_and_null_keys(spark):
     rows = [(None, 1, 1.0), (None, 2, None), (1, 1, 5.0), (1, 2, 6.0)]
     df = spark.createDataFrame(rows, "k long, t long, v double")
-    got = {(r["k"], r["t"]): r["p"] for r in lag_in_order(df, ["k"], ["t"], "v", "p", n_partitions=16,
-                                                           strategy="range").collect()}
+    got = {(r["k"], r["t"]): r["p"] for r in lag_in_order(df, ["k"], ["t"], "v", "p", n_partitions=16).collect()}
     assert got == {(None, 1): None, (None, 2): 1.0, (1, 1): None, (1, 2): 5.0}
-    ff = {(r["k"], r["t"]): r["f"] for r in fill_forward(df, ["k"], ["t"], "v", "f", n_partitions=3,
-                                                         strategy="range").collect()}
+    ff = {(r["k"], r["t"]): r["f"] for r in fill_forward(df, ["k"], ["t"], "v", "f", n_partitions=3).collect()}
     assert ff[(None, 2)] == 1.0
-    cs = {(r["k"], r["t"]): r["c"] for r in cumulative_sum(df, ["k"], ["t"], "v", "c", n_partitions=3,
-                                                           strategy="range").collect()}
+    cs = {(r["k"], r["t"]): r["c"] for r in cumulative_sum(df, ["k"], ["t"], "v", "c", n_partitions=3).collect()}
     assert cs == {(None, 1): 1.0, (None, 2): 1.0, (1, 1): 5.0, (1, 2): 11.0}
 
 
-def test_auto_strategy_picks_by_largest_key_and_agrees(spark):
-    df = _skewed(spark)
-    ops = [("lag", "v", "lag_v"), ("ffill", "h", "ff_h"), ("cumsum", "v", "cs_v")]
-    cols = ["lag_v", "ff_h", "cs_v"]
-    window = ordered_scan(df, ["k"], ["t"], ops, strategy="window")
-    assert "MapInPandas" not in window._jdf.queryExecution().executedPlan().toString()
-    old = spark.conf.get("kestrel.ordered.maxGroupRows", "2000000")
-    try:
-        spark.conf.set("kestrel.ordered.maxGroupRows", "1000")  # the hot key (~4,200 rows) is over the bound
-        auto = ordered_scan(df, ["k"], ["t"], ops, n_partitions=12)
-        assert "MapInPandas" in auto._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("kestrel.ordered.maxGroupRows", old)
-    a, b = _as_dict(window, cols), _as_dict(auto, cols)
-    assert a.keys() == b.keys()
-    for key in a:
-        assert a[key][:2] == b[key][:2] and abs(a[key][2] - b[key][2]) < 1e-6
+def test_every_type_as_a_window_has_it(spark):
+    """NaN, null keys, integers beyond 2^53 in keys and values, decimals, far years."""
+    big = 2**53
+    rows = []
+    for i in range(240):
+        k = [None, big, big + 1, big + 2][i % 4]
+        d = [float("nan"), 0.5, None, 2.0][(i // 4) % 4]
+        rows.append((k, i, big + i, d, Decimal(i) / 4 if i % 3 else None,
+                     datetime.datetime(1600 + 100 * (i % 84), 1, 2), f"h{i}" if i % 9 == 0 else None))
+    df = spark.createDataFrame(rows, "k long, t long, b long, d double, e decimal(20,2), s timestamp_ntz, h string")
+    ops = [("lag", "b", "lb"), ("lag", "d", "ld"), ("lag", "e", "le"), ("lag", "s", "ls"), ("ffill", "h", "fh"),
+           ("ffill", "d", "fd"), ("cumsum", "b", "cb"), ("cumsum", "d", "cd"), ("cumsum", "e", "ce")]
+    w = W.partitionBy("k").orderBy("t")
+    run = w.rowsBetween(W.unboundedPreceding, 0)
+    make = {"lag": lambda c: F.lag(c).over(w), "ffill": lambda c: F.last(c, ignorenulls=True).over(run),
+            "cumsum": lambda c: F.sum(F.coalesce(F.col(c), F.lit(0))).over(run)}
+    want = df.select("*", *[make[kind](c).alias(o) for kind, c, o in ops])
+    for parts in (1, 5, 23):
+        got = ordered_scan(df, ["k"], ["t"], ops, n_partitions=parts)
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_empty_frame(spark):
+    df = spark.createDataFrame([], "k long, t long, v double")
+    assert ordered_scan(df, ["k"], ["t"], [("lag", "v", "p"), ("cumsum", "v", "c")]).count() == 0
+    assert row_number_in_order(df, [], ["t"]).count() == 0
