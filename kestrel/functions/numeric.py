@@ -23,12 +23,24 @@ def row_total(cols: Sequence[Column | str]) -> Column:
 
 
 def exact_sum(c: Column | str, scale: int = 2, precision: int = 18) -> Column:
-    """Sum of values with at most ``scale`` decimals, added exactly in decimal, returned as double.
+    """Sum as a double; of values with at most ``scale`` decimals it is added up exactly in decimal.
 
     A double sum depends on the order rows arrive in; the decimal one does not, so every engine
-    and every partitioning gives the same bits.
+    and every partitioning gives the same bits. A group with a value of more decimals, or too large,
+    is summed as doubles: no value is cut.
     """
-    return F.sum(_c(c).cast(f"decimal({precision},{scale})")).cast("double")
+    c = _c(c)
+    dec, value = c.try_cast(f"decimal({precision},{scale})"), c.cast("double")
+    fits = F.bool_and(F.coalesce(dec.cast("double") == value, c.isNull()))
+    return F.when(fits, F.sum(dec).cast("double")).otherwise(F.sum(value))
+
+
+def exact_difference(a: Column | str, b: Column | str, scale: int = 2) -> Column:
+    """a - b as a double: in decimal where both have at most ``scale`` decimals, else in doubles."""
+    a, b = _c(a), _c(b)
+    da, db = (x.try_cast(f"decimal(18,{scale})") for x in (a, b))
+    fits = (da.cast("double") == a.cast("double")) & (db.cast("double") == b.cast("double"))
+    return F.when(fits, (da - db).cast("double")).otherwise(a.cast("double") - b.cast("double"))
 
 
 def round_half_up(c: Column | str, digits: int = 2) -> Column:

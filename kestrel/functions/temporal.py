@@ -7,15 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-# Formats tried, in order, when a load is told to recognise timestamps itself.
-AUTO_TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "M/d/yyyy H:mm:ss",
-    "yyyy-MM-dd",
-    "M/d/yyyy",
-    "yyyyMMdd",
-)
+# Date and time parts that a load recognises by itself, tried in this order.
+AUTO_DATES = ("yyyy-MM-dd", "yyyy/MM/dd", "M/d/yyyy", "M-d-yyyy", "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy",
+              "MMMM d yyyy", "MMMM d, yyyy", "d MMMM yyyy", "yyyyMMdd")
+AUTO_TIMES = ("H:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]", "H:mm", "h:mm:ss a", "h:mm a", "HHmmss")
 
 
 def _c(c: Column | str) -> Column:
@@ -31,16 +26,34 @@ def _offset_seconds(offset: str) -> int:
 
 
 def local_date(ts: Column | str, offset: str = "-05:00") -> Column:
-    """Calendar date of a UTC wall-clock timestamp seen at a fixed offset (no DST rules).
+    """Calendar date of an instant seen at a fixed offset (no DST rules), whatever the session's zone.
 
-    Works for TIMESTAMP_NTZ holding UTC and for TIMESTAMP under a UTC session zone.
+    TIMESTAMP_NTZ holds UTC wall-clock time; TIMESTAMP is the instant itself.
     """
-    secs = _offset_seconds(offset)
-    return F.to_date(_c(ts) + F.expr(f"INTERVAL {secs} SECONDS"))
+    c, secs = _c(ts), _offset_seconds(offset)
+    wall = F.to_date(c + F.expr(f"INTERVAL {secs} SECONDS"))
+    instant = F.date_from_unix_date(F.floor((F.unix_seconds(c.cast("timestamp")) + F.lit(secs)) / F.lit(86400)).cast("int"))
+    return F.when(F.typeof(c) == "timestamp_ntz", wall).otherwise(instant)
 
 
-def auto_timestamp(c: Column | str, formats: Sequence[str] = AUTO_TIMESTAMP_FORMATS) -> Column:
-    """First format that parses wins; null when none does. Result is TIMESTAMP_NTZ."""
-    c = _c(c)
-    tries = [F.try_to_timestamp(c, F.lit(f)) for f in formats]
+def offset_instant(c: Column | str) -> Column:
+    """X11: text ``yyyy-MM-dd HH:mm:ss+-hh:mm`` (or with ``T``) as the instant in UTC, TIMESTAMP_NTZ; null if it is neither."""
+    c = F.replace(F.trim(_c(c)), F.lit("T"), F.lit(" "))
+    offset = F.regexp_extract(c, r"([+-]\d{2}:\d{2})$", 1)
+    wall = F.try_to_timestamp(F.regexp_replace(c, r"\s*[+-]\d{2}:\d{2}$", ""), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    minutes = (F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 5, 2).try_cast("int")) * F.when(
+        F.startswith(offset, F.lit("-")), F.lit(-1)).otherwise(F.lit(1))
+    return F.when(offset != "", wall - F.make_interval(mins=minutes))
+
+
+def auto_timestamp(c: Column | str, dates: Sequence[str] = AUTO_DATES, times: Sequence[str] = AUTO_TIMES) -> Column:
+    """The first date form, alone or with a time form after a space or ``T``, that reads the whole text.
+
+    Months may be names or numbers, seconds may have a fraction of up to six digits or be left out,
+    AM and PM may be in any case. Null when no form fits. Result is TIMESTAMP_NTZ.
+    """
+    text = F.initcap(F.regexp_replace(F.trim(_c(c)), r"(?<=\d)[Tt](?=\d)", " "))
+    text = F.regexp_replace(F.regexp_replace(text, r"(?i)\s*\b([ap])\.?m\.?$", " $1M"), r" aM$", " AM")
+    text = F.regexp_replace(text, r" pM$", " PM")
+    tries = [F.try_to_timestamp(text, F.lit(f)) for d in dates for f in (d, *[f"{d} {t}" for t in times])]
     return F.coalesce(*tries).cast("timestamp_ntz")

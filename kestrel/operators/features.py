@@ -12,12 +12,11 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from kestrel.operators.ordered import row_number_in_order
+from kestrel.operators.ordered import cumulative_sum, row_number_in_order
 from kestrel.operators.stats import exact_median, mode_with_frequency
-
-MAX_CLASSES = 10_000  # class statistics are gathered on the driver only below this bound
+from kestrel.session import written
 
 
 class _FillModel(Model, HasInputCols, HasOutputCols):
@@ -66,20 +65,11 @@ class ModeImputer(_ImputerBase):
         return None if row is None else row[0]
 
 
-def _class_counts(df: DataFrame, label: str, extra=()) -> list:
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *extra).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return rows
-
-
 def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:
     """M5: weight = n_rows / (n_classes * n_class) per class, as a (label, n, weight) frame."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy()
-    total = F.sum("n").over(everything).cast("double")
-    k = F.count(F.lit(1)).over(everything).cast("double")
-    return counts.withColumn("weight", total / (k * F.col("n").cast("double")))
+    counts = written(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")), "classes")
+    total, k = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    return counts.withColumn("weight", F.lit(float(total or 0)) / (F.lit(float(k)) * F.col("n").cast("double")))
 
 
 class ClassWeighter(Estimator):
@@ -95,25 +85,22 @@ class ClassWeighter(Estimator):
 
     def _fit(self, df: DataFrame) -> "ClassWeightModel":
         label = self.getOrDefault(self.labelCol) if self.isSet(self.labelCol) else "label"
-        rows = _class_counts(df, label)
-        total, k = sum(r["n"] for r in rows), len(rows)
-        weights = {r[label]: total / (k * r["n"]) for r in rows}
-        return ClassWeightModel(label, self.getOrDefault(self.weightCol) if self.isSet(self.weightCol) else "weight",
-                                weights)
+        weights = balanced_class_weights(df, label).select(F.col(label).alias("__class"), F.col("weight").alias("__w"))
+        return ClassWeightModel(label, self.getOrDefault(self.weightCol) if self.isSet(self.weightCol) else "weight", weights)
 
 
 class ClassWeightModel(Model):
-    def __init__(self, label: str, weight_col: str, weights: dict):
+    """The weights stay a table of one row per class, joined to the rows."""
+
+    def __init__(self, label: str, weight_col: str, weights: DataFrame):
         super().__init__()
         self.label, self.weight_col, self.weights = label, weight_col, weights
 
     def _transform(self, df: DataFrame) -> DataFrame:
         if self.label not in df.columns:  # scoring rows without a label: weights are not used
             return df.withColumn(self.weight_col, F.lit(1.0))
-        expr = F.lit(None).cast("double")
-        for v, w in self.weights.items():
-            expr = F.when(F.col(self.label) == F.lit(v), F.lit(float(w))).otherwise(expr)
-        return df.withColumn(self.weight_col, expr)
+        joined = df.join(self.weights, F.col(self.label).eqNullSafe(F.col("__class")), "left")
+        return joined.withColumn(self.weight_col, F.col("__w")).drop("__class", "__w")
 
 
 class OneHot:
@@ -147,26 +134,22 @@ def stratified_folds(df: DataFrame, label: str, order_col: str, k: int = 5, out:
 
     Classes are numbered by first appearance (``order_col``); sorting rows by that number and
     dealing them round-robin into k folds fixes how many rows of each class each fold gets; the
-    rows of a class then fill folds 0..k-1 in that order. Row ranks within a class come from an
-    ordered scan (a class is a hot group by nature), the per-class fold bounds are literals.
+    rows of a class then fill folds 0..k-1 in that order. Row ranks within a class, and the classes'
+    own order, come from ordered scans; the class statistics are joined to the rows. Rows without a
+    label are in no fold (null).
     """
-    stats_rows = sorted(_class_counts(df, label, [F.min(order_col).alias("first")]), key=lambda r: r["first"])
-
-    def upto(m: int, f: int) -> int:  # how many j in [0, m) have j % k == f
-        return max(0, (m - f + k - 1) // k)
-
-    ranked = row_number_in_order(df, [label], [order_col], "__rn")
-    fold = F.lit(None).cast("int")
-    start = 0
-    for r in stats_rows:
-        n = r["n"]
-        sizes = [upto(start + n, f) - upto(start, f) for f in range(k)]
-        bounds, acc = [], 0
-        for s in sizes[:-1]:
-            acc += s
-            bounds.append(acc)
-        rank0 = F.col("__rn") - 1
-        expr = sum(((rank0 >= b).cast("int") for b in bounds), F.lit(0))
-        fold = F.when(F.col(label) == F.lit(r[label]), expr).otherwise(fold)
-        start += n
-    return ranked.withColumn(out, fold.cast("int")).drop("__rn")
+    classes = (df.where(F.col(label).isNotNull()).groupBy(label)
+               .agg(F.count(F.lit(1)).alias("__n"), F.min(order_col).alias("__first")))
+    placed = cumulative_sum(classes, [], ["__first", label], "__n", "__to").select(
+        F.col(label).alias("__class"), (F.col("__to") - F.col("__n")).alias("__from"), "__to")
+    ranked = row_number_in_order(df, [label], [order_col], "__rn").join(placed, F.col(label) == F.col("__class"), "left")
+
+    def dealt(m: Column, f: int) -> Column:  # how many of the first m rows go to fold f when dealt round-robin
+        return F.greatest(F.lit(0), F.floor((m + F.lit(k - 1 - f)) / F.lit(k)))
+
+    bound, fold = F.lit(0), F.lit(0)
+    for f in range(k - 1):
+        bound = bound + dealt(F.col("__to"), f) - dealt(F.col("__from"), f)
+        fold = fold + (F.col("__rn") > bound).cast("int")
+    fold = F.when(F.col("__class").isNotNull(), fold).cast("int")
+    return ranked.withColumn(out, fold).drop("__rn", "__class", "__from", "__to")

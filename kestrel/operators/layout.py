@@ -13,8 +13,8 @@ MONTH_COL = "month"
 
 
 def month_of(ts: str):
-    """UTC month key 'yyyy-MM' (months start at 00:00 UTC)."""
-    return F.date_format(F.col(ts), "yyyy-MM")
+    """UTC month key 'yyyy-MM' (months start at 00:00 UTC, whatever the session's zone)."""
+    return F.date_format(local_date(ts, "+00:00"), "yyyy-MM")
 
 
 def write_month_partitioned(df: DataFrame, ts: str, path: str, mode: str = "overwrite") -> None:
@@ -50,10 +50,18 @@ def write_range_sorted(df: DataFrame, path: str, key: str, ts: str, mode: str =
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, ts: str, buckets: int,
-                   mode: str = "overwrite") -> None:
+                   mode: str = "overwrite", files_per_bucket: int = 1) -> None:
     """K6, table form: ``bucketBy(key).sortBy(ts)``; aggregations and joins on ``key`` read it
-    without an exchange."""
-    (df.write.mode(mode).bucketBy(buckets, key).sortBy(ts)
+    without an exchange.
+
+    Rows are dealt to the writers by bucket, and within a bucket by the time's hash to
+    ``files_per_bucket`` files: a bucket never has more files than that, however many tasks write. A
+    key that holds much of the rows is still read by one task; ``write_range_sorted`` has no such limit.
+    """
+    bucket = F.pmod(F.hash(F.col(key)), F.lit(buckets))
+    part = F.pmod(F.xxhash64(F.col(ts)), F.lit(files_per_bucket))
+    (df.repartition(buckets * files_per_bucket, bucket, part)
+       .write.mode(mode).bucketBy(buckets, key).sortBy(ts)
        .option("path", path).format("parquet").saveAsTable(table))
 
 

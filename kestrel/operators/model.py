@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kestrel.operators.features import ClassWeighter, ExactMedianImputer, ModeImputer
 from kestrel.operators.ordered import cumulative_sum
 from kestrel.operators.stats import one_row
+from kestrel.session import written
 
 # Forest settings of the job this rebuilds (trees, seed, features per split).
 NUM_TREES, SEED, SUBSET = 300, 42, "sqrt"
+MAX_FOLDS = 1000
 
 
 def forest_pipeline(label: str, num_cols: Sequence[str], text_cols: Sequence[str],
@@ -125,8 +127,11 @@ def cross_validated_auc(df: DataFrame, label: str, num_cols, text_cols, fold_col
     Fold fits are independent, so up to ``parallelism`` of them are submitted at once from driver
     threads (as ``CrossValidator(parallelism=...)`` does); the scheduler interleaves their jobs.
     """
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-    df = df.checkpoint(eager=True)  # fold assignment computed once for all fits
+    df = written(df.where(F.col(fold_col).isNotNull()), "folds")  # fold assignment computed once for all fits
+    rows = df.select(fold_col).distinct().limit(MAX_FOLDS + 1).collect()
+    if len(rows) > MAX_FOLDS:  # a model is fitted for each fold, so there are only ever a few
+        raise ValueError(f"{fold_col} has more than {MAX_FOLDS} folds")
+    folds = sorted(r[0] for r in rows)
 
     def one_fold(f):
         train, test = df.filter(F.col(fold_col) != f), df.filter(F.col(fold_col) == f)

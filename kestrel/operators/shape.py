@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from kestrel.functions.numeric import row_total
@@ -32,8 +33,8 @@ def filter_by_sets(df: DataFrame, any_of: Sequence[tuple[str, Iterable[str]]],
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key by ``order`` (file order), null keys forming one key.
 
-    Done as ``min(struct(order..., rest...))`` per key: a hash aggregate with map-side partial
-    aggregation, so a key holding a third of the rows is reduced in every task before the shuffle.
+    Done as ``min(struct(order..., rest...))`` per key: each task sorts and reduces its own rows before
+    the shuffle, so a key holding a third of the rows costs one row per task after it.
     Column order of the input is kept.
     """
     keys, order = list(keys), list(order)
@@ -48,17 +49,19 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
+def first_positions_ci(names: Sequence[str]) -> list[int]:
+    """Positions of the names that no earlier name equals ignoring case."""
+    upper = pd.Series([n.upper() for n in names], dtype=object)
+    return upper.index[~upper.duplicated()].tolist()
+
+
 def dedup_columns_ci(df: DataFrame, original_names: Sequence[str] | None = None) -> DataFrame:
     """Keep the first column of each case-insensitive name, then upper-case all names.
 
     ``original_names`` are the names as written when Spark had to rename clashing ones.
     """
     names = list(original_names or df.columns)
-    seen, keep = set(), []
-    for i, n in enumerate(names):
-        if n.upper() not in seen:
-            seen.add(n.upper())
-            keep.append(i)
+    keep = first_positions_ci(names)
     tmp = [f"__c{i}" for i in range(len(df.columns))]
     return df.toDF(*tmp).select(*[tmp[i] for i in keep]).toDF(*[names[i].upper() for i in keep])
 
@@ -89,8 +92,12 @@ def present_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
 
 
 def with_row_total(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
-    """Row-wise sum over the present columns, missing values skipped."""
-    return df.withColumn(out, row_total(present_columns(df, columns)))
+    """Row-wise sum over the present columns, missing values skipped.
+
+    The total comes from a one-row generator, so that a filter on it stays above: pushed below, it would
+    hold a copy of every summed column's expression, and planning time doubles with each of them.
+    """
+    return df.select("*", F.explode(F.array(row_total(present_columns(df, columns)))).alias(out))
 
 
 def keep_positive(df: DataFrame, col: str) -> DataFrame:
@@ -102,11 +109,18 @@ def keep_positive(df: DataFrame, col: str) -> DataFrame:
     return df.filter(F.nanvl(F.col(col), F.lit(0.0)) > 0)
 
 
-def replace_column(base: DataFrame, key: str, values: DataFrame, column: str, value_col: str) -> DataFrame:
-    """Set ``column`` from ``values`` matched on ``key``; all other columns and their order kept."""
-    v = values.select(F.col(key).alias("__k"), F.col(value_col).alias("__v"))
-    joined = base.join(v, base[key] == v["__k"], "left")
-    return joined.select(*[F.col("__v").alias(c) if c == column else base[c] for c in base.columns])
+def replace_from_clean(original: DataFrame, names: Sequence[str], column: str,
+                       scorer: Callable[[DataFrame], DataFrame], value_col: str) -> DataFrame:
+    """Every row of ``original`` with ``column`` replaced by what ``scorer`` adds as ``value_col``.
+
+    The scorer is given the cleaned columns (P4: the first of each name, upper-cased) beside the
+    original ones, which it passes through; no join, so repeated and null ids keep their rows.
+    ``names`` are the headers as written. Columns keep their order and names.
+    """
+    kept = [f"__o{i}" for i in range(len(original.columns))]
+    cleaned = original.toDF(*kept).select("*", *[F.col(kept[i]).alias(names[i].upper()) for i in first_positions_ci(names)])
+    out = scorer(cleaned)
+    return out.select(*[(F.col(value_col) if c == column else F.col(k)).alias(c) for k, c in zip(kept, original.columns)])
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], var: str, val: str) -> DataFrame:

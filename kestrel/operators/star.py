@@ -27,10 +27,11 @@ def update_from(base: DataFrame, patch: DataFrame, key: str | Sequence[str], col
     """``UPDATE base SET c = patch.c FROM patch WHERE key matches``.
 
     Left join on the key; matched rows take the patch value (null included), unmatched keep theirs.
-    The patch must have at most one row per key (checked by the caller's key constraint).
+    A key that the patch repeats takes its smallest row of new values, so base rows never multiply.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    p = patch.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in columns]).withColumn("__matched", F.lit(True))
+    one = F.min(F.struct(*[F.col(c) for c in columns])).alias("__new")
+    p = patch.groupBy(*keys).agg(one).select(*keys, *[F.col(f"__new.{c}").alias(f"__new_{c}") for c in columns], F.lit(True).alias("__matched"))
     joined = base.join(p, on=keys, how="left")
     out = []
     for c in base.columns:

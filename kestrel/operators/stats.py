@@ -60,7 +60,7 @@ def mode_with_frequency(df: DataFrame, col: str, out: str = "mode", freq: str =
 def describe(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
     """Rounded average and sample standard deviation, min, max, row count.
 
-    The average is an exact decimal sum over the count (values with at most 2 decimals).
+    The average is the exact sum (see ``exact_sum``) over the count.
     """
     c = F.col(col)
     return df.agg(
@@ -73,10 +73,10 @@ def describe(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
 
 
 def class_shares(df: DataFrame, label: str, count_col: str = "n", share_col: str = "share") -> DataFrame:
-    """Count per class and its share of all rows (the grouped frame has one row per class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias(count_col))
-    total = F.sum(count_col).over(Window.partitionBy())
-    return counts.withColumn(share_col, F.col(count_col) / total)
+    """Count per class and its share of all rows. The classes' total is one number, taken first."""
+    counts = written(df.groupBy(label).agg(F.count(F.lit(1)).alias(count_col)), "classes")
+    total = counts.agg(F.sum(count_col)).first()[0]
+    return counts.withColumn(share_col, F.col(count_col) / F.lit(total))
 
 
 def one_row(frames: Sequence[DataFrame]) -> DataFrame:

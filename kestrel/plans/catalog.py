@@ -16,15 +16,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from kestrel.functions.numeric import exact_sum, round_half_up
-from kestrel.functions.temporal import auto_timestamp, local_date
+from kestrel.functions.temporal import auto_timestamp, local_date, offset_instant
 from kestrel.functions.text import safe_double, ustrip
 from kestrel.operators import features, layout, model, quality, series, shape, star, stats
 from kestrel.operators.ordered import row_number_in_order
 from kestrel.plans.jobs import FRAUD_DROP as DROP_COLS
-from kestrel.session import scratch_path
+from kestrel.session import case_sensitive, scratch_path, written
 from kestrel.sources import lines as L
-from kestrel.sources.sinks import insert_select, write_csv
-from kestrel.sources.tables import DRIVER_TABLES, Tables, bulk_load_delimited, read_headered_csv
+from kestrel.sources.sinks import export_single_csv, insert_select, write_csv
+from kestrel.sources.tables import (DRIVER_TABLES, Tables, bulk_load_delimited, bulk_load_with_rejects, inline_rows,
+                                    read_header_names, read_headered_csv, read_master_csv)
 
 HOURS = L.hour_columns()
 
@@ -37,6 +38,7 @@ SECTION_PREFIX = "USER:"
 DAY_OFFSET = "-05:00"
 SCORE_HALF_AT = 2000.0
 N_FOLDS = 5
+N_BUCKETS = 16
 MONTH_LO, MONTH_HI = dt.datetime(1996, 3, 1), dt.datetime(1996, 4, 1)
 WEEK_LO, WEEK_HI = dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 15)
 
@@ -246,9 +248,10 @@ def q13_bucketed_layout(spark, d):
     ev = _t(spark, d).events
     path = scratch_path(spark, "events_bucketed")
     table = f"kestrel_events_{uuid.uuid4().hex[:10]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # scales with the cluster setting
-    layout.write_bucketed(ev, table, path, "user_id", "ts", buckets)
-    b = spark.table(table).filter((F.col("ts") >= F.lit(WEEK_LO)) & (F.col("ts") < F.lit(WEEK_HI)))
+    layout.write_bucketed(ev, table, path, "user_id", "ts", N_BUCKETS)
+    stored = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only: the files are the scratch folder's, and the frame reads them
+    b = stored.filter((F.col("ts") >= F.lit(WEEK_LO)) & (F.col("ts") < F.lit(WEEK_HI)))
     return b.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.min("ts").alias("first_ts"),
                                     F.max("ts").alias("last_ts"), exact_sum("value").alias("total_value"))
 
@@ -524,10 +527,44 @@ def q37_score_holdout(spark, d, num_trees: int = 300, max_depth: int = 30):
     holdout = unlabelled_docs(t).select("doc_id", F.lit(None).cast("double").alias("toxic"), "lang", "source",
                                         "n_chars")
     write_csv(holdout, path)
+    return scored_file(spark, path, "toxic", lambda x: model.score(fitted, x, "p_fraud"), "p_fraud")
+
+
+def scored_file(spark, path: str, column: str, scorer, value_col: str) -> DataFrame:
+    """A headered file as read, with one column replaced by the scorer's value."""
     original = read_headered_csv(spark, path, dedup_case=False)
-    cleaned = read_headered_csv(spark, path)
-    scores = model.score(fitted, cleaned, "p_fraud").select(F.col("DOC_ID").alias("doc_id"), "p_fraud")
-    return shape.replace_column(original, "doc_id", scores, "toxic", "p_fraud")
+    return shape.replace_from_clean(original, read_header_names(spark, path), column, scorer, value_col)
+
+
+def holdout_with_gaps(t: Tables) -> DataFrame:
+    """The unlabelled documents as a file to score: some ids are missing, some lines come twice, and a
+    header clashes with another one ignoring case."""
+    docs = unlabelled_docs(t).select(F.when(F.col("doc_id") % 7 != 0, F.col("doc_id")).alias("doc_id"),
+                                     F.lit(None).cast("double").alias("toxic"), "lang", "n_chars",
+                                     (F.col("n_chars") * 3).alias("N_Chars_"))
+    return docs.union(docs.where(F.col("doc_id") % 5 == 0)).toDF("doc_id", "toxic", "lang", "n_chars", "N_CHARS")
+
+
+def half_at(column: str) -> Column:
+    """The deterministic score that stands in for a model's probability: half at SCORE_HALF_AT."""
+    n = F.col(column).cast("double")
+    return n / (n + F.lit(SCORE_HALF_AT))
+
+
+def q37c_score_file_rows(spark, d):
+    """A file scored row by row: repeated lines and missing ids come back as they are."""
+    path = scratch_path(spark, "holdout_gaps")
+    with case_sensitive(spark):
+        write_csv(holdout_with_gaps(_t(spark, d)), path)
+    scored = scored_file(spark, path, "toxic", lambda x: x.withColumn("__p", half_at("N_CHARS")), "__p")
+    return scored.toDF("doc_id", "toxic", "lang", "n_chars", "n_chars_again")
+
+
+def q37d_score_file_summary(spark, d):
+    """Mean score, rows at or above one half, and rows of the scored file."""
+    return q37c_score_file_rows(spark, d).agg(
+        F.round(F.avg("toxic"), 9).alias("p_media"), F.count_if(F.col("toxic") >= 0.5).alias("n_fraude"),
+        F.count(F.lit(1)).alias("filas"))
 
 
 def q37b_score_summary(spark, d):
@@ -536,6 +573,126 @@ def q37b_score_summary(spark, d):
                       F.count(F.lit(1)).alias("filas"))
 
 
+# ---------------------------------------------------------------- operators on files and stored tables
+
+def q07b_master_sheet(spark, d):
+    """A sheet exported to CSV with more columns than wanted; four of them, in sheet order, renamed."""
+    path = scratch_path(spark, "master_sheet")
+    m = master_table(_t(spark, d)).withColumn("Nota", F.lit("x")).select("Central", "Nota", "Nombre_Agente", "Tipo_Central", "Agente_OFEI")
+    write_csv(m, path)
+    return read_master_csv(spark, path, ["Nombre_Agente", "Central", "Agente_OFEI", "Tipo_Central"],
+                           ["central", "agente", "tipo", "ofei"])
+
+
+REJECTED = {"1-URGENT": "total", "2-HIGH": "key", "3-MEDIUM": "short", "4-NOT SPECIFIED": "null"}
+LOAD_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType(), False), T.StructField("o_custkey", T.LongType(), False),
+    T.StructField("o_totalprice", T.DecimalType(10, 2)), T.StructField("o_orderdate", T.TimestampNTZType())])
+
+
+def q10c_load_with_rejects(spark, d):
+    """S8/S9/C6 at load: orders as text, one in 16 with a field that does not fit; loaded and rejected lines by reason."""
+    o = _t(spark, d).orders
+    bad = F.when(F.col("o_orderkey") % 16 == 3, F.col("o_orderpriority"))
+    key = F.when(bad == "2-HIGH", F.lit("12x")).otherwise(F.col("o_orderkey").cast("string"))
+    cust = F.when(bad == "4-NOT SPECIFIED", F.lit("\\N")).otherwise(F.col("o_custkey").cast("string"))
+    price = F.when(bad == "1-URGENT", F.lit("123456789.00")).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    date = F.date_format("o_orderdate", STAMP)
+    line = F.when(bad == "3-MEDIUM", F.concat_ws("|", key, cust)).otherwise(F.concat_ws("|", key, cust, price, date))
+    path = scratch_path(spark, "orders_bad")
+    o.select(line.alias("line")).write.text(path)
+    good, rejects = bulk_load_with_rejects(spark, path, LOAD_SCHEMA, timestamp_format=STAMP)
+    loaded = good.agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("n"), exact_sum("o_totalprice").alias("total"),
+                      F.min("o_orderdate").alias("first_date"))
+    gone = rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).select(
+        "reason", "n", F.lit(None).cast("double").alias("total"), F.lit(None).cast("timestamp_ntz").alias("first_date"))
+    return loaded.unionByName(gone)
+
+
+MORE_STAMP_FORMS = [("1-URGENT", "yyyy-MM-dd HH:mm:ss.SSS"), ("2-HIGH", "MM/dd/yyyy hh:mm a"), ("3-MEDIUM", "MMM d, yyyy"),
+                    ("4-NOT SPECIFIED", "d MMMM yyyy HH:mm"), ("5-LOW", "yyyy/MM/dd")]
+
+
+def q11b_more_timestamps(spark, d):
+    """Fractions of seconds, no seconds, AM and PM, names of months."""
+    at = F.col("o_orderdate") + F.make_interval(hours=F.col("o_orderkey").cast("int") % 24, mins=F.col("o_custkey").cast("int") % 60)
+    text = F.coalesce(*[F.when(F.col("o_orderpriority") == p, F.date_format(at, f)) for p, f in MORE_STAMP_FORMS])
+    staged = _t(spark, d).orders.select("o_orderkey", text.alias("order_text"))
+    return staged.select("o_orderkey", "order_text", auto_timestamp("order_text").alias("parsed_ts"))
+
+
+def q14b_offset_stamps(spark, d):
+    """X11: event times as text with one of three offsets, read as instants."""
+    offsets = [("-05:00", -300), ("+00:00", 0), ("+05:30", 330)]
+    pick = F.col("event_id") % 3
+    text = F.coalesce(*[F.when(pick == i, F.concat(F.date_format(F.col("ts") + F.make_interval(mins=F.lit(m)), "yyyy-MM-dd HH:mm:ss"), F.lit(o)))
+                        for i, (o, m) in enumerate(offsets)])
+    return _t(spark, d).events.select("event_id", text.alias("stamp"), offset_instant(text).alias("instant"))
+
+
+def q15b_defaults(spark, d):
+    """Rows given for some columns; the omitted ones take their defaults, an explicit null stays null."""
+    n = _t(spark, d).nation
+    given = n.select("n_nationkey", F.when(F.col("n_regionkey") != 1, F.col("n_name")).alias("name"))
+    full = T.StructType([T.StructField("n_nationkey", T.LongType()), T.StructField("name", T.StringType()),
+                         T.StructField("active", T.BooleanType()), T.StructField("visits", T.IntegerType()), T.StructField("note", T.StringType())])
+    return inline_rows(spark, given, given.schema, {"active": True, "visits": 0}, full)
+
+
+def q15c_rollup_two_countries(spark, d):
+    """Readings by place and country where a place has several countries; the day's first cloud is the place's."""
+    t = _t(spark, d)
+    ev = (t.events.join(t.customer, F.col("user_id") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+          .select("event_id", (F.col("user_id") % 40).alias("place"), "ts", "value", "event_type", F.col("n_name").alias("pais")))
+    daily = series.daily_rollup(ev, "place", "ts", "value", "event_id", "event_type", country="pais", offset=DAY_OFFSET)
+    return daily.select("place", "pais", "fecha", "temperatura_f", "temp_max_f", "temp_min_f", F.col("event_type").alias("cobertura_nubes"))
+
+
+def q25b_stored_consolidation(spark, d):
+    """K3: the consolidation stored as a table and read back."""
+    return written(q25_sales_consolidation(spark, d), "consolidation").select(*CONSOLIDATED_KEYS, "total_quantity", "total_sales")
+
+
+def q26b_single_file_export(spark, d):
+    """K1/K2: the stored consolidation of the largest sales exported as one CSV file, read back with its header."""
+    path = scratch_path(spark, "export")
+    export_single_csv(q26_top10(spark, d), path, [F.col("total_sales").desc()])
+    back = read_headered_csv(spark, path, dedup_case=False)
+    return back.withColumn("order_date", F.col("order_date").cast("date")).withColumn("total_sales", F.col("total_sales").cast("double")).withColumn(
+        "total_quantity", F.col("total_quantity").cast("double"))
+
+
+def q30b_clashing_file(spark, d):
+    """A file whose headers clash ignoring case, one of them quoted with a comma inside; the first of each name stays."""
+    c = _t(spark, d).customer.select("c_custkey", F.col("c_acctbal").alias("a"), F.col("c_nationkey").alias("b"), (F.col("c_nationkey") * 2).alias("c"))
+    path = scratch_path(spark, "clashing")
+    with case_sensitive(spark):
+        write_csv(c.toDF("id", "Monto, total", "Dist", "DIST"), path)
+    return read_headered_csv(spark, path).toDF("id", "monto_total", "dist")
+
+
+def q36b_feature_rows(spark, d):
+    """M4: each labelled document's features after imputation, one-hot and class weight."""
+    t = _t(spark, d)
+    rows = labelled_docs(t).select("doc_id", F.when(F.col("n_chars") % 10 != 0, F.col("n_chars").cast("double")).alias("n"),
+                                   F.when(F.col("doc_id") % 9 != 0, F.col("lang")).alias("lang"), "toxic")
+    rows = features.ExactMedianImputer(inputCols=["n"], outputCols=["n_imputed"]).fit(rows).transform(rows)
+    rows = features.ModeImputer(inputCols=["lang"], outputCols=["lang_imputed"]).fit(rows).transform(rows)
+    rows = features.fit_one_hot(rows, "lang_imputed").transform(rows)
+    rows = features.ClassWeighter(labelCol="toxic", weightCol="weight").fit(rows).transform(rows)
+    return rows.drop("n", "lang").withColumn("weight", F.round("weight", 9))
+
+
+def q36c_fold_auc(spark, d):
+    """M8/M9: AUC of a deterministic score on each stratified fold, their mean (fold -1) and population deviation (fold -2)."""
+    rows = written(features.stratified_folds(scored_docs(_t(spark, d)), "y", "doc_id", N_FOLDS, "fold"), "folds")
+    per = reduce(DataFrame.unionByName, [model.auc(rows.where(F.col("fold") == f), "y", "p").select(F.lit(f).alias("fold"), "auc") for f in range(N_FOLDS)])
+    per = written(per, "fold_auc")
+    ends = per.agg(F.avg("auc").alias("m"), F.stddev_pop("auc").alias("s"))
+    out = per.unionByName(ends.select(F.lit(-1).alias("fold"), F.col("m").alias("auc"))).unionByName(ends.select(F.lit(-2).alias("fold"), F.col("s").alias("auc")))
+    return out.select("fold", F.round("auc", 9).alias("auc"))
+
+
 QUERIES = {
     "q01_typed_records": q01_typed_records,
     "q02_sections": q02_sections,
@@ -579,4 +736,17 @@ QUERIES = {
     "q36_forest_cv": q36_forest_cv,
     "q37_score_holdout": q37_score_holdout,
     "q37b_score_summary": q37b_score_summary,
+    "q07b_master_sheet": q07b_master_sheet,
+    "q10c_load_with_rejects": q10c_load_with_rejects,
+    "q11b_more_timestamps": q11b_more_timestamps,
+    "q14b_offset_stamps": q14b_offset_stamps,
+    "q15b_defaults": q15b_defaults,
+    "q15c_rollup_two_countries": q15c_rollup_two_countries,
+    "q25b_stored_consolidation": q25b_stored_consolidation,
+    "q26b_single_file_export": q26b_single_file_export,
+    "q30b_clashing_file": q30b_clashing_file,
+    "q36b_feature_rows": q36b_feature_rows,
+    "q36c_fold_auc": q36c_fold_auc,
+    "q37c_score_file_rows": q37c_score_file_rows,
+    "q37d_score_file_summary": q37d_score_file_summary,
 }

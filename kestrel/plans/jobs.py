@@ -194,14 +194,14 @@ def fraud_job(spark: SparkSession, train_csv: str, test_csv: str, out_csv: str |
     with_folds = features.stratified_folds(labelled, label, order_col, folds, "__fold")
     cv = model.cross_validated_auc(with_folds, label, num, text, "__fold", num_trees=num_trees, max_depth=max_depth)
     fitted = model.fit_forest(train, label, num, text, num_trees=num_trees, max_depth=max_depth)
-    original = read_headered_csv(spark, test_csv, dedup_case=False)
-    key = original.columns[0]
-    scores = model.score(fitted, test.drop(label).withColumn("__key", F.col(test.columns[0])), "__p").select(
-        F.col("__key").alias(key), "__p")
-    scored = shape.replace_column(original, key, scores, label, "__p")
+    original, names = read_headered_csv(spark, test_csv, dedup_case=False), read_header_names(spark, test_csv)
+    at = [n.upper() for n in names].index(label)  # the first of the name, as cleaned; the others stay as read
+    scored = shape.replace_from_clean(original, names, original.columns[at],
+                                      lambda x: model.score(fitted, x.drop(label), "__p"), "__p")
+    label = original.columns[at]
     if out_csv:  # the file keeps the header as written, case-clashing names included
         with case_sensitive(spark):
-            write_csv(scored.toDF(*read_header_names(spark, test_csv)), out_csv)
+            write_csv(scored.toDF(*names), out_csv)
     summary = scored.agg(F.avg(label).alias("p_media"), F.count_if(F.col(label) >= 0.5).alias("n_fraude"),
                          F.count(F.lit(1)).alias("filas"))
     return {"cv_auc": cv, "scored": scored, "summary": summary}

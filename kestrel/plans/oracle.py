@@ -273,6 +273,80 @@ r AS (SELECT doc_id, toxic, ROW_NUMBER() OVER (PARTITION BY toxic ORDER BY doc_i
 SELECT r.doc_id, r.toxic, CAST({fold} AS INTEGER) AS fold FROM r JOIN s ON s.toxic = r.toxic"""
 
 
+def _on_files() -> dict[str, str]:
+    """Queries over files and stored tables: the SQL has the values the files were written from."""
+    stamp = " ".join(f"WHEN o_orderpriority = '{p}' THEN {text}" for p, text in {
+        "1-URGENT": "strftime(ot, '%Y-%m-%d %H:%M:%S.%g')",
+        "2-HIGH": "strftime(ot, '%m/%d/%Y %I:%M %p')",
+        "3-MEDIUM": "strftime(ot, '%b %-d, %Y')",
+        "4-NOT SPECIFIED": "strftime(ot, '%-d %B %Y %H:%M')",
+        "5-LOW": "strftime(ot, '%Y/%m/%d')"}.items())
+    parsed = ("CASE WHEN o_orderpriority IN ('3-MEDIUM', '5-LOW') THEN date_trunc('day', ot) "
+              "WHEN o_orderpriority IN ('2-HIGH', '4-NOT SPECIFIED') THEN date_trunc('minute', ot) ELSE ot END")
+    p_of = f"CAST(n_chars AS DOUBLE) / (CAST(n_chars AS DOUBLE) + CAST({SCORE_HALF_AT} AS DOUBLE))"
+    gaps = """
+u AS (SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id END AS doc_id, lang, n_chars
+      FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
+f AS (SELECT * FROM u UNION ALL SELECT * FROM u WHERE doc_id % 5 = 0)"""
+    return {
+        "q07b_master_sheet": """
+SELECT n.n_name AS central,
+       CASE WHEN c.c_acctbal < 0 THEN lower(c.c_mktsegment) ELSE c.c_mktsegment END AS agente,
+       CASE WHEN c.c_acctbal < 0 THEN 'neg' WHEN c.c_acctbal < 5000 THEN 'low' ELSE 'High' END AS tipo, r.r_name AS ofei
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""",
+        "q10c_load_with_rejects": """
+WITH x AS (SELECT *, CASE WHEN o_orderkey % 16 = 3 THEN o_orderpriority END AS bad FROM orders),
+y AS (SELECT *, CASE bad WHEN '1-URGENT' THEN 'o_totalprice: not decimal(10,2)' WHEN '2-HIGH' THEN 'o_orderkey: not bigint'
+                         WHEN '3-MEDIUM' THEN '2 fields' WHEN '4-NOT SPECIFIED' THEN 'o_custkey: null' END AS reason FROM x)
+SELECT 'loaded' AS reason, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, MIN(o_orderdate) AS first_date
+FROM y WHERE reason IS NULL
+UNION ALL SELECT reason, COUNT(*), NULL, NULL FROM y WHERE reason IS NOT NULL GROUP BY reason""",
+        "q11b_more_timestamps": f"""
+WITH x AS (SELECT *, o_orderdate + to_hours(o_orderkey % 24) + to_minutes(o_custkey % 60) AS ot FROM orders)
+SELECT o_orderkey, CASE {stamp} END AS order_text, {parsed} AS parsed_ts FROM x""",
+        "q14b_offset_stamps": """
+WITH x AS (SELECT *, CASE event_id % 3 WHEN 0 THEN -300 WHEN 1 THEN 0 ELSE 330 END AS m,
+                  CASE event_id % 3 WHEN 0 THEN '-05:00' WHEN 1 THEN '+00:00' ELSE '+05:30' END AS o FROM events)
+SELECT event_id, strftime(ts + to_minutes(m), '%Y-%m-%d %H:%M:%S') || o AS stamp, date_trunc('second', ts) AS instant FROM x""",
+        "q15b_defaults": """
+SELECT n_nationkey, CASE WHEN n_regionkey <> 1 THEN n_name END AS name, TRUE AS active, 0 AS visits, CAST(NULL AS VARCHAR) AS note
+FROM nation""",
+        "q15c_rollup_two_countries": f"""
+WITH b AS (
+  SELECT e.event_id, e.user_id % 40 AS place, e.ts, e.value, e.event_type, n.n_name AS pais, {_local_date('e.ts')} AS fecha
+  FROM events e JOIN customer c ON c.c_custkey = e.user_id JOIN nation n ON n.n_nationkey = c.c_nationkey),
+a AS (SELECT place, pais, fecha, {_r2(_f(_xsum('value') + ' / COUNT(value)'))} AS temperatura_f,
+             {_r2(_f('MAX(value)'))} AS temp_max_f, {_r2(_f('MIN(value)'))} AS temp_min_f FROM b GROUP BY place, pais, fecha),
+c AS (SELECT place, fecha, event_type FROM (
+        SELECT place, fecha, event_type, ROW_NUMBER() OVER (PARTITION BY place, fecha ORDER BY ts, event_id) AS rn FROM b) WHERE rn = 1)
+SELECT a.*, c.event_type AS cobertura_nubes FROM a JOIN c ON a.place = c.place AND a.fecha = c.fecha""",
+        "q30b_clashing_file": "SELECT CAST(c_custkey AS INTEGER) AS id, c_acctbal AS monto_total, CAST(c_nationkey AS INTEGER) AS dist FROM customer",
+        "q36b_feature_rows": """
+WITH r AS (SELECT d.doc_id, CASE WHEN d.n_chars % 10 <> 0 THEN CAST(d.n_chars AS DOUBLE) END AS n,
+                  CASE WHEN d.doc_id % 9 <> 0 THEN d.lang END AS lang, l.toxic
+           FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+m AS (SELECT quantile_cont(n, 0.5) AS med FROM r),
+k AS (SELECT lang FROM r WHERE lang IS NOT NULL GROUP BY lang ORDER BY COUNT(*) DESC, lang LIMIT 1),
+i AS (SELECT doc_id, toxic, COALESCE(n, (SELECT med FROM m)) AS n_imputed, COALESCE(lang, (SELECT lang FROM k)) AS lang_imputed FROM r)
+SELECT *, """ + ", ".join(f"CAST(lang_imputed = '{v}' AS INTEGER) AS lang_imputed_{v}" for v in ("de", "en", "es", "fr")) + """,
+       ROUND(CAST(COUNT(*) OVER () AS DOUBLE) / ((SELECT COUNT(DISTINCT toxic) FROM r) * COUNT(*) OVER (PARTITION BY toxic)), 9) AS weight
+FROM i""",
+        "q36c_fold_auc": f"""
+WITH f AS ({_q35()}),
+s AS (SELECT f.fold, l.toxic AS y, {p_of} AS p FROM documents d JOIN labels l ON l.doc_id = d.doc_id JOIN f ON f.doc_id = d.doc_id),
+a AS (SELECT x.fold, SUM(CASE WHEN x.p > z.p THEN 1.0 WHEN x.p = z.p THEN 0.5 ELSE 0.0 END) / COUNT(*) AS auc
+      FROM s x JOIN s z ON x.fold = z.fold AND x.y = 1 AND z.y = 0 GROUP BY x.fold)
+SELECT fold, ROUND(CAST(auc AS DOUBLE), 9) AS auc FROM a
+UNION ALL SELECT -1, ROUND(AVG(CAST(auc AS DOUBLE)), 9) FROM a UNION ALL SELECT -2, ROUND(STDDEV_POP(CAST(auc AS DOUBLE)), 9) FROM a""",
+        "q37c_score_file_rows": f"""
+WITH {gaps}
+SELECT CAST(doc_id AS INTEGER) AS doc_id, {p_of} AS toxic, lang, CAST(n_chars AS INTEGER) AS n_chars, CAST(n_chars * 3 AS INTEGER) AS n_chars_again FROM f""",
+        "q37d_score_file_summary": f"""
+WITH {gaps}
+SELECT ROUND(AVG({p_of}), 9) AS p_media, COUNT(*) FILTER (WHERE {p_of} >= 0.5) AS n_fraude, COUNT(*) AS filas FROM f""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     hours_w = ", ".join(f"w.{h}" for h in HOURS)
     q = {
@@ -388,4 +462,6 @@ SELECT doc_id,
         "q35_stratified_folds": _q35(),
     }
     q["q13b_range_sorted_layout"] = q["q13_bucketed_layout"]
-    return q
+    q["q25b_stored_consolidation"] = q["q25_sales_consolidation"]
+    q["q26b_single_file_export"] = q["q26_top10"]
+    return q | _on_files()

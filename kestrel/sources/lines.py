@@ -67,15 +67,15 @@ def typed_record_filter(line: Column, parts: Column, record_type: str = "D", n_v
 
 
 def hour_values(df: DataFrame, parts: str, start: int, n: int = N_HOURS, prefix: str = HOUR_PREFIX,
-                keep: Sequence[str] = ()) -> DataFrame:
+                keep: Sequence[str] = (), clean=ustrip) -> DataFrame:
     """Fields start..start+n-1 as safe doubles named Hora_1..Hora_n (extra fields ignored).
 
-    The stripped fields are a projection of their own, so each is computed once per row; the
-    conversion then only reads columns.
+    The values are converted as one array and handed on by a one-row generator: a filter on the
+    columns above stays above, instead of being pushed down with a copy of every conversion.
     """
-    names = [f"{prefix}{i + 1}" for i in range(n)]
-    staged = df.select(*keep, *[ustrip(F.get(F.col(parts), start + i)).alias(nm) for i, nm in enumerate(names)])
-    return staged.select(*keep, *[safe_double(nm).alias(nm) for nm in names])
+    numbers = F.transform(F.slice(parts, start + 1, n), lambda x: safe_double(clean(x)))
+    staged = df.select(*keep, F.explode(F.array(numbers)).alias("__values"))
+    return staged.select(*keep, *[F.get(F.col("__values"), i).alias(f"{prefix}{i + 1}") for i in range(n)])
 
 
 def parse_typed_records(lines: DataFrame, record_type: str = "D", line_col: str = "line",
@@ -105,11 +105,9 @@ def parse_declarations(lines: DataFrame, line_col: str = "line", key_col: str =
     staged = lines.select(*keep, ustrip(line_col).alias("__line"))
     staged = staged.filter(F.col("__line") != "").select(*keep, split_fields("__line", ",").alias("__raw"))
     staged = staged.filter(F.size("__raw") >= 1 + n_values)
-    fields = [strip_quotes(F.get(F.col("__raw"), i)).alias(f"__f{i}") for i in range(0, n_values + 1)]
-    staged = staged.select(*keep, *fields).filter(F.upper("__f0") != total_label.upper())
-    names = [f"{HOUR_PREFIX}{i}" for i in range(1, n_values + 1)]
-    return staged.select(*keep, F.col("__f0").alias(key_col),
-                         *[safe_double(ustrip(f"__f{i}")).alias(nm) for i, nm in zip(range(1, n_values + 1), names)])
+    staged = staged.select(*keep, strip_quotes(F.get(F.col("__raw"), 0)).alias(key_col), "__raw")
+    staged = staged.filter(F.upper(key_col) != total_label.upper())
+    return hour_values(staged, "__raw", 1, n_values, keep=[*keep, key_col], clean=lambda x: ustrip(strip_quotes(x)))
 
 
 def read_declarations(spark: SparkSession, paths, **kw) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from kestrel.functions.temporal import auto_timestamp
+from kestrel.operators.shape import dedup_columns_ci
 
 # The shared driver tables.
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -50,11 +51,17 @@ def read_master_csv(spark: SparkSession, path: str, columns: Sequence[str], name
 
 
 def read_header_names(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """Header fields of a CSV exactly as written (one line goes to the driver)."""
+    """Header fields of a CSV exactly as written; the line is parsed by Spark's CSV reader, quotes included."""
     first = spark.read.text(path).limit(1).collect()
     if not first:
         return []
-    return [h.strip().strip('"') for h in first[0][0].lstrip("﻿").split(sep)]
+    line = first[0][0].lstrip("\ufeff")
+    fields = F.from_csv(F.lit(line), ", ".join(f"c{i} string" for i in range(line.count(sep) + 1)), {"sep": sep})
+    row = spark.range(1).select(fields.alias("f")).select("f.*").first()
+    last = max((i for i, x in enumerate(row) if x is not None), default=-1)
+    quoted = spark.read.option("header", True).option("sep", sep).csv(path)
+    n = max(last + 1, len(quoted.columns))  # trailing empty names count as columns too
+    return [(x or "").strip() for x in row[:n]]
 
 
 def read_headered_csv(spark: SparkSession, path: str, dedup_case: bool = True) -> DataFrame:
@@ -68,17 +75,7 @@ def read_headered_csv(spark: SparkSession, path: str, dedup_case: bool = True) -
     df = spark.read.option("header", True).option("inferSchema", True).csv(path)
     if not dedup_case:
         return df
-    original = read_header_names(spark, path)
-    if len(original) != len(df.columns):
-        original = df.columns
-    seen, keep_idx = set(), []
-    for i, name in enumerate(original):
-        key = name.upper()
-        if key not in seen:
-            seen.add(key)
-            keep_idx.append(i)
-    spark_names = df.columns
-    return df.select(*[F.col(f"`{spark_names[i]}`") for i in keep_idx]).toDF(*[original[i].upper() for i in keep_idx])
+    return dedup_columns_ci(df, read_header_names(spark, path))
 
 
 def bulk_load_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|",
@@ -87,13 +84,58 @@ def bulk_load_delimited(spark: SparkSession, path: str, schema: T.StructType, se
 
     Quoting is off (a field starting with a double quote is plain text), ``null_marker`` is null.
     ``timestamp_format`` applies to TIMESTAMP and TIMESTAMP_NTZ columns; use unpadded patterns
-    (``M/d/yyyy H:mm:ss``) so both padded and unpadded stamps load.
+    (``M/d/yyyy H:mm:ss``) so both padded and unpadded stamps load. A field that does not fit its
+    type, or a line with too few or too many fields, fails the load; ``bulk_load_with_rejects``
+    loads the other lines and reports these.
     """
-    r = (spark.read.schema(schema).option("sep", sep).option("quote", "").option("header", False)
-         .option("nullValue", null_marker).option("mode", "PERMISSIVE"))
+    return _bulk_reader(spark, sep, null_marker, timestamp_format).schema(schema).option("mode", "FAILFAST").csv(path)
+
+
+def _bulk_reader(spark, sep, null_marker, timestamp_format):
+    r = (spark.read.option("sep", sep).option("quote", "").option("header", False).option("nullValue", null_marker))
     if timestamp_format:
         r = r.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
-    return r.csv(path)
+    return r
+
+
+def bulk_load_with_rejects(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|",
+                           null_marker: str = "\\N", timestamp_format: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """S8/S9 with a report: (rows loaded, rejects as (line, reason)).
+
+    A line is rejected for its number of fields, for a field that does not fit its column's type, or for
+    a null in a column declared not null; the reason names the first such column. One pass over the
+    text gives both frames.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    parts = F.split("line", "\\Q" + sep + "\\E", -1)
+    fields = lines.select("line", parts.alias("parts"))
+    given = lambda i: F.when(F.get("parts", F.lit(i)) != null_marker, F.get("parts", F.lit(i)))
+
+    def value(f: T.StructField, i: int):
+        text = given(i)
+        if isinstance(f.dataType, T.StringType):
+            return text
+        text = F.nullif(text, F.lit(""))
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) and timestamp_format:
+            return F.try_to_timestamp(text, F.lit(timestamp_format)).cast(f.dataType)
+        if isinstance(f.dataType, T.DecimalType):  # the type's digits hold the value as written, not a rounded one
+            exact = text.try_cast(T.DecimalType(38, 18))
+            fits = exact.try_cast(f.dataType)
+            return F.when(fits.cast(T.DecimalType(38, 18)) == exact, fits)
+        return text.try_cast(f.dataType)
+
+    reason = F.when(F.size("parts") != len(schema.fields), F.concat(F.size("parts").cast("string"), F.lit(" fields")))
+    typed = [value(f, i).alias(f.name) for i, f in enumerate(schema.fields)]
+    staged = fields.select("line", "parts", reason.alias("__count"), F.struct(*typed).alias("__row"))
+    why = F.col("__count")
+    for i, f in enumerate(schema.fields):
+        text = given(i) if isinstance(f.dataType, T.StringType) else F.nullif(given(i), F.lit(""))
+        bad = text.isNotNull() & F.col("__row").getField(f.name).isNull()
+        why = F.coalesce(why, F.when(bad, F.lit(f"{f.name}: not {f.dataType.simpleString()}")))
+        if not f.nullable:
+            why = F.coalesce(why, F.when(text.isNull(), F.lit(f"{f.name}: null")))
+    judged = staged.select("line", "__row", why.alias("reason"))
+    return (judged.where("reason is null").select("__row.*"), judged.where("reason is not null").select("line", "reason"))
 
 
 def with_auto_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -101,11 +143,11 @@ def with_auto_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[auto_timestamp(c).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
-def inline_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType,
+def inline_rows(spark: SparkSession, rows: Sequence[Sequence] | DataFrame, schema: T.StructType,
                 defaults: Mapping[str, object] | None = None, full_schema: T.StructType | None = None) -> DataFrame:
     """Rows given for ``schema``'s columns; omitted columns of ``full_schema`` take their
     default (or null). An explicit null in a given column stays null."""
-    df = spark.createDataFrame(list(rows), schema)
+    df = rows if isinstance(rows, DataFrame) else spark.createDataFrame(list(rows), schema)
     if full_schema is None:
         return df
     defaults = dict(defaults or {})
