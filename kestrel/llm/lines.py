@@ -68,23 +68,23 @@ def line_rows(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     return map_batches(docs, run, f"id {kind}, th long, line int, h1 long, h2 long, halves array<long>")
 
 
-def line_words(docs: DataFrame, near_words: int) -> DataFrame:
-    """(h1, h2, words) of the lines of ``near_words`` words or more; words is the run of their hashes."""
+def line_words(rows: DataFrame) -> DataFrame:
+    """(h1, h2, words) of the lines whose numbers ``rows`` (text, wanted) names; words is the run of their hashes."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = rows_of(batch, "text")
         one, two, found = [], [], []
         for at, starts, _, h in W.each_text(texts):
-            _, lo, hi = _lines(texts[at], starts, near_words)
-            runs = W.Runs(h)
+            number, lo, hi = _lines(texts[at], starts, 1)
+            use = np.isin(number, batch.column(1)[at].as_py())
+            lo, hi, runs = lo[use], hi[use], W.Runs(h)
             one.append(runs.hash(lo, hi, 1))
             two.append(runs.hash(lo, hi, 2))
             found += [h[a:b].tobytes() for a, b in zip(lo, hi)]
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(one).view(np.int64)),
-                                              pa.array(np.concatenate(two).view(np.int64)), pa.array(found, pa.binary())],
-                                             names=["h1", "h2", "words"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(one).view(np.int64)),
+                                          pa.array(np.concatenate(two).view(np.int64)), pa.array(found, pa.binary())],
+                                         names=["h1", "h2", "words"])
 
-    return map_batches(docs.select("text"), run, "h1 long, h2 long, words binary")
+    return map_batches(rows, run, "h1 long, h2 long, words binary")
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -112,15 +112,19 @@ def variants(lines: DataFrame) -> DataFrame:
     return map_batches(rows, run, f"key long, kind byte, first {rows.schema['first'].dataType.simpleString()}")
 
 
-def near_lines(lines: DataFrame, firsts: DataFrame, docs: DataFrame, near_words: int) -> DataFrame:
+def near_lines(lines: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
     """(h1, h2, first, earlier) of the distinct lines that an earlier line is near to, with one such line."""
     halves = lines.select("h1", F.explode("halves").alias("key"))
     shared = halves.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo != hi").select("key")
     active = halves.join(shared, "key", "left_semi").select("h1").distinct()
     active = written(firsts.join(active, "h1", "left_semi").select("h1", "h2", "first"), "active")
 
-    text = keep_buckets(line_words(docs, near_words), F.col("h1"), active, F.col("h1"))
-    known = written(text.join(active, [*_LINE]).groupBy(*_LINE).agg(F.first("words").alias("words"), F.first("first").alias("first")), "known")
+    # the words of an active line are read from the document that has it first
+    wanted = active.groupBy(F.struct("first.id", "first.th").alias("key")).agg(F.collect_list("first.line").alias("wanted"))
+    wanted = written(wanted, "wanted")
+    text = keep_buckets(docs.select(F.struct("id", "th").alias("key"), "text"), F.col("key"), wanted, F.col("key"))
+    words = line_words(text.join(wanted, "key").select("text", "wanted"))
+    known = written(words.join(active, [*_LINE]).groupBy(*_LINE).agg(F.first("words").alias("words"), F.first("first").alias("first")), "known")
     keys = variants(known)
     # equal keys: the earliest line of each kind; without two lines a key tells nothing
     least = [F.min(F.when(F.col("kind") == k, F.col("first"))).alias(f"least{k}") for k in (0, 1, 2)]
@@ -174,7 +178,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     firsts = (lines.groupBy(*_LINE).agg(F.min(place).alias("first"), F.max(place).alias("last"),
                                         F.max(F.size("halves")).alias("n_halves")))
     firsts = written(firsts, "firsts")
-    near = written(near_lines(lines, firsts.where("n_halves > 0"), rows, near_words), "near")
+    near = written(near_lines(lines, firsts.where("n_halves > 0"), rows), "near")
     # lines that occur once and are near no other stay as they are and need no join
     known = (firsts.where("first != last").select(*_LINE, "first").join(near.select(*_LINE, F.col("earlier")), [*_LINE], "full")
              .join(near.select(*_LINE, F.col("first").alias("own")), [*_LINE], "left")
