@@ -16,7 +16,8 @@ All links are found and counted, and no list of pairs is made:
 * equal sets collapse to one node first;
 * sets that share a signature are in one candidate cluster, whatever their similarity; for that,
   edges to the smallest set of each signature are enough, and a task combines its own sets first;
-* the sets of a cluster are dealt to blocks of bounded size, and each two blocks meet in one task,
+* sets of a cluster whose numbers of features by parts of the domain rule a link out are set apart;
+* the sets of what is left of a cluster are dealt to blocks of bounded size, and each two blocks meet in one task,
   which compares all their sets and returns each set's number of links and a spanning forest of them.
 """
 
@@ -130,16 +131,26 @@ def digest(features: np.ndarray) -> int:
     return int(W.mix(np.array([total], dtype=np.uint64)).view(np.int64)[0])
 
 
-def set_digests(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(id, th, n_shingles, digest) of every row; th is the hash of the text."""
+#: Parts of the feature domain in which a set's features are counted, as a power of two.
+CELL_BITS = 6
+
+
+def set_digests(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
+    """(id, th, n_shingles, digest, band, cells) of every row; th is the hash of the text, cells the
+    numbers of the set's features in CELLS parts of the domain, 255 at most."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = [(len(x), digest(x)) for _, x in shingle_sets(batch, "text", n)]
+        found = []
+        for _, x in shingle_sets(batch, "text", sim.n):
+            bands = sim.bands(max(1, len(x)))
+            cells = np.minimum(np.bincount((x >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS), 255)
+            found.append((len(x), digest(x), int(np.searchsorted(bands, len(x), side="right")) - 1, cells.astype(np.uint8).tobytes()))
+        count, digests, band, cells = zip(*found)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())],
-            names=["id", "th", "n_shingles", "digest"])
+            [batch.column(0), batch.column(1), pa.array(count, pa.int64()), pa.array(digests, pa.int64()), pa.array(band, pa.int32()),
+             pa.array(cells, pa.binary())], names=["id", "th", "n_shingles", "digest", "band", "cells"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, th long, n_shingles long, digest long")
+    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, th long, n_shingles long, digest long, band int, cells binary")
 
 
 #: Signatures that a task gathers before it sends them on.
@@ -219,6 +230,49 @@ def feature_sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame,
     return nodes.join(sets, ["digest", "n"]).groupBy(*nodes.columns).agg(F.first("features").alias("features"))
 
 
+#: Sets whose counts one block holds on average at most.
+COUNT_SETS = 2048
+
+
+def refine(nodes: DataFrame, sim: Similarity) -> DataFrame:
+    """(a, b): edges that connect all sets of a cluster which may be similar, by their counts.
+
+    The counts of two sets in the parts of the domain differ by no more in all than the sets do, so
+    sets whose counts differ by more than the similarity allows are not linked. Sets that met by a
+    chance signature, or a passage they share, fall apart here; no linked pair does. ``nodes`` has
+    (cluster, digest, n, band, cells); sets of one band and the next meet, block by block.
+    """
+    placed = nodes.select("cluster", "digest", "n", "cells", F.explode(F.array("band", F.col("band") + 1)).alias("instance"))
+    size = placed.groupBy("cluster", "instance").agg(F.ceil(F.count("*") / COUNT_SETS).cast("int").alias("blocks"))
+    dealt = _block_pairs(placed.join(size, ["cluster", "instance"]), "cluster", "instance", "digest", "n", "cells")
+
+    def run(group: pa.Table) -> pa.Table:
+        n, own = group["n"].to_numpy(), group["own"].to_numpy()
+        counts = np.frombuffer(b"".join(group["cells"].to_pylist()), dtype=np.uint8).reshape(len(n), -1).astype(np.int16)
+        left, right = own == group["i"][0].as_py(), own == group["j"][0].as_py()
+        root, forest = np.arange(len(n)), []
+        for i in np.flatnonzero(left):
+            other = np.flatnonzero(right & (root != root[i]))
+            apart = np.abs(counts[other] - counts[i]).sum(axis=1)
+            for j in other[apart * (sim.den + sim.num) <= (n[other] + n[i]) * (sim.den - sim.num)]:
+                if root[i] != root[j]:
+                    root[root == root[j]] = root[i]
+                    forest.append((int(i), int(j)))
+        node = pa.StructArray.from_arrays([group["digest"].combine_chunks(), group["n"].combine_chunks()], names=["digest", "n"])
+        a, b = (pa.array([x[k] for x in forest], pa.int64()) for k in (0, 1))
+        return pa.Table.from_arrays([node.take(a), node.take(b)], names=["a", "b"])
+
+    node = "struct<digest:long,n:long>"
+    return dealt.groupBy("cluster", "instance", "i", "j").applyInArrow(run, f"a {node}, b {node}")
+
+
+def _block_pairs(sets: DataFrame, *columns: str) -> DataFrame:
+    """Each row of ``sets`` (digest, n, blocks, ...) to the pairs (i, j) of blocks that its block is in."""
+    own = F.pmod(F.xxhash64("digest", "n"), F.col("blocks")).cast("int")
+    return (sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(*columns, "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+
+
 #: Sets, and features of sets, that a block of a cluster holds on average at most.
 BLOCK_SETS, BLOCK_FEATURES = 512, 1 << 19
 
@@ -250,15 +304,10 @@ def compare(sizes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right:
 def compare_blocks(sets: DataFrame, sim: Similarity) -> DataFrame:
     """(a, b, links): forest edges a-b, and numbers of links of a with b null.
 
-    ``sets`` has (cluster, digest, n, copies, features). Each row goes to the pairs of blocks that its
-    block is in; a pair of blocks is one group.
+    ``sets`` has (cluster, blocks, digest, n, copies, features). Each row goes to the pairs of blocks
+    that its block is in; a pair of blocks is one group.
     """
-    size = sets.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_FEATURES)).cast("int")
-    own = F.pmod(F.xxhash64("digest", "n"), F.col("blocks")).cast("int")
-    dealt = (sets.join(size.select("cluster", blocks.alias("blocks")), "cluster").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "n", "copies", "features"))
+    dealt = _block_pairs(sets, "cluster", "digest", "n", "copies", "features")
 
     def run(group: pa.Table) -> pa.Table:
         sizes, own = group["n"].to_numpy(), group["own"].to_numpy()
@@ -295,19 +344,23 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def grouped(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
     """(id, th, n_shingles, n_links, part, component) of each row; part names its group, null without words."""
-    base = written(set_digests(docs, id_col, text_col, sim.n), "sets")
+    base = written(set_digests(docs, id_col, text_col, sim), "sets")
     nodes = (base.where("n_shingles > 0").groupBy("digest", F.col("n_shingles").alias("n"))
-             .agg(F.min("id").alias("id"), F.count("*").alias("copies")))
-
-    clusters = components(candidate_edges(candidate_rows(docs, text_col, sim)), "a", "b")
+             .agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.max("band").alias("band"), F.max("cells").alias("cells")))
 
-    wanted = written(nodes.join(clusters.select(F.col("node").alias("digest"), F.col("component").alias("cluster")), "digest")
-                     .select("cluster", "digest", "n", "id", "copies"), "clusters")
+    node = F.struct("digest", "n")
+    met = components(candidate_edges(candidate_rows(docs, text_col, sim)), "a", "b")
+    met = written(nodes.join(met.select(F.col("node").alias("digest"), F.col("component").alias("cluster")), "digest"), "met")
+    clusters = components(refine(met, sim), "a", "b").select(F.col("node.*"), F.col("component").alias("cluster"))
+    wanted = met.select("digest", "n", "id", "copies").join(clusters, ["digest", "n"])
+    size = wanted.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_FEATURES)).cast("int")
+    wanted = written(wanted.join(size.select("cluster", blocks.alias("blocks")), "cluster")
+                     .select("cluster", "blocks", "digest", "n", "id", "copies"), "clusters")
     found = written(compare_blocks(feature_sets(docs, id_col, text_col, wanted, sim.n), sim), "compared")
     parts = components(found.where("b is not null"), "a", "b")
     links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
 
-    node = F.struct("digest", "n")
     placed = (nodes.withColumn("node", node).join(parts, "node", "left").join(links, "node", "left")
               .select("node", "id", F.coalesce("component", "node").alias("part"),
                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
