@@ -8,30 +8,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.session import ensure_checkpoint_dir, scratch_path
+from kestrel.session import written
 
 #: Distinct values a broadcast pre-filter can hold, whatever the data size (see ``keep_buckets``).
-FILTER_BUCKETS = 1 << 17
+FILTER_BUCKETS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back: its lineage ends there."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def doc_key(id_col: str, text_col: str) -> Column:
-    """Key of a row of documents: repeated ids with other texts stay apart, repeated rows share it."""
-    return F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"))
-
-
 def keep_buckets(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
     """Rows of ``df`` whose key falls in a hash bucket that holds a wanted key.
 
