@@ -8,17 +8,16 @@ import random
 from pyspark.sql import functions as F
 
 from kestrel.plans import jobs
-from tests.test_lines import brute_offers, offers_text
+from tests.test_lines import offers_file
 from tests.test_series import EXPECTED_DAILY_DELTA_F, EXPECTED_HOURLY_DELTAS_C, hourly
 
 
 def test_offers_job(spark, tmp_path):
-    text = offers_text(random.Random(21), 200)
+    text, want = offers_file(random.Random(21), 200)
     p = tmp_path / "offers.txt"
     p.write_text(text, encoding="utf-8")
     out = str(tmp_path / "out")
     records, summary = jobs.offers_job(spark, str(p), out)
-    want = brute_offers(text)
     assert records.count() == len(want) == spark.read.option("header", True).csv(out).count()
     assert summary.first()["agentes"] == len({a for a, *_ in want if a is not None})
 
