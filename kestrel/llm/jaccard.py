@@ -132,7 +132,7 @@ def digest(features: np.ndarray) -> int:
 
 
 #: Parts of the feature domain in which a set's features are counted, as a power of two.
-CELL_BITS = 6
+CELL_BITS = 8
 
 
 def set_digests(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
@@ -242,19 +242,27 @@ def refine(nodes: DataFrame, sim: Similarity) -> DataFrame:
     chance signature, or a passage they share, fall apart here; no linked pair does. ``nodes`` has
     (cluster, digest, n, band, cells); sets of one band and the next meet, block by block.
     """
-    placed = nodes.select("cluster", "digest", "n", "cells", F.explode(F.array("band", F.col("band") + 1)).alias("instance"))
+    both = F.explode(F.array("band", F.col("band") + 1)).alias("instance")
+    placed = nodes.select("cluster", "digest", "n", "band", "cells", both)
     size = placed.groupBy("cluster", "instance").agg(F.ceil(F.count("*") / COUNT_SETS).cast("int").alias("blocks"))
-    dealt = _block_pairs(placed.join(size, ["cluster", "instance"]), "cluster", "instance", "digest", "n", "cells")
+    dealt = _block_pairs(placed.join(size, ["cluster", "instance"]), "cluster", "instance", "digest", "n", "band", "cells")
 
     def run(group: pa.Table) -> pa.Table:
         n, own = group["n"].to_numpy(), group["own"].to_numpy()
         counts = np.frombuffer(b"".join(group["cells"].to_pylist()), dtype=np.uint8).reshape(len(n), -1).astype(np.int16)
+        few = np.ascontiguousarray(counts.reshape(len(n), -1, 8).sum(axis=2, dtype=np.int16).T)
         left, right = own == group["i"][0].as_py(), own == group["j"][0].as_py()
+        high = group["band"].to_numpy() == group["instance"][0].as_py()
+        most = n * (sim.den - sim.num)
         root, forest = np.arange(len(n)), []
         for i in np.flatnonzero(left):
-            other = np.flatnonzero(right & (root != root[i]))
-            apart = np.abs(counts[other] - counts[i]).sum(axis=1)
-            for j in other[apart * (sim.den + sim.num) <= (n[other] + n[i]) * (sim.den - sim.num)]:
+            # two sets of the lower band have met in the instance of their own band
+            meet = right if high[i] else right & high
+            apart = np.abs(few - few[:, i:i + 1]).sum(axis=0, dtype=np.int32)  # coarse counts first: they set most sets apart
+            other = np.flatnonzero(meet & (root != root[i]) & (apart * (sim.den + sim.num) <= most + most[i]))
+            apart = np.abs(counts[other] - counts[i]).sum(axis=1, dtype=np.int32)
+            other = other[apart * (sim.den + sim.num) <= most[other] + most[i]]
+            for j in other:
                 if root[i] != root[j]:
                     root[root == root[j]] = root[i]
                     forest.append((int(i), int(j)))
@@ -274,7 +282,7 @@ def _block_pairs(sets: DataFrame, *columns: str) -> DataFrame:
 
 
 #: Sets, and features of sets, that a block of a cluster holds on average at most.
-BLOCK_SETS, BLOCK_FEATURES = 512, 1 << 19
+BLOCK_SETS, BLOCK_FEATURES = 1024, 1 << 20
 
 
 def compare(sizes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
