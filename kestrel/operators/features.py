@@ -15,7 +15,7 @@ from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kestrel.operators.ordered import cumulative_sum, row_number_in_order
-from kestrel.operators.stats import exact_median, mode_with_frequency
+from kestrel.operators.stats import exact_medians, mode_with_frequency, modes
 from kestrel.session import written
 
 
@@ -40,12 +40,11 @@ class _ImputerBase(Estimator, HasInputCols, HasOutputCols):
         super().__init__()
         self._set(**self._input_kwargs)
 
-    def _fill_value(self, df: DataFrame, col: str):
+    def _fills(self, df: DataFrame, cols: Sequence[str]) -> dict:
         raise NotImplementedError
 
     def _fit(self, df: DataFrame) -> _FillModel:
-        fills = {c: self._fill_value(df, c) for c in self.getInputCols()}
-        m = _FillModel(fills)
+        m = _FillModel(self._fills(df, list(self.getInputCols())))
         m._set(inputCols=self.getInputCols(), outputCols=self.getOutputCols())
         return m
 
@@ -53,16 +52,22 @@ class _ImputerBase(Estimator, HasInputCols, HasOutputCols):
 class ExactMedianImputer(_ImputerBase):
     """M1: nulls replaced by the exact (interpolated) median of the fitted data."""
 
-    def _fill_value(self, df, col):
-        return exact_median(df, col, "m").first()[0]
+    def _fills(self, df, cols):
+        return exact_medians(df, cols)
 
 
 class ModeImputer(_ImputerBase):
     """M2: nulls replaced by the most frequent value of the fitted data, ties to the smallest."""
 
-    def _fill_value(self, df, col):
-        row = mode_with_frequency(df, col, "m").first()
-        return None if row is None else row[0]
+    def _fills(self, df, cols):
+        text = [c for c in cols if df.schema[c].dataType.typeName() == "string"]
+        fills = modes(df, text) if text else {}
+        for c in cols:
+            if c not in text:  # other types are not stacked: their values keep their own order
+                row = mode_with_frequency(df, c, "m").first()
+                if row is not None:
+                    fills[c] = row[0]
+        return fills
 
 
 def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -51,6 +51,33 @@ def exact_median(df: DataFrame, col: str, out: str = "median") -> DataFrame:
     return exact_percentile(df, col, 0.5, out)
 
 
+def _stacked_counts(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
+    """(name, value, n): counts of the non-null values of several columns, in one pass over ``df``."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast(kind).alias("value")) for c in cols]))
+    return (df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull())
+            .groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """A8 for several columns at once: one value count and one ordered scan keyed by column."""
+    vc = written(_stacked_counts(df, cols, "double"), "values")
+    total = vc.groupBy(F.col("name").alias("__name")).agg(F.sum("n").alias("total"))
+    cum = ordered_scan(vc, ["name"], ["value"], [("cumsum", "n", "upto")]).join(total, F.col("name") == F.col("__name"))
+    lo, hi = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)  # 0-based ranks of the middle
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when((F.col("upto") - F.col("n") <= rank) & (F.col("upto") > rank), F.col("value")))
+
+    rows = cum.groupBy("name").agg(at(lo).alias("lo"), at(hi).alias("hi")).collect()  # one row per column
+    return {r["name"]: r["lo"] + (r["hi"] - r["lo"]) * 0.5 if r["lo"] != r["hi"] else r["lo"] for r in rows}
+
+
+def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
+    """A9 for several text columns at once: the most frequent value of each, ties to the smallest."""
+    best = F.min(F.struct((-F.col("n")).alias("n"), "value")).getField("value").alias("value")
+    return {r["name"]: r["value"] for r in _stacked_counts(df, cols, "string").groupBy("name").agg(best).collect()}
+
+
 def mode_with_frequency(df: DataFrame, col: str, out: str = "mode", freq: str = "frequency") -> DataFrame:
     """Most frequent non-null value and its count; ties go to the smallest value."""
     vc = value_counts(df, col, freq)
