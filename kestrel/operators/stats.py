@@ -29,7 +29,12 @@ def exact_percentile(df: DataFrame, col: str, q: float = 0.5, out: str = "median
     Linear interpolation between the values at 0-based ranks floor(p) and ceil(p), p = q*(n-1),
     written as lo + (hi - lo) * frac.
     """
-    vc = written(value_counts(df, col, "__n"), "values")
+    return percentile_of_counts(written(value_counts(df, col, "__n"), "values"), col, "__n", q, out)
+
+
+def percentile_of_counts(vc: DataFrame, col: str, count_col: str, q: float = 0.5, out: str = "median") -> DataFrame:
+    """A8 from stored value counts (``value_counts``), which may serve a mode as well."""
+    vc = vc.withColumnRenamed(count_col, "__n")
     n = vc.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
     if n == 0:
         return vc.agg(F.lit(None).cast("double").alias(out))
@@ -80,8 +85,12 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
 
 def mode_with_frequency(df: DataFrame, col: str, out: str = "mode", freq: str = "frequency") -> DataFrame:
     """Most frequent non-null value and its count; ties go to the smallest value."""
-    vc = value_counts(df, col, freq)
-    return vc.orderBy(F.col(freq).desc(), F.col(col).asc()).limit(1).select(F.col(col).alias(out), F.col(freq))
+    return mode_of_counts(value_counts(df, col, freq), col, freq, out, freq)
+
+
+def mode_of_counts(vc: DataFrame, col: str, count_col: str, out: str = "mode", freq: str = "frequency") -> DataFrame:
+    """A9 from value counts."""
+    return vc.orderBy(F.col(count_col).desc(), F.col(col).asc()).limit(1).select(F.col(col).alias(out), F.col(count_col).alias(freq))
 
 
 def describe(df: DataFrame, col: str, prefix: str = "") -> DataFrame:

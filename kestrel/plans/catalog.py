@@ -360,15 +360,18 @@ def q21_describe(spark, d):
 
 def q22_median_mode(spark, d):
     li = _t(spark, d).lineitem
-    return stats.one_row([stats.exact_median(li, "l_quantity", "mediana"),
-                          stats.mode_with_frequency(li, "l_quantity", "moda", "frecuencia")])
+    counts = written(stats.value_counts(li, "l_quantity", "n"), "values")
+    return stats.one_row([stats.percentile_of_counts(counts, "l_quantity", "n", 0.5, "mediana"),
+                          stats.mode_of_counts(counts, "l_quantity", "n", "moda", "frecuencia")])
 
 
 def q23_unified_metrics(spark, d):
     li = _t(spark, d).lineitem
-    avg = li.agg(round_half_up(F.try_divide(exact_sum("l_extendedprice"), F.count("l_extendedprice"))).alias("promedio"))
-    med = stats.exact_median(li, "l_extendedprice", "mediana")
-    mode = stats.mode_with_frequency(li, "l_extendedprice", "moda").drop("frequency")
+    counts = written(stats.value_counts(li, "l_extendedprice", "n"), "values")  # holds the average, median and mode
+    total = F.sum(F.col("l_extendedprice").cast("decimal(18,2)") * F.col("n")).cast("double")
+    avg = counts.agg(round_half_up(F.try_divide(total, F.sum("n"))).alias("promedio"))
+    med = stats.percentile_of_counts(counts, "l_extendedprice", "n", 0.5, "mediana")
+    mode = stats.mode_of_counts(counts, "l_extendedprice", "n", "moda").drop("frequency")
     return stats.one_row([avg, med, mode])
 
 
