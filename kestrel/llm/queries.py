@@ -33,8 +33,8 @@ def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that lose sentences: their numbers, and the documents in which the spans come first."""
-    found = sentences.covered(sentences.repeated_spans(table(spark, sf_dir, "documents")))
+    """Documents that lose sentences, of runs of any length: their numbers, and the documents in which the spans come first."""
+    found = sentences.covered(sentences.repeated_spans(table(spark, sf_dir, "documents"), min_words=1))
     return found.select(F.col("id").alias("doc_id"), F.size("gone").cast("long").alias("n_removed"),
                         F.concat_ws(",", F.transform("gone", lambda x: x.cast("string"))).alias("sentences"),
                         F.col("kept_ids").alias("kept_in"))

@@ -1,8 +1,9 @@
 """Substring deduplication by sliding sentence spans.
 
-A sentence ends at a line break or after a word that ends in ".", "!" or "?". From each sentence the
-shortest run of several sentences with enough words is hashed. A run that occurs more than once is
-kept where it comes first, by document and place; sentences covered by any other occurrence go.
+A sentence ends at a line break or after a word that ends in ".", "!" or "?". The shortest runs of
+several sentences with enough words that begin and that end at each sentence are hashed; a longer run
+that repeats is covered by such runs, which repeat with it. A run that occurs more than once is kept
+where it comes first, by document and place; sentences covered by any other occurrence go.
 """
 
 from __future__ import annotations
@@ -28,6 +29,21 @@ def sentence_starts(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return np.flatnonzero(np.concatenate([[True], stop[:-1] | (line[1:] != line[:-1])]))
 
 
+def shortest_runs(bound: np.ndarray, sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First sentences and ends of the shortest runs from each sentence and up to each, each run once.
+
+    ``bound`` holds the first word of each sentence and the number of words. Where a run's last
+    sentences are too short to begin one themselves, the shortest run up to its end holds them.
+    """
+    n = len(bound) - 1
+    at, stop = np.arange(n), np.arange(1, n + 1)
+    end = np.maximum(at + sentences, np.searchsorted(bound, bound[:-1] + min_words))
+    begin = np.minimum(stop - sentences, np.searchsorted(bound, bound[1:] - min_words, side="right") - 1)
+    begin, end = np.concatenate([at, begin]), np.concatenate([end, stop])
+    use = (begin >= 0) & (end <= n)
+    return np.divmod(np.unique(begin[use] * (n + 1) + end[use]), n + 1)
+
+
 def span_rows(rows: DataFrame, sentences: int, min_words: int) -> DataFrame:
     """(id, th, at, length, h1, h2) of the runs in ``rows`` (id, th, text): first sentence, number of sentences, hash."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -35,14 +51,13 @@ def span_rows(rows: DataFrame, sentences: int, min_words: int) -> DataFrame:
         for k, starts, ends, h in W.each_text(texts):
             first = sentence_starts(texts[k], starts, ends)
             bound = np.append(first, len(h))
-            stop = np.maximum(np.arange(len(first)) + sentences, np.searchsorted(bound, first + min_words))
-            use = np.flatnonzero(stop < len(bound))
-            if not len(use):
+            begin, end = shortest_runs(bound, sentences, min_words)
+            if not len(begin):
                 continue
-            runs, lo, hi = W.Runs(h), bound[use], bound[stop[use]]
-            row.append(np.full(len(use), k))
-            at.append(use)
-            size.append(stop[use] - use)
+            runs, lo, hi = W.Runs(h), bound[begin], bound[end]
+            row.append(np.full(len(begin), k))
+            at.append(begin)
+            size.append(end - begin)
             one.append(runs.hash(lo, hi, 1))
             two.append(runs.hash(lo, hi, 2))
         if row:
