@@ -3,8 +3,9 @@
 Every text node of a page has a root-to-leaf tag path. Text length, punctuation and link text are
 summed per path; a path's ratios are its length and its punctuation per node. Each node takes the
 ratios of its path, both series are smoothed along the page with a Gaussian, fused, and cut at a
-threshold that follows their spread. The nodes above it tell where the article is: the smallest
-structural element that holds nearly all of their text. The article is that element's text, without
+threshold that follows their spread. The nodes above it tell where the article is: an <article> that
+holds nearly all of their text, else the smallest structural element that holds all of them and the
+headings. The article is that element's text, without
 link lists and without what its mark-up names as something else.
 """
 
@@ -45,6 +46,7 @@ ASIDE_WORDS = frozenset(("ad ads advert adverts advertisement advertising adbox
                          "contentinfo").split())
 HEADER_WORDS = frozenset(("header", "banner"))
 STRUCTURE = frozenset("html body main article section div table tbody tr td center".split())
+HEADINGS = "h1", "h2", "h3", "h4", "h5", "h6"
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:"[^"]*+"|'[^']*+'|[^"'>]|["'])*?)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
@@ -174,18 +176,27 @@ def content_nodes(page: Page, strictness: float = 0.5) -> tuple[list[int], set[i
 
 
 def container(page: Page, chosen: list[int], share: float = 0.9) -> int:
-    """The smallest structural element with at least ``share`` of the chosen nodes' text."""
-    weight = np.zeros(len(page.tag), dtype=np.int64)
-    for i in chosen:
-        weight[page.node[i][0]] += len(page.node[i][2].strip())
+    """The outermost <article> with at least ``share`` of the chosen nodes' text; without one, the smallest
+    structural element, <main> at the least, that holds all chosen nodes and the headings that are no links."""
+    weight, held = np.zeros(len(page.tag), dtype=np.int64), np.zeros(len(page.tag), dtype=np.int64)
+    picked = set(chosen)
+    for i, (number, _, text, _) in enumerate(page.node):
+        weight[number] += len(text.strip()) if i in picked else 0
+        held[number] += i in picked
+    heading = np.isin(page.tag, HEADINGS)
+    for number in range(1, len(heading)):
+        heading[number] |= heading[page.parent[number]]
+    for number, _, text, link in page.node:
+        held[number] += bool(heading[number] and not link and text.strip())
     for number in range(len(weight) - 1, 0, -1):
         weight[page.parent[number]] += weight[number]
+        held[page.parent[number]] += held[number]
     best = 0
     for number in range(1, len(weight)):  # parents come before children
-        if weight[number] >= share * weight[0] and page.tag[number] in STRUCTURE:
+        if page.tag[number] == "article" and weight[number] >= share * weight[0]:
+            return number
+        if held[number] == held[0] and page.tag[number] in STRUCTURE and page.tag[best] != "main":
             best = number
-            if page.tag[number] == "article":
-                break
     return best
 
 
