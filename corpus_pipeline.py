@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of one word or more that occurred before, or nearly so, go; ``n_chars`` follows the text where there is such a column."""
-    kept = lines.dedup_lines(docs, min_words=1)
+    kept = lines.dedup_lines(docs, min_words=1, near_words=5)
     return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType)) if "n_chars" in kept.columns else kept
 
 

@@ -53,7 +53,7 @@ def op6_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_deletion_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lose lines, of one word or more: the lines' numbers, how many of them are near ones, and whose lines stay."""
-    found = lines.dropped_lines(table(spark, sf_dir, "documents"), min_words=1)
+    found = lines.dropped_lines(table(spark, sf_dir, "documents"), min_words=1, near_words=5)
     return found.groupBy(F.col("id").alias("doc_id")).agg(
         F.count("*").alias("n_dropped"), F.sum(F.col("near").cast("long")).alias("n_near"),
         F.concat_ws(",", F.transform(F.sort_array(F.collect_list("line")), lambda x: x.cast("string"))).alias("lines"),
