@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_model, lines, mixing, pages, pii, quality, sentences, toxicity
+from . import (byte_bpe, decontamination, fill_middle, language_model, lines, mixing, pages, pii, quality, sentences,
+               toxicity, whitening)
 from .common import table
 from .jaccard import Similarity, jaccard_join
 
@@ -76,6 +78,24 @@ def op10_low_discrepancy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All whole vectors on up to 32 components. A deviation that a long doesn't hold is null; ``deviation_exact`` has it."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation AS long)").alias("deviation"),
+                        "whitened", "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents transformed and restored, as digests."""
+    return fill_middle.fill_middle(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_tag_path_extraction": op2_tag_path_extraction,
@@ -87,9 +107,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_adaptive_quality": op8_adaptive_quality,
     "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
     "op10_low_discrepancy_mix": op10_low_discrepancy_mix,
+    "op11_bit_sliced_whitening": op11_bit_sliced_whitening,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_adaptive_quality": quality.ORACLE_SQL,
     "op10_low_discrepancy_mix": mixing.ORACLE_SQL,
+    "op12_fill_in_middle": fill_middle.ORACLE_SQL,
 }
