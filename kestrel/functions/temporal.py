@@ -3,21 +3,38 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
-# Date and time parts that a load recognises by itself, tried in this order.
-AUTO_DATES = ("yyyy-MM-dd", "yyyy/MM/dd", "M/d/yyyy", "M-d-yyyy", "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy",
-              "MMMM d yyyy", "MMMM d, yyyy", "d MMMM yyyy", "yyyyMMdd")
-AUTO_TIMES = ("H:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]", "H:mm", "h:mm:ss a", "h:mm a", "HHmmss")
+# Date and time parts that a load recognises by itself, by the shape of the text. In a shape 9 stands
+# for a digit and a for a letter; the forms of one shape differ in nothing that the pattern does not allow for.
+AUTO_DATES = {
+    "yyyy-MM-dd": "9999-99-99",
+    "yyyy/MM/dd": "9999/99/99",
+    "M/d/yyyy": "99?/99?/9999",
+    "M-d-yyyy": "99?-99?-9999",
+    "MMM d[,] yyyy": "aaa 99?,? 9999",
+    "MMMM d[,] yyyy": "aaaa+ 99?,? 9999",
+    "d MMM yyyy": "99? aaa 9999",
+    "d MMMM yyyy": "99? aaaa+ 9999",
+    "yyyyMMdd": "99999999",
+}
+AUTO_TIMES = {
+    "H:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]": "99?:99:99([.]9{1,6})?",
+    "H:mm": "99?:99",
+    "h:mm:ss a": "99?:99:99 aa",
+    "h:mm a": "99?:99 aa",
+    "HHmmss": "999999",
+}
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _offset_seconds(offset: str) -> int:
+def offset_seconds(offset: str) -> int:
+    """Seconds east of UTC of an offset like ``-05:00``."""
     m = re.fullmatch(r"([+-])(\d{2}):(\d{2})", offset)
     if not m:
         raise ValueError(f"offset must look like -05:00, got {offset!r}")
@@ -30,7 +47,7 @@ def local_date(ts: Column | str, offset: str = "-05:00") -> Column:
 
     TIMESTAMP_NTZ holds UTC wall-clock time; TIMESTAMP is the instant itself.
     """
-    c, secs = _c(ts), _offset_seconds(offset)
+    c, secs = _c(ts), offset_seconds(offset)
     wall = F.to_date(c + F.expr(f"INTERVAL {secs} SECONDS"))
     instant = F.date_from_unix_date(F.floor((F.unix_seconds(c.cast("timestamp")) + F.lit(secs)) / F.lit(86400)).cast("int"))
     return F.when(F.typeof(c) == "timestamp_ntz", wall).otherwise(instant)
@@ -46,14 +63,26 @@ def offset_instant(c: Column | str) -> Column:
     return F.when(offset != "", wall - F.make_interval(mins=minutes))
 
 
-def auto_timestamp(c: Column | str, dates: Sequence[str] = AUTO_DATES, times: Sequence[str] = AUTO_TIMES) -> Column:
-    """The first date form, alone or with a time form after a space or ``T``, that reads the whole text.
+def _by_shape(text: Column, forms: Mapping[str, str]) -> Column:
+    """The text read by the first form whose shape it has; null where none has it, or where the text is no such date or time."""
+    shape = F.translate(F.lower(text), "0123456789bcdefghijklmnopqrstuvwxyz", "9" * 10 + "a" * 25)
+    out = None
+    for form, pattern in forms.items():
+        fits, read = shape.rlike(f"^{pattern}$"), F.try_to_timestamp(text, F.lit(form))
+        out = F.when(fits, read) if out is None else out.when(fits, read)
+    return out
+
+
+def auto_timestamp(c: Column | str, dates: Mapping[str, str] = AUTO_DATES, times: Mapping[str, str] = AUTO_TIMES) -> Column:
+    """A date, alone or with a time after white space or ``T``, each read by the one form that its shape calls for.
 
     Months may be names or numbers, seconds may have a fraction of up to six digits or be left out,
-    AM and PM may be in any case. Null when no form fits. Result is TIMESTAMP_NTZ.
+    AM and PM may be in any case, with or without dots. Null when no form fits. Result is TIMESTAMP_NTZ.
     """
-    text = F.initcap(F.regexp_replace(F.trim(_c(c)), r"(?<=\d)[Tt](?=\d)", " "))
-    text = F.regexp_replace(F.regexp_replace(text, r"(?i)\s*\b([ap])\.?m\.?$", " $1M"), r" aM$", " AM")
-    text = F.regexp_replace(text, r" pM$", " PM")
-    tries = [F.try_to_timestamp(text, F.lit(f)) for d in dates for f in (d, *[f"{d} {t}" for t in times])]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    text = F.trim(_c(c))
+    whole = r"^(.+?)(?:[Tt\s]\s*(\d{1,2}:\d\d.*|\d{6}))?$"
+    day, rest = F.regexp_extract(text, whole, 1), F.regexp_extract(text, whole, 2)
+    clock = F.when(rest.rlike("[AaPp]"), F.regexp_replace(rest, r"(?i)\s*\b([ap])\.?m\.?$|\s*(?<=\d)([ap])\.?m\.?$", " $1$2m")).otherwise(rest)
+    date = _by_shape(F.initcap(day), dates).cast("timestamp_ntz")
+    time = _by_shape(F.upper(clock), times).cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.when(rest == "", date).otherwise(date + time)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from kestrel.functions.temporal import auto_timestamp
 from kestrel.operators.shape import dedup_columns_ci
+from kestrel.session import written
 
 # The shared driver tables.
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -82,40 +83,49 @@ def bulk_load_delimited(spark: SparkSession, path: str, schema: T.StructType, se
                         null_marker: str = "\\N", timestamp_format: str | None = None) -> DataFrame:
     """Delimited text into a declared schema, as a warehouse bulk load reads it.
 
-    Quoting is off (a field starting with a double quote is plain text), ``null_marker`` is null.
-    ``timestamp_format`` applies to TIMESTAMP and TIMESTAMP_NTZ columns; use unpadded patterns
-    (``M/d/yyyy H:mm:ss``) so both padded and unpadded stamps load. A field that does not fit its
-    type, or a line with too few or too many fields, fails the load; ``bulk_load_with_rejects``
-    loads the other lines and reports these.
+    Quoting is off (a field starting with a double quote is plain text). ``null_marker`` is null, and so is an
+    empty field of any type but text, where it is the empty string. ``timestamp_format`` applies to TIMESTAMP
+    and TIMESTAMP_NTZ columns; use unpadded patterns (``M/d/yyyy H:mm:ss``) so both padded and unpadded stamps
+    load. A line that ``bulk_load_with_rejects`` would reject fails the load, whichever columns the query
+    reads: every line is judged in a generator, which neither column pruning nor a filter passes by.
     """
-    return _bulk_reader(spark, sep, null_marker, timestamp_format).schema(schema).option("mode", "FAILFAST").csv(path)
-
-
-def _bulk_reader(spark, sep, null_marker, timestamp_format):
-    r = (spark.read.option("sep", sep).option("quote", "").option("header", False).option("nullValue", null_marker))
-    if timestamp_format:
-        r = r.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
-    return r
+    judged = _judged_lines(spark, path, schema, sep, null_marker, timestamp_format)
+    wrong = F.raise_error(F.concat(F.lit("MALFORMED_RECORD: "), F.col("reason"), F.lit(" in line: "), F.col("line")))
+    return judged.select(F.inline(F.array(F.when(F.col("reason").isNull(), F.col("__row")).otherwise(wrong))))
 
 
 def bulk_load_with_rejects(spark: SparkSession, path: str, schema: T.StructType, sep: str = "|",
                            null_marker: str = "\\N", timestamp_format: str | None = None) -> tuple[DataFrame, DataFrame]:
     """S8/S9 with a report: (rows loaded, rejects as (line, reason)).
 
-    A line is rejected for its number of fields, for a field that does not fit its column's type, or for
-    a null in a column declared not null; the reason names the first such column. One pass over the
-    text gives both frames.
+    A line is rejected for its number of fields, for a field that does not fit its column's type (a decimal's
+    digits, a VARCHAR's or CHAR's length), or for a null in a column declared not null; the reason names the
+    first such column. The text is read once: what was found of each line is stored in the shared scratch
+    folder, and both frames read that.
     """
+    judged = _judged_lines(spark, path, schema, sep, null_marker, timestamp_format)
+    staged = written(judged.select("__row", "reason", F.when(F.col("reason").isNotNull(), F.col("line")).alias("line")), "load")
+    return (staged.where("reason is null").select("__row.*"), staged.where("reason is not null").select("line", "reason"))
+
+
+def _judged_lines(spark: SparkSession, path: str, schema: T.StructType, sep: str, null_marker: str,
+                  timestamp_format: str | None) -> DataFrame:
+    """(line, __row, reason) of each line: its typed fields, and why it can't be loaded (null if it can)."""
+    # a separator of one character, escaped where it has a meaning in patterns, is split without a pattern
+    pattern = ("\\" + sep if sep in ".$|()[{^?*+\\" else sep) if len(sep) == 1 else "\\Q" + sep + "\\E"
     lines = spark.read.text(path).select(F.col("value").alias("line"))
-    parts = F.split("line", "\\Q" + sep + "\\E", -1)
-    fields = lines.select("line", parts.alias("parts"))
-    given = lambda i: F.when(F.get("parts", F.lit(i)) != null_marker, F.get("parts", F.lit(i)))
+    parts = lines.select("line", F.split("line", pattern, -1).alias("parts"))
 
-    def value(f: T.StructField, i: int):
-        text = given(i)
+    def given(f: T.StructField, i: int) -> Column:
+        text = F.get("parts", F.lit(i))
+        return F.when(text != null_marker, text) if _is_text(f) else F.when((text != null_marker) & (text != ""), text)
+
+    def value(f: T.StructField, i: int) -> Column:
+        text = given(f, i)
+        if isinstance(f.dataType, (T.VarcharType, T.CharType)):
+            return F.when(F.length(text) <= f.dataType.length, text)
         if isinstance(f.dataType, T.StringType):
             return text
-        text = F.nullif(text, F.lit(""))
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) and timestamp_format:
             return F.try_to_timestamp(text, F.lit(timestamp_format)).cast(f.dataType)
         if isinstance(f.dataType, T.DecimalType):  # the type's digits hold the value as written, not a rounded one
@@ -124,18 +134,20 @@ def bulk_load_with_rejects(spark: SparkSession, path: str, schema: T.StructType,
             return F.when(fits.cast(T.DecimalType(38, 18)) == exact, fits)
         return text.try_cast(f.dataType)
 
-    reason = F.when(F.size("parts") != len(schema.fields), F.concat(F.size("parts").cast("string"), F.lit(" fields")))
-    typed = [value(f, i).alias(f.name) for i, f in enumerate(schema.fields)]
-    staged = fields.select("line", "parts", reason.alias("__count"), F.struct(*typed).alias("__row"))
-    why = F.col("__count")
+    # the generator of one row keeps the typed fields from being worked out again wherever they are used
+    typed = F.struct(*[value(f, i).alias(f.name) for i, f in enumerate(schema.fields)])
+    rows = parts.select("line", "parts", F.explode(F.array(typed)).alias("__row"))
+    why = F.when(F.size("parts") != len(schema.fields), F.concat(F.size("parts").cast("string"), F.lit(" fields")))
     for i, f in enumerate(schema.fields):
-        text = given(i) if isinstance(f.dataType, T.StringType) else F.nullif(given(i), F.lit(""))
-        bad = text.isNotNull() & F.col("__row").getField(f.name).isNull()
-        why = F.coalesce(why, F.when(bad, F.lit(f"{f.name}: not {f.dataType.simpleString()}")))
+        empty = F.col("__row").getField(f.name).isNull()
+        why = why.when(empty & given(f, i).isNotNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}"))
         if not f.nullable:
-            why = F.coalesce(why, F.when(text.isNull(), F.lit(f"{f.name}: null")))
-    judged = staged.select("line", "__row", why.alias("reason"))
-    return (judged.where("reason is null").select("__row.*"), judged.where("reason is not null").select("line", "reason"))
+            why = why.when(empty, F.lit(f"{f.name}: null"))
+    return rows.select("line", "__row", why.alias("reason"))
+
+
+def _is_text(f: T.StructField) -> bool:
+    return isinstance(f.dataType, (T.StringType, T.VarcharType, T.CharType))
 
 
 def with_auto_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
