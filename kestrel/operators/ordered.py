@@ -4,14 +4,17 @@
 third of the rows becomes a third of the job in a single task, and a window with no partition key
 runs in one task outright. The operators here give the same results with the work split by range:
 
-1. ``repartitionByRange`` on (keys, order) cuts a hot key into many ranges. The frame is written to
-   the shared scratch folder with its range number, so that every later step sees the same ranges
-   (range bounds come from sampling) and columns that a step does not need are not read.
-2. Windows inside (range, key) give each row's value as if the key began with the range.
-3. The last row of each (range, key) holds that piece's end state. A window over these few rows, at
-   most one for each range and key, gives the state that enters each piece.
-4. The entering state is joined back on (range, key): ``lag`` takes it on a piece's first row,
-   ``ffill`` where nothing was seen yet, ``cumsum`` adds it.
+1. ``repartitionByRange`` on (keys, order) cuts a hot key into many ranges.
+2. Windows inside (range, key) give each row's value as if the key began with the range. One sort serves
+   them all. The rows are written to the shared scratch folder with these values and their range number, so
+   that the next steps see the same ranges (range bounds come from sampling).
+3. Ranges follow one another, so a key goes on into the next range only if it is the last of its own: the
+   last row of each range holds all the state that is carried. These rows, one for each range whatever the
+   number of keys, give the state that enters the next range.
+4. The entering state is broadcast (one row for each range at most) and joined on (range, key): ``lag``
+   takes it on a piece's first row, ``ffill`` where nothing was seen yet, ``cumsum`` adds it.
+
+All columns of the frame are stored, for they are returned: select what is needed first.
 
 Supported operations: ``lag`` (previous row's value in the group), ``ffill`` (last non-null value so
 far in the group, current row included) and ``cumsum`` (running sum in the group, current row
@@ -46,38 +49,39 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
-    staged = written(ranged.withColumn("__range", F.spark_partition_id()), "ordered")
+    ranged = ranged.withColumn("__range", F.spark_partition_id())
 
     piece = Window.partitionBy("__range", *keys).orderBy(*order_cols)
     so_far = piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local, state = [], []
+    whole = Window.partitionBy("__range").orderBy(*[F.col(k) for k in keys], *order_cols)
+    local = [F.lead(F.lit(True)).over(whole).isNull().alias("__last"), F.row_number().over(piece).alias("__at")]
     for j, (kind, src, _) in enumerate(ops):
         if kind == "lag":
             local.append(F.lag(src).over(piece).alias(f"__v{j}"))
-            state.append(F.struct(F.col(src).alias("s")).alias(f"__s{j}"))
         elif kind == "ffill":
             local.append(F.last(src, ignorenulls=True).over(so_far).alias(f"__v{j}"))
-            state.append(F.col(f"__v{j}").alias(f"__s{j}"))
         else:
             local.append(F.sum(F.coalesce(F.col(src), F.lit(0))).over(so_far).alias(f"__v{j}"))
-            state.append(F.col(f"__v{j}").alias(f"__s{j}"))
-    local += [F.row_number().over(piece).alias("__at"), F.lead(F.lit(True)).over(piece).isNull().alias("__end")]
-    needed = list(dict.fromkeys([*keys, *[src for _, src, _ in ops]]))
-    ordering = [c for c in staged.columns if c not in needed]  # order columns may be any expression
-
-    ends = (staged.select(*needed, *ordering, *local).where("__end")
-            .select("__range", *keys, *state))
-    earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    staged = written(ranged.select("*", *local), "ordered")
+
+    ends = staged.where("__last")  # one row for each range that has rows
+    upto = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     entering = []
-    for j, (kind, _, _) in enumerate(ops):
-        s = F.col(f"__s{j}")
-        entering.append((F.sum(s) if kind == "cumsum" else F.last(s, ignorenulls=True)).over(earlier).alias(f"__e{j}"))
-    carried = ends.select(F.col("__range").alias("__r"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *entering)
+    for j, (kind, src, _) in enumerate(ops):
+        if kind == "lag":
+            e = F.struct(F.col(src).alias("s"))
+        elif kind == "ffill":
+            e = F.last(f"__v{j}", ignorenulls=True).over(upto)
+        else:
+            e = F.sum(f"__v{j}").over(upto)
+        entering.append(e.alias(f"__e{j}"))
+    after = F.lead("__range").over(Window.orderBy("__range")).alias("__r")
+    carried = ends.select(after, *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *entering).where("__r is not null")
 
     same = F.col("__range") == F.col("__r")
     for i, k in enumerate(keys):
         same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}"))
-    joined = staged.select("*", *local).join(carried, same, "left")
+    joined = staged.join(F.broadcast(carried), same, "left")
     out = []
     for j, (kind, _, name) in enumerate(ops):
         v, e = F.col(f"__v{j}"), F.col(f"__e{j}")

@@ -43,18 +43,21 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def attach_sections(lines: DataFrame, header_prefix: str, keys: Sequence[str] = (FILE_COL,),
                     order: Sequence[str] = (BLOCK_COL, LINE_COL), line_col: str = "line",
-                    section_col: str = "section") -> DataFrame:
+                    section_col: str = "section", columns: Sequence[str] | None = None) -> DataFrame:
     """Header lines (``header_prefix``, any case) set the section of the lines after them.
 
     The section is the header text after its first colon, stripped. Lines before any header get
-    null. Header lines themselves are removed from the output.
+    null. Header lines themselves are removed from the output. ``columns`` are those of ``lines`` to
+    return (all by default); the scan stores no others but the keys and the order.
     """
     line = F.col(line_col)
     is_header = F.upper(line).startswith(header_prefix.upper())
     tagged = lines.withColumn("__is_header", is_header).withColumn(
         "__header", F.when(F.col("__is_header"), after_first_colon(line)))
+    wanted = lines.columns if columns is None else list(columns)
+    tagged = tagged.select(*dict.fromkeys([*wanted, *keys, *order]), "__is_header", "__header")
     carried = fill_forward(tagged, list(keys), list(order), "__header", section_col)
-    return carried.filter(~F.col("__is_header")).drop("__is_header", "__header")
+    return carried.filter(~F.col("__is_header")).select(*wanted, section_col)
 
 
 def typed_record_filter(line: Column, parts: Column, record_type: str = "D", n_values: int = N_HOURS) -> Column:
