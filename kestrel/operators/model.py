@@ -61,6 +61,13 @@ def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
     return scored.select(*df.columns, vector_to_array("probability").getItem(1).alias(out))
 
 
+def class_scores(model: PipelineModel, df: DataFrame, out: Sequence[str]) -> DataFrame:
+    """M7: the probability of each class in the order of the classes, next to the input columns."""
+    scored = model.transform(df.withColumn("__label", F.lit(0.0)) if "__label" not in df.columns else df)
+    both = vector_to_array("probability")
+    return scored.select(*df.columns, *[both.getItem(k).alias(name) for k, name in enumerate(out)])
+
+
 def auc(df: DataFrame, label: str, score_col: str, out: str = "auc") -> DataFrame:
     """M9: exact ROC-AUC, ties counted half, as a one-row frame.
 
@@ -76,6 +83,16 @@ def auc(df: DataFrame, label: str, score_col: str, out: str = "auc") -> DataFram
     return c.agg(F.when(pn > 0, area / pn).alias(out))
 
 
+def auc_by(df: DataFrame, group: str, label: str, score_col: str, out: str = "auc") -> DataFrame:
+    """M9 for each value of ``group`` (folds, sources): (group, auc), from one ordered scan keyed by it."""
+    g = df.groupBy(group, score_col).agg(F.sum(F.col(label).cast("long")).alias("__pos"),
+                                         F.sum((1 - F.col(label)).cast("long")).alias("__neg"))
+    c = cumulative_sum(g, [group], [score_col], "__neg", "__cum_neg")
+    area = F.sum(F.col("__pos").cast("double") * (F.col("__cum_neg").cast("double") - F.col("__neg") * 0.5))
+    pn = F.sum("__pos").cast("double") * F.sum("__neg").cast("double")
+    return c.groupBy(group).agg(F.when(pn > 0, area / pn).alias(out))
+
+
 def _ratio(num: Column, den: Column) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(num.cast("double") / den.cast("double"))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -104,6 +105,30 @@ def violating_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn("broken_rules", broken).filter(F.size("broken_rules") > 0)
 
 
+def violations(df: DataFrame, table: str, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
+    """One row per violation: (check_name, table_name, column_name, the ``keys`` of the row).
+
+    The row-level rules take one pass. A row breaks a uniqueness rule when another has the same values, two
+    nulls being the same: repeated values are counted first, combined in each task, and joined back, so that no
+    window holds the rows of one value. Spark splits a value with many rows over tasks in that join.
+    """
+    row_rules = [r for r in rules if r.kind != "unique"]
+    label = lambda r: F.struct(F.lit(r.name).alias("check_name"), F.lit(table).alias("table_name"),
+                               F.lit(r.column_label).alias("column_name"))
+    columns = ["check_name", "table_name", "column_name", *keys]
+    parts = []
+    if row_rules:
+        broken = F.filter(F.array(*[F.when(violation(r), label(r)) for r in row_rules]), lambda x: x.isNotNull())
+        parts.append(df.select(*keys, F.explode(broken).alias("__broken")).select("__broken.*", *keys))
+    for r in rules:
+        if r.kind == "unique":
+            again = (df.groupBy(*[F.col(c).alias(f"__{c}") for c in r.columns]).agg(F.count(F.lit(1)).alias("__n"))
+                     .where("__n > 1"))
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in r.columns])
+            parts.append(df.join(again, same, "left_semi").select(label(r).alias("__broken"), *keys).select("__broken.*", *keys))
+    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+
+
 def row_counts(tables: Mapping[str, DataFrame], label: str = "tabla", count_col: str = "filas") -> DataFrame:
     """One (label, count) row per table, unioned and ordered by label."""
     parts = [df.agg(F.count(F.lit(1)).alias(count_col)).select(F.lit(name).alias(label), count_col)

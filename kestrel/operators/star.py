@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from kestrel.session import written
+
 
 def consolidate(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str] | Column]],
                 group_by: Sequence[str | Column], aggregates: Sequence[Column]) -> DataFrame:
@@ -23,6 +27,40 @@ def consolidate(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[
     return out.groupBy(*group_by).agg(*aggregates)
 
 
+@dataclass(frozen=True)
+class Names:
+    """A dimension that gives names for an id of the fact: its rows, its key, the fact's column, its named columns."""
+
+    rows: DataFrame
+    key: str
+    fact_key: str
+    names: Mapping[str, str]
+
+
+def consolidate_by_ids(fact: DataFrame, dims: Sequence[Names], group_by: Mapping[str, str],
+                       aggregates: Sequence[Column]) -> DataFrame:
+    """``consolidate`` with the names joined to the sums instead of to the fact.
+
+    Ids with equal names are one group, so each dimension first gives every id the smallest one of the same
+    names (nulls are equal names). The fact is summed by these ids, which are narrow and reduce in each task,
+    and what is left meets the names once: fact rows carry no text and are shuffled once for the groups.
+    ``group_by`` are columns of the fact to group by as they are, under their new names.
+    """
+    out, keys, looked_up = fact, [F.col(c).alias(name) for name, c in group_by.items()], []
+    for i, d in enumerate(dims):
+        named = d.rows.select(F.col(d.key).alias(f"__id{i}"), *[F.col(c).alias(name) for name, c in d.names.items()])
+        one = written(named.groupBy(*d.names).agg(F.min(f"__id{i}").alias(f"__one{i}")), "names")
+        equal = reduce(lambda a, b: a & b, [named[c].eqNullSafe(one[c]) for c in d.names])
+        ids = written(named.join(one, equal).select(f"__id{i}", f"__one{i}"), "ids")
+        out = out.join(ids, F.col(d.fact_key) == F.col(f"__id{i}"))
+        keys.append(F.col(f"__one{i}"))
+        looked_up.append(one)
+    summed = out.groupBy(*keys).agg(*aggregates)
+    for i, names in enumerate(looked_up):
+        summed = summed.join(names, f"__one{i}").drop(f"__one{i}")
+    return summed
+
+
 def update_from(base: DataFrame, patch: DataFrame, key: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``UPDATE base SET c = patch.c FROM patch WHERE key matches``.
 

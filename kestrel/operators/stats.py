@@ -143,3 +143,29 @@ def distinct_count(df: DataFrame, col: str, out: str = "n_distinct", approx: boo
     (``approx_count_distinct``, relative standard deviation ``rsd``) instead of an exact distinct."""
     c = F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
     return df.agg(c.alias(out))
+
+
+#: Size parameters of stored sketches: the rank error of KLL falls with k, the error of HLL with 2^(lg_k / 2).
+KLL_K, HLL_LG_K = 400, 14
+
+
+def sketch_parts(df: DataFrame, keys: Sequence[str], value: str, distinct: str) -> DataFrame:
+    """A8/A2 as parts to store: for each group, rows, a KLL sketch of a numeric column and an HLL sketch of another.
+
+    Parts of any grouping merge with ``merge_sketch_parts``: a summary by day gives quantiles and numbers of
+    distinct values by month or in all, which medians and counts by day could not. Nulls are in neither sketch.
+    """
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(KLL_K)).alias("kll"),
+                                 F.hll_sketch_agg(F.col(distinct), HLL_LG_K).alias("hll"))
+
+
+def merge_sketch_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored parts of finer groups merged to the groups of ``keys``."""
+    return parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double(F.col("kll")).alias("kll"),
+                                    F.hll_union_agg("hll").alias("hll"))
+
+
+def sketch_estimates(parts: DataFrame, q: float = 0.5, out: str = "quantile", distinct_out: str = "n_distinct") -> DataFrame:
+    """The quantile and the number of distinct values that parts stand for, in place of the sketches."""
+    return parts.withColumn(out, F.kll_sketch_get_quantile_double("kll", F.lit(q))).withColumn(
+        distinct_out, F.hll_sketch_estimate("hll")).drop("kll", "hll")

@@ -68,14 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def case_sensitive(spark: SparkSession):
-    """Resolve column names case-sensitively inside the block (for eager actions only), then restore."""
-    old = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
+def session_setting(spark: SparkSession, name: str, value: str):
+    """A session setting inside the block (for eager actions only), then as it was."""
+    old = spark.conf.get(name)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.caseSensitive", old)
+        spark.conf.set(name, old)
+
+
+def case_sensitive(spark: SparkSession):
+    """Resolve column names case-sensitively inside the block (for eager actions only), then restore."""
+    return session_setting(spark, "spark.sql.caseSensitive", "true")
 
 
 _RUN = uuid.uuid4().hex[:12]
