@@ -21,9 +21,10 @@ from kestrel.functions.text import safe_double, ustrip
 from kestrel.operators import features, layout, model, quality, series, shape, star, stats
 from kestrel.operators.ordered import row_number_in_order
 from kestrel.plans.jobs import FRAUD_DROP as DROP_COLS
-from kestrel.session import case_sensitive, scratch_path, written
+from kestrel.session import case_sensitive, scratch_path, session_setting, written
 from kestrel.sources import lines as L
-from kestrel.sources.sinks import export_single_csv, insert_select, write_csv
+from kestrel.sources.sinks import (export_named_files, export_single_csv, insert_select, insert_with_identity, save_table,
+                                   write_csv)
 from kestrel.sources.tables import (DRIVER_TABLES, Tables, bulk_load_delimited, bulk_load_with_rejects, inline_rows,
                                     read_header_names, read_headered_csv, read_master_csv)
 
@@ -38,6 +39,7 @@ SECTION_PREFIX = "USER:"
 DAY_OFFSET = "-05:00"
 SCORE_HALF_AT = 2000.0
 N_FOLDS = 5
+RANK_ERROR, DISTINCT_ERROR = 0.01, 0.03  # more than the sketches' errors at 99.9 %
 N_BUCKETS = 16
 MONTH_LO, MONTH_HI = dt.datetime(1996, 3, 1), dt.datetime(1996, 4, 1)
 WEEK_LO, WEEK_HI = dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 15)
@@ -90,8 +92,7 @@ def conversation_lines(t: Tables) -> DataFrame:
 
 def q02_sections(spark, d):
     lines = conversation_lines(_t(spark, d))
-    out = L.attach_sections(lines, SECTION_PREFIX, keys=["conv_id"], order=["turn"], section_col="agent")
-    return out.select("conv_id", "turn", "role", "agent")
+    return L.attach_sections(lines, SECTION_PREFIX, keys=["conv_id"], order=["turn"], section_col="agent", columns=["conv_id", "turn", "role"])
 
 
 def q02b_distinct_sections(spark, d):
@@ -99,6 +100,27 @@ def q02b_distinct_sections(spark, d):
     return s.agg(F.count_distinct("agent").alias("agentes_unicos"), F.count(F.lit(1)).alias("registros"))
 
 
+SECTION_FILES = 2
+SPLIT_BYTES = 16 << 10
+
+
+def q02c_sections_over_splits(spark, d):
+    """Conversations as lines of a few large files, read in small splits: a header's section goes on over
+    the ends of splits, in the order of file, split and line."""
+    turns = _t(spark, d).conversations.select(
+        "conv_id", "turn", (F.col("conv_id") % SECTION_FILES).alias("file"),
+        F.when(F.col("role") == "user", F.concat(F.lit(SECTION_PREFIX), F.lit(" "), F.regexp_replace("text", r"[\r\n]+", " ")))
+        .otherwise(F.concat_ws(",", "conv_id", "turn", "role", F.regexp_replace("text", r"[\r\n]+", " "))).alias("line"))
+    path = scratch_path(spark, "sectioned")
+    (turns.repartition(SECTION_FILES, "file").sortWithinPartitions("file", "conv_id", "turn")
+     .select("file", "line").write.partitionBy("file").text(path))
+    with session_setting(spark, "spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES)):
+        records = L.attach_sections(L.read_lines(spark, path), SECTION_PREFIX, section_col="agent", columns=["line"])
+        parts = F.split("line", ",", 4)
+        return records.select(F.get(parts, F.lit(0)).cast("long").alias("conv_id"), F.get(parts, F.lit(1)).cast("long").alias("turn"),
+                              F.get(parts, F.lit(2)).alias("role"), "agent")
+
+
 def q06_safe_numbers(spark, d):
     ev = _t(spark, d).events
     k = F.regexp_extract("props", r":\s*(-?\d+)", 1)
@@ -176,8 +198,19 @@ def q04_surrogate_keys(spark, d):
     return row_number_in_order(s, [], ["s_suppkey"], "supplier_sk")
 
 
-def q05_quality_report(spark, d):
-    t = _t(spark, d)
+def q04b_identity_inserts(spark, d):
+    """Orders stored by two inserts, each numbering its rows on from the largest number in the table."""
+    o = _t(spark, d).orders
+    path = scratch_path(spark, "identity")
+    for batch, rows in ((1, o.where(F.col("o_orderstatus") == "F")), (2, o.where(F.col("o_orderstatus") != "F"))):
+        insert_with_identity(rows.select(F.lit(batch).alias("batch"), "o_orderkey"), path, "order_sk")
+    stored = spark.read.parquet(path)
+    return stored.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("order_sk").alias("n_keys"),
+                                       F.min("order_sk").alias("first_sk"), F.max("order_sk").alias("last_sk"))
+
+
+def quality_rules() -> tuple[list, list]:
+    """The rules of orders and of customers."""
     q = quality
     orders_rules = [q.not_null("o_orderkey"), q.not_null("o_custkey"), q.not_null("o_orderdate"),
                     q.domain("o_orderstatus", ["F", "O", "P"]),
@@ -188,10 +221,30 @@ def q05_quality_report(spark, d):
                       q.max_length("c_name", 18), q.max_length("c_mktsegment", 9),
                       q.domain("c_mktsegment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]),
                       q.unique("c_custkey"), q.unique("c_name")]
+    return orders_rules, customer_rules
+
+
+def q05_quality_report(spark, d):
+    t, q = _t(spark, d), quality
+    orders_rules, customer_rules = quality_rules()
     return q.quality_report(t.orders, "orders", orders_rules).unionByName(
         q.quality_report(t.customer, "customer", customer_rules))
 
 
+def q05b_violating_rows(spark, d):
+    """Each violation with the key of its row; repeated values too: sales with the same order and part,
+    customers of one nation and segment with the same balance in hundreds."""
+    t, q = _t(spark, d), quality
+    orders_rules, customer_rules = quality_rules()
+    customers = t.customer.withColumn("hundreds", F.floor(F.col("c_acctbal") / 100))
+    found = [q.violations(t.orders.withColumn("key", F.col("o_orderkey")), "orders", orders_rules, ["key"]),
+             q.violations(customers.withColumn("key", F.col("c_custkey")), "customer",
+                          [*customer_rules, q.unique("c_nationkey", "c_mktsegment", "hundreds")], ["key"]),
+             q.violations(t.lineitem.withColumn("key", F.col("l_orderkey")), "lineitem",
+                          [q.unique("l_orderkey", "l_partkey"), q.not_null("l_shipdate"), q.domain("l_returnflag", ["A", "N"])], ["key"])]
+    return reduce(DataFrame.unionByName, found)
+
+
 def q18_row_counts(spark, d):
     t = _t(spark, d)
     return quality.row_counts({name: getattr(t, name) for name in DRIVER_TABLES})
@@ -244,6 +297,16 @@ def q12_month_layout(spark, d):
     return layout.read_time_range(spark, path, "o_orderdate", MONTH_LO, MONTH_HI)
 
 
+def q12b_local_month(spark, d):
+    """K5, hazard 6: a month as seen at -05:00 from a table of UTC months: two folders are read."""
+    o = _t(spark, d).orders
+    at = F.col("o_orderdate") + F.make_dt_interval(hours=F.pmod("o_orderkey", F.lit(24)).cast("int"))
+    path = scratch_path(spark, "orders_by_month")
+    layout.write_month_partitioned(o.withColumn("ordered_at", at), "ordered_at", path)
+    return layout.read_local_month(spark, path, "ordered_at", MONTH_LO.year, MONTH_LO.month, DAY_OFFSET).select(
+        "o_orderkey", "o_custkey", "ordered_at", local_date("ordered_at", DAY_OFFSET).alias("local_day"))
+
+
 def q13_bucketed_layout(spark, d):
     ev = _t(spark, d).events
     path = scratch_path(spark, "events_bucketed")
@@ -279,6 +342,32 @@ def q14_daily_summary(spark, d):
                       "temp_prom", "viento_prom_cero", "viento_prom")
 
 
+LATE_DAYS = 10
+
+
+def q14c_summary_refresh(spark, d):
+    """K7: a stored summary refreshed after each of two late batches, of the first days only; a column tells the
+    days whose files the refreshes replaced."""
+    ev = _t(spark, d).events.withColumn("wind", _wind())
+    late = F.when(F.dayofmonth(local_date("ts", DAY_OFFSET)) <= LATE_DAYS, F.pmod(F.col("event_id"), F.lit(11)))
+    batches = [ev.where(~F.coalesce(late < 2, F.lit(False))), ev.where(late == 0), ev.where(late == 1)]
+    base, path = scratch_path(spark, "readings"), scratch_path(spark, "daily_summary")
+    args = ("user_id", "ts", "value", "wind", DAY_OFFSET)
+    layout.write_month_partitioned(batches[0], "ts", base)
+    layout.write_summary(layout.daily_summary_parts(spark.read.parquet(base), *args), path, place="user_id")
+    files = lambda: spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file"), F.col("fecha").cast("date").alias("day")).distinct()
+    before = written(files(), "files_before")
+    for batch in batches[1:]:
+        layout.write_month_partitioned(batch, "ts", base, mode="append")
+        layout.refresh_summary(spark.read.parquet(base), batch, path, *args)
+    new = files().join(before, ["file", "day"], "left_anti").select("day").distinct().withColumn("rewritten", F.lit(True))
+    stored = spark.read.parquet(path).withColumn("fecha", F.col("fecha").cast("date"))
+    out = layout.summary_averages(stored).join(new, F.col("fecha") == F.col("day"), "left")
+    return out.select("user_id", "fecha", F.col("suma_temp").cast("double").alias("suma_temp"),
+                      F.col("suma_viento").cast("double").alias("suma_viento"), "lecturas", "n_viento",
+                      "temp_prom", "viento_prom_cero", "viento_prom", F.coalesce("rewritten", F.lit(False)).alias("rewritten"))
+
+
 # ---------------------------------------------------------------- time series
 
 def q03_first_event_per_day(spark, d):
@@ -375,6 +464,23 @@ def q23_unified_metrics(spark, d):
     return stats.one_row([avg, med, mode])
 
 
+def q22b_stored_sketches(spark, d):
+    """Sketches stored by ship month, merged by return flag; whether the median's rank and the number of
+    distinct parts are as near the exact ones as the sketches promise."""
+    li = _t(spark, d).lineitem.withColumn("ship_month", layout.month_of("l_shipdate"))
+    path = scratch_path(spark, "sketches")
+    save_table(stats.sketch_parts(li, ["l_returnflag", "ship_month"], "l_extendedprice", "l_partkey"), path)
+    merged = stats.merge_sketch_parts(spark.read.parquet(path), ["l_returnflag"])
+    est = written(stats.sketch_estimates(merged, 0.5, "median_estimate", "parts_estimate"), "estimates")
+    exact = li.join(est.select(F.col("l_returnflag").alias("flag"), "median_estimate"), F.col("l_returnflag") == F.col("flag")).groupBy("l_returnflag").agg(
+        F.count_if(F.col("l_extendedprice") < F.col("median_estimate")).alias("below"),
+        F.count_if(F.col("l_extendedprice") <= F.col("median_estimate")).alias("upto"), F.count_distinct("l_partkey").alias("n_parts"))
+    n = F.col("n")
+    return est.join(exact, "l_returnflag").select(
+        "l_returnflag", "n", "n_parts", ((F.col("below") / n <= 0.5 + RANK_ERROR) & (F.col("upto") / n >= 0.5 - RANK_ERROR)).alias("median_in_bound"),
+        (F.abs(F.col("parts_estimate") / F.col("n_parts") - 1) <= DISTINCT_ERROR).alias("parts_in_bound"))
+
+
 def sales(t: Tables) -> DataFrame:
     return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
@@ -396,19 +502,16 @@ CONSOLIDATED_KEYS = ["customer_name", "customer_segment", "part_name", "supplier
 
 def q25_sales_consolidation(spark, d):
     t = _t(spark, d)
-    fact = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    dims = [
-        (t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")),
-        (t.customer.select("c_custkey", "c_name", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey")),
-        (t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")),
-        (t.supplier.select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")),
-        (t.nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey")),
-    ]
-    keys = [F.col("c_name").alias("customer_name"), F.col("c_mktsegment").alias("customer_segment"),
-            F.col("p_name").alias("part_name"), F.col("s_name").alias("supplier_name"),
-            F.col("n_name").alias("supplier_nation"), F.to_date("o_orderdate").alias("order_date")]
-    return star.consolidate(fact, dims, keys, [exact_sum("l_quantity").alias("total_quantity"),
-                                               exact_sum("l_extendedprice").alias("total_sales")])
+    fact = (t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+            .join(t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_day")), F.col("l_orderkey") == F.col("o_orderkey")))
+    suppliers = (t.supplier.select("s_suppkey", "s_name", "s_nationkey")
+                 .join(t.nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey")))
+    dims = [star.Names(t.customer, "c_custkey", "o_custkey", {"customer_name": "c_name", "customer_segment": "c_mktsegment"}),
+            star.Names(t.part, "p_partkey", "l_partkey", {"part_name": "p_name"}),
+            star.Names(suppliers, "s_suppkey", "l_suppkey", {"supplier_name": "s_name", "supplier_nation": "n_name"})]
+    out = star.consolidate_by_ids(fact, dims, {"order_date": "o_day"}, [exact_sum("l_quantity").alias("total_quantity"),
+                                                                         exact_sum("l_extendedprice").alias("total_sales")])
+    return out.select(*CONSOLIDATED_KEYS, "total_quantity", "total_sales")
 
 
 def q26_top10(spark, d):
@@ -635,9 +738,9 @@ def q14b_offset_stamps(spark, d):
 
 def q15b_defaults(spark, d):
     """Rows given for some columns; the omitted ones take their defaults, an explicit null stays null."""
-    n = _t(spark, d).nation
-    given = n.select("n_nationkey", F.when(F.col("n_regionkey") != 1, F.col("n_name")).alias("name"))
-    full = T.StructType([T.StructField("n_nationkey", T.LongType()), T.StructField("name", T.StringType()),
+    c = _t(spark, d).customer
+    given = c.select("c_custkey", F.when(F.col("c_nationkey") != 1, F.col("c_name")).alias("name"))
+    full = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("name", T.StringType()),
                          T.StructField("active", T.BooleanType()), T.StructField("visits", T.IntegerType()), T.StructField("note", T.StringType())])
     return inline_rows(spark, given, given.schema, {"active": True, "visits": 0}, full)
 
@@ -665,6 +768,17 @@ def q26b_single_file_export(spark, d):
         "total_quantity", F.col("total_quantity").cast("double"))
 
 
+def q26c_named_export(spark, d):
+    """K2: the same export as files named <prefix>000, <prefix>001, ... of four rows each, over files of an earlier one."""
+    prefix = f"{scratch_path(spark, 'unload')}/sales_"
+    top = written(q26_top10(spark, d), "top")
+    export_named_files(top.limit(1), prefix)
+    names = export_named_files(top, prefix, [F.col("total_sales").desc(), *CONSOLIDATED_KEYS], max_records=4)
+    back = spark.read.option("header", True).csv(names).withColumn("file", F.substring_index("_metadata.file_name", "_", -1))
+    return back.select("file", "customer_name", "part_name", F.col("order_date").cast("date").alias("order_date"),
+                       F.col("total_sales").cast("double").alias("total_sales"))
+
+
 def q30b_clashing_file(spark, d):
     """A file whose headers clash ignoring case, one of them quoted with a comma inside; the first of each name stays."""
     c = _t(spark, d).customer.select("c_custkey", F.col("c_acctbal").alias("a"), F.col("c_nationkey").alias("b"), (F.col("c_nationkey") * 2).alias("c"))
@@ -686,11 +800,27 @@ def q36b_feature_rows(spark, d):
     return rows.drop("n", "lang").withColumn("weight", F.round("weight", 9))
 
 
+def q36d_forest_invariants(spark, d, num_trees: int = 40, max_depth: int = 12):
+    """M6/M7: what must hold of the forest's scores whatever its trees: a score for each row, probabilities of both
+    classes between 0 and 1 that sum to 1, the same scores from the same seed; counts of rows where it doesn't."""
+    t = _t(spark, d)
+    train, rows = written(training_frame(t), "train"), t.documents.select(
+        F.col("doc_id").alias("DOC_ID"), F.col("lang").alias("LANG"), F.col("source").alias("SOURCE"), F.col("n_chars").alias("N_CHARS"))
+    fits = [model.fit_forest(train, LABEL, FEATURES_NUM, FEATURES_TEXT, num_trees=num_trees, max_depth=max_depth) for _ in range(2)]
+    one, two = (model.class_scores(f, rows, ["p0", "p1"]) for f in fits)
+    both = one.select("DOC_ID", "p0", "p1").join(two.select("DOC_ID", F.col("p1").alias("again")), "DOC_ID", "left")
+    outside = lambda c: ~F.col(c).between(0, 1)
+    return both.agg(F.count(F.lit(1)).alias("filas"), F.count_if(F.col("p0").isNull() | F.col("p1").isNull()).alias("sin_puntaje"),
+                    F.count_if(outside("p0") | outside("p1")).alias("fuera_de_rango"),
+                    F.count_if(F.round(F.col("p0") + F.col("p1"), 9) != 1).alias("suma_distinta"),
+                    F.count_if(~F.col("p1").eqNullSafe(F.col("again"))).alias("distintas_con_la_semilla"),
+                    (F.count_distinct("p1") > 1).alias("separa"))
+
+
 def q36c_fold_auc(spark, d):
     """M8/M9: AUC of a deterministic score on each stratified fold, their mean (fold -1) and population deviation (fold -2)."""
     rows = written(features.stratified_folds(scored_docs(_t(spark, d)), "y", "doc_id", N_FOLDS, "fold"), "folds")
-    per = reduce(DataFrame.unionByName, [model.auc(rows.where(F.col("fold") == f), "y", "p").select(F.lit(f).alias("fold"), "auc") for f in range(N_FOLDS)])
-    per = written(per, "fold_auc")
+    per = written(model.auc_by(rows, "fold", "y", "p"), "fold_auc")
     ends = per.agg(F.avg("auc").alias("m"), F.stddev_pop("auc").alias("s"))
     out = per.unionByName(ends.select(F.lit(-1).alias("fold"), F.col("m").alias("auc"))).unionByName(ends.select(F.lit(-2).alias("fold"), F.col("s").alias("auc")))
     return out.select("fold", F.round("auc", 9).alias("auc"))
@@ -752,4 +882,12 @@ QUERIES = {
     "q36c_fold_auc": q36c_fold_auc,
     "q37c_score_file_rows": q37c_score_file_rows,
     "q37d_score_file_summary": q37d_score_file_summary,
+    "q02c_sections_over_splits": q02c_sections_over_splits,
+    "q04b_identity_inserts": q04b_identity_inserts,
+    "q05b_violating_rows": q05b_violating_rows,
+    "q12b_local_month": q12b_local_month,
+    "q14c_summary_refresh": q14c_summary_refresh,
+    "q22b_stored_sketches": q22b_stored_sketches,
+    "q26c_named_export": q26c_named_export,
+    "q36d_forest_invariants": q36d_forest_invariants,
 }

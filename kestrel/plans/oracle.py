@@ -185,6 +185,35 @@ def _q05() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _q05b() -> str:
+    def rows(check, table, column, key, cond):
+        return f"SELECT '{check}' AS check_name, '{table}' AS table_name, '{column}' AS column_name, {key} AS key FROM {table} WHERE {cond}"
+
+    def again(table, cols, key, names=None):
+        return (f"SELECT 'unique', '{table}', '{names or cols}', key FROM (SELECT {key} AS key, COUNT(*) OVER (PARTITION BY {cols}) AS n "
+                f"FROM {table}) WHERE n > 1")
+
+    o, c = ("orders", "o_orderkey"), ("customer", "c_custkey")
+    return "\nUNION ALL\n".join([
+        *[rows("not_null", o[0], x, o[1], f"{x} IS NULL") for x in ("o_orderkey", "o_custkey", "o_orderdate")],
+        rows("domain", o[0], "o_orderstatus", o[1], "o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')"),
+        rows("domain", o[0], "o_orderpriority", o[1], "o_orderpriority IS NULL OR o_orderpriority NOT IN "
+             "('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')"),
+        rows("non_negative", o[0], "o_totalprice", o[1], "o_totalprice < 0"),
+        rows("decimal_fit", o[0], "o_totalprice", o[1], "o_totalprice IS NOT NULL AND TRY_CAST(o_totalprice AS DECIMAL(8,2)) IS NULL"),
+        again(o[0], "o_orderkey", o[1]), again(o[0], "o_custkey, o_orderdate", o[1], "o_custkey,o_orderdate"),
+        *[rows("not_null", c[0], x, c[1], f"{x} IS NULL") for x in ("c_custkey", "c_name")],
+        rows("non_negative", c[0], "c_acctbal", c[1], "c_acctbal < 0"),
+        rows("max_length", c[0], "c_name", c[1], "length(c_name) > 18"), rows("max_length", c[0], "c_mktsegment", c[1], "length(c_mktsegment) > 9"),
+        rows("domain", c[0], "c_mktsegment", c[1], "c_mktsegment IS NULL OR c_mktsegment NOT IN "
+             "('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')"),
+        again(c[0], "c_custkey", c[1]), again(c[0], "c_name", c[1]),
+        again(c[0], "c_nationkey, c_mktsegment, floor(c_acctbal / 100)", c[1], "c_nationkey,c_mktsegment,hundreds"),
+        again("lineitem", "l_orderkey, l_partkey", "l_orderkey", "l_orderkey,l_partkey"),
+        rows("not_null", "lineitem", "l_shipdate", "l_orderkey", "l_shipdate IS NULL"),
+        rows("domain", "lineitem", "l_returnflag", "l_orderkey", "l_returnflag IS NULL OR l_returnflag NOT IN ('A', 'N')")])
+
+
 def _q06() -> str:
     k = r"regexp_extract(props, ':\s*(-?\d+)', 1)"
     toks = [k, f"{k} || 'd'", f"{k} || '_5'", f"'.' || {k}", f"{k} || 'e1'", f"'0x' || {k}",
@@ -309,8 +338,38 @@ WITH x AS (SELECT *, CASE event_id % 3 WHEN 0 THEN -300 WHEN 1 THEN 0 ELSE 330 E
                   CASE event_id % 3 WHEN 0 THEN '-05:00' WHEN 1 THEN '+00:00' ELSE '+05:30' END AS o FROM events)
 SELECT event_id, strftime(ts + to_minutes(m), '%Y-%m-%d %H:%M:%S') || o AS stamp, date_trunc('second', ts) AS instant FROM x""",
         "q15b_defaults": """
-SELECT n_nationkey, CASE WHEN n_regionkey <> 1 THEN n_name END AS name, TRUE AS active, 0 AS visits, CAST(NULL AS VARCHAR) AS note
-FROM nation""",
+SELECT c_custkey, CASE WHEN c_nationkey <> 1 THEN c_name END AS name, TRUE AS active, 0 AS visits, CAST(NULL AS VARCHAR) AS note
+FROM customer""",
+        "q02c_sections_over_splits": f"""
+WITH l AS (SELECT conv_id, turn, role, conv_id % 2 AS file, {_strip("regexp_replace(text, '[' || chr(13) || chr(10) || ']+', ' ', 'g')")} AS t FROM conversations),
+w AS (SELECT *, LAST_VALUE(CASE WHEN role = 'user' THEN t END IGNORE NULLS) OVER (
+               PARTITION BY file ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS agent FROM l)
+SELECT conv_id, turn, role, agent FROM w WHERE role <> 'user'""",
+        "q04b_identity_inserts": """
+WITH n AS (SELECT COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS f, COUNT(*) FILTER (WHERE o_orderstatus <> 'F') AS r FROM orders)
+SELECT 1 AS batch, f AS n, f AS n_keys, 1 AS first_sk, f AS last_sk FROM n UNION ALL SELECT 2, r, r, f + 1, f + r FROM n""",
+        "q05b_violating_rows": _q05b(),
+        "q12b_local_month": """
+WITH x AS (SELECT o_orderkey, o_custkey, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS ordered_at FROM orders)
+SELECT *, CAST(ordered_at - INTERVAL 5 HOUR AS DATE) AS local_day FROM x
+WHERE date_trunc('month', ordered_at - INTERVAL 5 HOUR) = DATE '1996-03-01'""",
+        "q14c_summary_refresh": f"""
+WITH b AS (SELECT *, CASE WHEN event_type <> 'error' THEN value END AS wind, {_local_date('ts')} AS fecha FROM events)
+SELECT user_id, fecha, {_xsum('value')} AS suma_temp, {_xsum('COALESCE(wind, 0)')} AS suma_viento, COUNT(*) AS lecturas, COUNT(wind) AS n_viento,
+       {_r2(_xsum('value') + ' / COUNT(*)')} AS temp_prom, {_r2(_xsum('COALESCE(wind, 0)') + ' / COUNT(*)')} AS viento_prom_cero,
+       {_r2(_xsum('wind') + ' / NULLIF(COUNT(wind), 0)')} AS viento_prom,
+       fecha IN (SELECT fecha FROM b WHERE day(fecha) <= 10 AND event_id % 11 < 2) AS rewritten
+FROM b GROUP BY user_id, fecha""",
+        "q22b_stored_sketches": """
+SELECT l_returnflag, COUNT(*) AS n, COUNT(DISTINCT l_partkey) AS n_parts, TRUE AS median_in_bound, TRUE AS parts_in_bound
+FROM lineitem GROUP BY l_returnflag""",
+        "q26c_named_export": f"""
+WITH t AS (SELECT *, ROW_NUMBER() OVER (ORDER BY total_sales DESC, customer_name, customer_segment, part_name, supplier_name, supplier_nation, order_date) AS k
+           FROM ({SALES_CONSOLIDATED}))
+SELECT '00' || CAST((k - 1) // 4 AS VARCHAR) AS file, customer_name, part_name, order_date, total_sales FROM t WHERE k <= 10""",
+        "q36d_forest_invariants": """
+SELECT COUNT(*) AS filas, 0 AS sin_puntaje, 0 AS fuera_de_rango, 0 AS suma_distinta, 0 AS distintas_con_la_semilla, TRUE AS separa
+FROM documents""",
         "q15c_rollup_two_countries": f"""
 WITH b AS (
   SELECT e.event_id, e.user_id % 40 AS place, e.ts, e.value, e.event_type, n.n_name AS pais, {_local_date('e.ts')} AS fecha
