@@ -3,29 +3,29 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, functions as F
 
-# Date and time parts that a load recognises by itself, by the shape of the text. In a shape 9 stands
-# for a digit and a for a letter; the forms of one shape differ in nothing that the pattern does not allow for.
+# Date and time parts that a load recognises by itself, each with the shape of its text. No text has
+# two shapes of dates or two of times.
 AUTO_DATES = {
-    "yyyy-MM-dd": "9999-99-99",
-    "yyyy/MM/dd": "9999/99/99",
-    "M/d/yyyy": "99?/99?/9999",
-    "M-d-yyyy": "99?-99?-9999",
-    "MMM d[,] yyyy": "aaa 99?,? 9999",
-    "MMMM d[,] yyyy": "aaaa+ 99?,? 9999",
-    "d MMM yyyy": "99? aaa 9999",
-    "d MMMM yyyy": "99? aaaa+ 9999",
-    "yyyyMMdd": "99999999",
+    "yyyy-MM-dd": r"\d{4}-\d\d-\d\d",
+    "M/d/yyyy": r"\d\d?/\d\d?/\d{4}",
+    "yyyyMMdd": r"\d{8}",
+    "yyyy/MM/dd": r"\d{4}/\d\d/\d\d",
+    "M-d-yyyy": r"\d\d?-\d\d?-\d{4}",
+    "MMM d[,] yyyy": r"[A-Za-z]{3} \d\d?,? \d{4}",
+    "MMMM d[,] yyyy": r"[A-Za-z]{4,9} \d\d?,? \d{4}",
+    "d MMM yyyy": r"\d\d? [A-Za-z]{3} \d{4}",
+    "d MMMM yyyy": r"\d\d? [A-Za-z]{4,9} \d{4}",
 }
 AUTO_TIMES = {
-    "H:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]": "99?:99:99([.]9{1,6})?",
-    "H:mm": "99?:99",
-    "h:mm:ss a": "99?:99:99 aa",
-    "h:mm a": "99?:99 aa",
-    "HHmmss": "999999",
+    "H:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]": r"\d\d?:\d\d:\d\d(?:[.]\d{1,6})?",
+    "H:mm": r"\d\d?:\d\d",
+    "h:mm:ssa": r"\d\d?:\d\d:\d\d\s*[AaPp][.]?[Mm][.]?",
+    "h:mma": r"\d\d?:\d\d\s*[AaPp][.]?[Mm][.]?",
+    "HHmmss": r"\d{6}",
 }
 
 
@@ -63,26 +63,26 @@ def offset_instant(c: Column | str) -> Column:
     return F.when(offset != "", wall - F.make_interval(mins=minutes))
 
 
-def _by_shape(text: Column, forms: Mapping[str, str]) -> Column:
-    """The text read by the first form whose shape it has; null where none has it, or where the text is no such date or time."""
-    shape = F.translate(F.lower(text), "0123456789bcdefghijklmnopqrstuvwxyz", "9" * 10 + "a" * 25)
-    out = None
-    for form, pattern in forms.items():
-        fits, read = shape.rlike(f"^{pattern}$"), F.try_to_timestamp(text, F.lit(form))
-        out = F.when(fits, read) if out is None else out.when(fits, read)
-    return out
-
-
 def auto_timestamp(c: Column | str, dates: Mapping[str, str] = AUTO_DATES, times: Mapping[str, str] = AUTO_TIMES) -> Column:
-    """A date, alone or with a time after white space or ``T``, each read by the one form that its shape calls for.
+    """A date, alone or with a time after white space or ``T``, each read once, by the form that its shape calls for.
 
     Months may be names or numbers, seconds may have a fraction of up to six digits or be left out,
     AM and PM may be in any case, with or without dots. Null when no form fits. Result is TIMESTAMP_NTZ.
+    The shapes are tested on the text itself, so that nothing is worked out again for each of them.
     """
-    text = F.trim(_c(c))
-    whole = r"^(.+?)(?:[Tt\s]\s*(\d{1,2}:\d\d.*|\d{6}))?$"
-    day, rest = F.regexp_extract(text, whole, 1), F.regexp_extract(text, whole, 2)
-    clock = F.when(rest.rlike("[AaPp]"), F.regexp_replace(rest, r"(?i)\s*\b([ap])\.?m\.?$|\s*(?<=\d)([ap])\.?m\.?$", " $1$2m")).otherwise(rest)
-    date = _by_shape(F.initcap(day), dates).cast("timestamp_ntz")
-    time = _by_shape(F.upper(clock), times).cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.when(rest == "", date).otherwise(date + time)
+    text, between = _c(c), r"(?:[Tt]|\s+)"
+    any_date, any_time = (f"(?:{'|'.join(x.values())})" for x in (dates, times))
+
+    def first(forms: Mapping[str, str], test: str, cut: str, clean: Callable[[Column], Column]) -> Column:
+        cases = [(text.rlike(test % shape), F.try_to_timestamp(clean(F.regexp_extract(text, cut % shape, 1)), F.lit(form)))
+                 for form, shape in forms.items()]
+        out = F.when(*cases[0])
+        for fits, value in cases[1:]:
+            out = out.when(fits, value)
+        return out.cast("timestamp_ntz")
+
+    date = first(dates, r"^\s*%s(?:[Tt\s]|$)", r"^\s*(%s)", lambda x: x)
+    time = first(times, between + r"%s\s*$", between + r"(%s)\s*$", lambda x: F.regexp_replace(x, r"\s+|[.](?=[Mm]|$)", ""))
+    plain = text.rlike(rf"^\s*{any_date}\s*$")
+    timed = text.rlike(rf"^\s*{any_date}{between}{any_time}\s*$")
+    return F.when(plain, date).when(timed, date + (time - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -46,17 +47,22 @@ def consolidate_by_ids(fact: DataFrame, dims: Sequence[Names], group_by: Mapping
     and what is left meets the names once: fact rows carry no text and are shuffled once for the groups.
     ``group_by`` are columns of the fact to group by as they are, under their new names.
     """
-    out, keys, looked_up = fact, [F.col(c).alias(name) for name, c in group_by.items()], []
-    for i, d in enumerate(dims):
+    def stage(i: int) -> DataFrame:
+        d = dims[i]
         named = d.rows.select(F.col(d.key).alias(f"__id{i}"), *[F.col(c).alias(name) for name, c in d.names.items()])
-        one = written(named.groupBy(*d.names).agg(F.min(f"__id{i}").alias(f"__one{i}")), "names")
-        equal = reduce(lambda a, b: a & b, [named[c].eqNullSafe(one[c]) for c in d.names])
-        ids = written(named.join(one, equal).select(f"__id{i}", f"__one{i}"), "ids")
-        out = out.join(ids, F.col(d.fact_key) == F.col(f"__id{i}"))
+        one = named.groupBy(*[F.col(c).alias(f"__{c}") for c in d.names]).agg(F.min(f"__id{i}").alias(f"__one{i}"))
+        equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in d.names])
+        return written(named.join(one, equal).select(f"__id{i}", f"__one{i}", *d.names), "names")
+
+    with ThreadPoolExecutor(max(1, len(dims))) as pool:  # the dimensions do not wait for one another
+        staged = list(pool.map(stage, range(len(dims))))
+    out, keys = fact, [F.col(c).alias(name) for name, c in group_by.items()]
+    for i, (d, ids) in enumerate(zip(dims, staged)):
+        out = out.join(ids.select(f"__id{i}", f"__one{i}"), F.col(d.fact_key) == F.col(f"__id{i}"))
         keys.append(F.col(f"__one{i}"))
-        looked_up.append(one)
     summed = out.groupBy(*keys).agg(*aggregates)
-    for i, names in enumerate(looked_up):
+    for i, (d, ids) in enumerate(zip(dims, staged)):
+        names = ids.where(F.col(f"__id{i}") == F.col(f"__one{i}")).select(F.col(f"__id{i}").alias(f"__one{i}"), *d.names)
         summed = summed.join(names, f"__one{i}").drop(f"__one{i}")
     return summed
 
