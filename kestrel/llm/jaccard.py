@@ -11,14 +11,17 @@ a subset of cells. Linked sets share at least one.
 A signature of an empty projection says nothing, so it is emitted only by sets that have such in more
 than one group: one group more than needed makes up for the others.
 
-All links are found and counted, and no list of pairs is made:
+All links are found, and no list of pairs is made:
 
 * equal sets collapse to one node first;
-* sets that share a signature are in one candidate cluster, whatever their similarity; for that,
-  edges to the smallest set of each signature are enough, and a task combines its own sets first;
-* sets of a cluster whose numbers of features by parts of the domain rule a link out are set apart;
-* the sets of what is left of a cluster are dealt to blocks of bounded size, and each two blocks meet in one task,
-  which compares all their sets and returns each set's number of links and a spanning forest of them.
+* the sets that share a signature are one group; groups of the same members count once;
+* in each group, sets whose numbers of features by parts of the domain allow a link are connected, by a
+  spanning forest: what is connected with a set needs no comparison with the rest of its tree;
+* the connected sets, few and alike, are compared by their features in the same way.
+
+A group of more sets than one task should hold is dealt to blocks. Its sets first meet one set, the hub. Those
+that are near it are connected by that, so copies of one text in any number are done; only the far ones go to
+all blocks.
 """
 
 from __future__ import annotations
@@ -32,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import words as W
 from .common import keep_buckets, map_batches, other_buckets, rows_of, written
@@ -136,47 +138,41 @@ CELL_BITS = 8
 
 
 def set_digests(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
-    """(id, th, n_shingles, digest, band, cells) of every row; th is the hash of the text, cells the
-    numbers of the set's features in CELLS parts of the domain, 255 at most."""
+    """(id, th, n_shingles, digest, cells) of every row; th is the hash of the text, cells the packed
+    numbers of the set's features in parts of the domain."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = []
         for _, x in shingle_sets(batch, "text", sim.n):
-            bands = sim.bands(max(1, len(x)))
-            cells = np.minimum(np.bincount((x >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS), 255)
-            found.append((len(x), digest(x), int(np.searchsorted(bands, len(x), side="right")) - 1, cells.astype(np.uint8).tobytes()))
-        count, digests, band, cells = zip(*found)
+            cells = np.bincount((x >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS)
+            found.append((len(x), digest(x), packed(cells)))
+        count, digests, cells = zip(*found)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(count, pa.int64()), pa.array(digests, pa.int64()), pa.array(band, pa.int32()),
-             pa.array(cells, pa.binary())], names=["id", "th", "n_shingles", "digest", "band", "cells"])
+            [batch.column(0), batch.column(1), pa.array(count, pa.int64()), pa.array(digests, pa.int64()),
+             pa.array(cells, pa.binary())], names=["id", "th", "n_shingles", "digest", "cells"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, th long, n_shingles long, digest long, band int, cells binary")
+    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, th long, n_shingles long, digest long, cells binary")
 
 
 #: Signatures that a task gathers before it sends them on.
 FLUSH = 1 << 20
 
 
-def candidate_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame:
-    """(sig, digest, other) of the distinct sets, combined before the shuffle.
+def signature_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame:
+    """(sig, digest, more) of the distinct sets, combined before the shuffle.
 
-    Of the sets that share a signature among those a task has gathered, only the smallest digest goes
-    on with the signature; the others go once each, as an edge from it (``other``). However many
-    documents share a signature, it has one row for each time a task sends what it has gathered.
+    The sets that share a signature among those a task has gathered are one row: the smallest digest, and the
+    others' in a row as longs. However many documents share a signature, it has one row for each time a task
+    sends what it has gathered.
     """
     def flush(sig: np.ndarray, digests: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((digests, sig))
         sig, digests = sig[order], digests[order]
         first = np.concatenate([[True], sig[1:] != sig[:-1]])
         head = np.flatnonzero(first)
-        hub = np.repeat(digests[head], np.diff(np.append(head, len(sig))))
-        edges = np.unique(np.stack([hub, digests], axis=1)[hub != digests], axis=0)
-        lone = W.mix(edges[:, 0].view(np.uint64) * np.uint64(3) + edges[:, 1].view(np.uint64))
-        other = pa.array(np.concatenate([np.zeros(len(head), np.int64), edges[:, 1]]),
-                         mask=np.arange(len(head) + len(edges)) < len(head))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([sig[head], lone]).view(np.int64)), pa.array(np.concatenate([digests[head], edges[:, 0]])), other],
-            names=["sig", "digest", "other"])
+        edge = np.concatenate([[0], np.cumsum(8 * (np.diff(np.append(head, len(sig))) - 1))]).astype(np.int32)
+        more = pa.BinaryArray.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(edge), pa.py_buffer(digests[~first].tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(sig[head].view(np.int64)), pa.array(digests[head]), more], names=["sig", "digest", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = sim.bands(1 << 16), set()
@@ -203,15 +199,239 @@ def candidate_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame
         if size:
             yield flush(np.concatenate(sigs), np.concatenate(owner))
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "sig long, digest long, other long")
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "sig long, digest long, more binary")
 
 
-def candidate_edges(rows: DataFrame) -> DataFrame:
-    """Distinct (a, b): sets that share a signature are connected by them."""
-    hub = F.min("digest").over(Window.partitionBy("sig"))
-    met = rows.withColumn("hub", hub).where("hub != digest or other is not null")
-    ends = F.array(F.struct(F.col("hub").alias("a"), F.col("digest").alias("b")), F.struct(F.col("digest").alias("a"), F.col("other").alias("b")))
-    return met.select(F.explode(ends).alias("e")).select("e.*").where("a != b").distinct()
+#: Sets of one signature, or sets of a cluster that share no hub, that one task compares at a time.
+GROUP = 4096
+
+
+def signature_groups(rows: DataFrame) -> DataFrame:
+    """(gid, chunk, digest): the groups of two sets or more that share a signature, each group of members once.
+
+    ``chunk`` is -1; a signature of more than GROUP sets has a gid of its own and its sets in chunks from 0.
+    """
+    def emit(run: np.ndarray, member: np.ndarray, sig: np.ndarray) -> pa.RecordBatch | None:
+        """Rows of whole groups; ``run`` numbers the groups of ``member``, ``sig`` has each group's signature."""
+        order = np.lexsort((member, run))
+        run, member = run[order], member[order]
+        new = np.concatenate([[True], (run[1:] != run[:-1]) | (member[1:] != member[:-1])])
+        run, member = run[new], member[new]
+        head = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        size = np.diff(np.append(head, len(run)))
+        # a digest of the members, whatever the signature
+        total = np.add.reduceat(W.mix(member.view(np.uint64) + np.uint64(0x2F0B4A27)), head)
+        gid = np.where(size > GROUP, W.mix(sig[run[head]].view(np.uint64)), W.mix(total + size.astype(np.uint64))).view(np.int64)
+        at = np.arange(len(run)) - np.repeat(head, size)
+        chunk = np.where(np.repeat(size, size) > GROUP, at // GROUP, -1)
+        keep = np.repeat(size, size) > 1
+        if not keep.any():
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(gid, size)[keep]), pa.array(chunk[keep], pa.int32()), pa.array(member[keep])],
+                                          names=["gid", "chunk", "digest"])
+
+    def members(sig: np.ndarray, digests: np.ndarray, more: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The rows' signatures and digests, a row for each set."""
+        edge = np.frombuffer(more.buffers()[1], dtype=np.int32)[more.offset:more.offset + len(more) + 1]
+        extra = np.frombuffer(more.buffers()[2], dtype=np.int64)[edge[0] // 8:edge[-1] // 8] if edge[-1] > edge[0] else digests[:0]
+        return np.concatenate([sig, np.repeat(sig, np.diff(edge) // 8)]), np.concatenate([digests, extra])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_sig, held = np.empty(0, np.int64), np.empty(0, np.int64)  # the sets of the last signature, which may go on
+        sent = 0  # chunks of it that went out already
+
+        def chunks(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held, held_sig, sent
+            while len(held) > (0 if last and sent else 4 * GROUP):
+                part, held = np.unique(held[:GROUP]), held[GROUP:]
+                held_sig = held_sig[:len(held)]
+                gid = np.full(len(part), W.mix(last_sig.view(np.uint64)).view(np.int64)[0])
+                yield pa.RecordBatch.from_arrays([pa.array(gid), pa.array(np.full(len(part), sent), pa.int32()), pa.array(part)], names=["gid", "chunk", "digest"])
+                sent += 1
+
+        last_sig = np.empty(1, np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig, member = members(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2))
+            end = batch.column(0)[batch.num_rows - 1].as_py()
+            if len(held) and (held_sig[0] != sig[0]) and sent:
+                yield from chunks(True)
+            sig, member = np.concatenate([held_sig, sig]), np.concatenate([held, member])
+            going = sig == end
+            done = ~going
+            if sent and (sig[done] == last_sig[0]).any():  # the long signature ends in this batch
+                own = sig == last_sig[0]
+                rest_sig, rest = sig[~own], member[~own]
+                held_sig, held = sig[own], member[own]
+                yield from chunks(True)
+                sig, member, sent = rest_sig, rest, 0
+                going = sig == end
+                done = ~going
+            if last_sig[0] != end:
+                sent = 0
+            if done.any():
+                found, number = np.unique(sig[done], return_inverse=True)
+                many = np.bincount(number) > 1
+                use = many[number]
+                if use.any():
+                    out = emit(number[use], member[done][use], found)
+                    if out is not None:
+                        yield out
+            held_sig, held, last_sig = sig[going], member[going], np.array([end], dtype=np.int64)
+            yield from chunks(False)
+        if len(held):
+            if sent:
+                yield from chunks(True)
+            elif len(held) > 1:
+                out = emit(np.zeros(len(held), dtype=np.int64), held, held_sig[:1])
+                if out is not None:
+                    yield out
+
+    return (rows.repartition("sig").sortWithinPartitions("sig").mapInArrow(run, "gid long, chunk int, digest long")
+            .dropDuplicates(["gid", "chunk", "digest"]))
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts of at most 255 as bytes, or two to a byte, cut off at 15, where the set is small."""
+    if counts.sum() >= 8 * len(counts):
+        return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    low = np.minimum(counts, 15).astype(np.uint8)
+    return (low[0::2] | (low[1::2] << 4)).tobytes()
+
+
+def unpacked(cells: list[bytes]) -> np.ndarray:
+    """Counts in rows; where one row is cut off at 15 all are, and the differences stay lower bounds."""
+    width = 1 << CELL_BITS
+    small = np.array([len(c) < width for c in cells])
+    out = np.zeros((len(cells), width), dtype=np.int16)
+    if small.any():
+        both = np.frombuffer(b"".join(c for c, x in zip(cells, small) if x), dtype=np.uint8).reshape(-1, width // 2)
+        half = np.empty((len(both), width), dtype=np.int16)
+        half[:, 0::2], half[:, 1::2] = both & 15, both >> 4
+        out[small] = half
+    if not small.all():
+        out[~small] = np.frombuffer(b"".join(c for c, x in zip(cells, small) if not x), dtype=np.uint8).reshape(-1, width)
+    return out
+
+
+def near_pairs(start: np.ndarray, far: np.ndarray, bipartite: np.ndarray, n: np.ndarray, cells: list[bytes], sim: Similarity) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose counts allow a link, inside the groups that begin at ``start``.
+
+    In a bipartite group only pairs of a far and another set are looked at.
+    """
+    size = np.diff(np.append(start, len(n)))
+    left_in = np.repeat(start + size, size) - np.arange(len(n))  # rows of the group from this one on
+    counts = unpacked(cells)
+    cut = np.minimum(counts, 15)
+    small = np.array([len(c) < counts.shape[1] for c in cells])
+    coarse = cut.reshape(len(n), -1, 8).sum(axis=2, dtype=np.int16)
+    root, forest = np.arange(len(n)), []
+    most = n * (sim.den - sim.num)
+    group_of = np.repeat(np.arange(len(start)), size)
+    for o in range(1, int(size.max(initial=0))):
+        a = np.flatnonzero(left_in > o)
+        b = a + o
+        use = (root[a] != root[b]) & (~bipartite[a] | (far[a] != far[b]))
+        use &= np.minimum(n[a], n[b]) * sim.den >= np.maximum(n[a], n[b]) * sim.num
+        a, b = a[use], b[use]
+        for at in range(0, len(a), 1 << 15):
+            x, y = a[at:at + (1 << 15)], b[at:at + (1 << 15)]
+            bound = most[x] + most[y]
+            fits = np.abs(coarse[x] - coarse[y]).sum(axis=1, dtype=np.int32) * (sim.den + sim.num) <= bound
+            x, y, bound = x[fits], y[fits], bound[fits]
+            mixed = small[x] | small[y]
+            apart = np.abs(np.where(mixed[:, None], cut[x], counts[x]) - np.where(mixed[:, None], cut[y], counts[y])).sum(axis=1, dtype=np.int32)
+            fits = apart * (sim.den + sim.num) <= bound
+            for i, j in zip(x[fits].tolist(), y[fits].tolist()):
+                if root[i] != root[j]:
+                    lo = start[group_of[i]]
+                    part = root[lo:lo + size[group_of[i]]]
+                    part[part == root[j]] = root[i]
+                    forest.append((i, j))
+    return forest
+
+
+_NODE = "struct<digest:long,n:long>"
+
+
+def _nodes(digests: pa.Array, n: pa.Array) -> pa.StructArray:
+    return pa.StructArray.from_arrays([digests, n], names=["digest", "n"])
+
+
+def _dealt(rows: DataFrame, key: str, chunks: str, *columns: str) -> DataFrame:
+    """The sets of long groups to the pairs (c, j) of a chunk and a block of far sets: the chunk's own, and the far ones.
+
+    ``rows`` has a key, a digest, its ``chunk``, the group's number of ``chunks``, and ``away`` for far sets.
+    """
+    blocks = rows.where("away").groupBy(key).agg(F.ceil(F.count("*") / GROUP).cast("int").alias("blocks"))
+    rows = rows.join(blocks, key)
+    block = F.pmod(F.xxhash64("digest", F.lit(7)), F.col("blocks")).cast("int")
+    own = rows.select(key, *columns, F.col("chunk").alias("c"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(False).alias("far"))
+    to_all = rows.where("away").select(key, *columns, F.explode(F.sequence(F.lit(0), F.col(chunks) - 1)).alias("c"), block.alias("j"), F.lit(True).alias("far"))
+    return own.union(to_all)
+
+
+def candidate_pairs(groups: DataFrame, nodes: DataFrame, sim: Similarity) -> DataFrame:
+    """(a, b): edges that connect all sets which share a signature and may be similar by their counts.
+
+    The counts of two sets in the parts of the domain differ by no more in all than the sets do, so sets whose
+    counts differ by more than the similarity allows are not linked.
+    """
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def found(rows: pa.Table) -> pa.RecordBatch:
+            gid, c, j = (rows[k].to_numpy() for k in ("gid", "c", "j"))
+            start = np.flatnonzero(np.concatenate([[True], (gid[1:] != gid[:-1]) | (c[1:] != c[:-1]) | (j[1:] != j[:-1])]))
+            far = rows["far"].to_numpy(zero_copy_only=False) if rows.num_rows else np.empty(0, bool)
+            forest = near_pairs(start, far, j >= 0, rows["n"].to_numpy(), rows["cells"].to_pylist(), sim)
+            node = _nodes(rows["digest"].combine_chunks(), rows["n"].combine_chunks())
+            a, b = (pa.array([x[k] for x in forest], pa.int64()) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([node.take(a), node.take(b)], names=["a", "b"])
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if not rows.num_rows:
+                continue
+            last = [rows[k][rows.num_rows - 1].as_py() for k in ("gid", "c", "j")]
+            going = np.all([rows[k].to_numpy() == v for k, v in zip(("gid", "c", "j"), last)], axis=0)
+            cut = int(np.argmax(going))  # the last group may go on in the next batch
+            if cut:
+                yield found(rows.slice(0, cut).combine_chunks())
+            held = rows.slice(cut)
+        if held is not None and held.num_rows > 1:
+            yield found(held.combine_chunks())
+
+    placed = groups.join(nodes.select("digest", "n", "cells"), "digest")
+    columns = ["gid", "digest", "n", "cells"]
+    dealt = placed.where("chunk < 0").select(*columns, F.lit(0).alias("c"), F.lit(-1).alias("j"), F.lit(False).alias("far"))
+    near = None
+    if not groups.where("chunk >= 0").isEmpty():
+        near, long_rows = _near_hubs(written(placed.where("chunk >= 0"), "long"), sim)
+        dealt = dealt.union(_dealt(long_rows, "gid", "chunks", "digest", "n", "cells").select(*columns, "c", "j", "far"))
+    order = ["gid", "c", "j"]
+    edges = dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, f"a {_NODE}, b {_NODE}")
+    return edges if near is None else edges.union(near)
+
+
+def _near_hubs(rows: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
+    """Edges of the sets of long groups that are near their group's hub, and the rows with ``chunks`` and ``away``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, hub = batch.column("n").to_numpy(), batch.column("hub")
+            both = unpacked(batch.column("cells").to_pylist() + hub.field("cells").to_pylist())
+            both = np.minimum(both, 15)
+            apart = np.abs(both[:len(n)] - both[len(n):]).sum(axis=1, dtype=np.int32)
+            away = apart * (sim.den + sim.num) > (n + hub.field("n").to_numpy()) * (sim.den - sim.num)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(k) for k in ("gid", "chunk", "chunks", "digest", "n", "cells")], _nodes(hub.field("digest"), hub.field("n")),
+                 pa.array(away)], names=["gid", "chunk", "chunks", "digest", "n", "cells", "hub", "away"])
+
+    hubs = rows.groupBy("gid").agg(F.min(F.struct("digest", "n", "cells")).alias("hub"), (F.max("chunk") + 1).alias("chunks"))
+    kind = f"gid long, chunk int, chunks int, digest long, n long, cells binary, hub {_NODE}, away boolean"
+    judged = written(rows.join(hubs, "gid").mapInArrow(run, kind), "judged")
+    return judged.where("not away").select(F.struct("digest", "n").alias("a"), F.col("hub").alias("b")), judged
 
 
 def feature_sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, n: int) -> DataFrame:
@@ -230,50 +450,6 @@ def feature_sets(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame,
     return nodes.join(sets, ["digest", "n"]).groupBy(*nodes.columns).agg(F.first("features").alias("features"))
 
 
-#: Sets whose counts one block holds on average at most.
-COUNT_SETS = 2048
-
-
-def refine(nodes: DataFrame, sim: Similarity) -> DataFrame:
-    """(a, b): edges that connect all sets of a cluster which may be similar, by their counts.
-
-    The counts of two sets in the parts of the domain differ by no more in all than the sets do, so
-    sets whose counts differ by more than the similarity allows are not linked. Sets that met by a
-    chance signature, or a passage they share, fall apart here; no linked pair does. ``nodes`` has
-    (cluster, digest, n, band, cells); sets of one band and the next meet, block by block.
-    """
-    both = F.explode(F.array("band", F.col("band") + 1)).alias("instance")
-    placed = nodes.select("cluster", "digest", "n", "band", "cells", both)
-    size = placed.groupBy("cluster", "instance").agg(F.ceil(F.count("*") / COUNT_SETS).cast("int").alias("blocks"))
-    dealt = _block_pairs(placed.join(size, ["cluster", "instance"]), "cluster", "instance", "digest", "n", "band", "cells")
-
-    def run(group: pa.Table) -> pa.Table:
-        n, own = group["n"].to_numpy(), group["own"].to_numpy()
-        counts = np.frombuffer(b"".join(group["cells"].to_pylist()), dtype=np.uint8).reshape(len(n), -1).astype(np.int16)
-        few = np.ascontiguousarray(counts.reshape(len(n), -1, 8).sum(axis=2, dtype=np.int16).T)
-        left, right = own == group["i"][0].as_py(), own == group["j"][0].as_py()
-        high = group["band"].to_numpy() == group["instance"][0].as_py()
-        most = n * (sim.den - sim.num)
-        root, forest = np.arange(len(n)), []
-        for i in np.flatnonzero(left):
-            # two sets of the lower band have met in the instance of their own band
-            meet = right if high[i] else right & high
-            apart = np.abs(few - few[:, i:i + 1]).sum(axis=0, dtype=np.int32)  # coarse counts first: they set most sets apart
-            other = np.flatnonzero(meet & (root != root[i]) & (apart * (sim.den + sim.num) <= most + most[i]))
-            apart = np.abs(counts[other] - counts[i]).sum(axis=1, dtype=np.int32)
-            other = other[apart * (sim.den + sim.num) <= most[other] + most[i]]
-            for j in other:
-                if root[i] != root[j]:
-                    root[root == root[j]] = root[i]
-                    forest.append((int(i), int(j)))
-        node = pa.StructArray.from_arrays([group["digest"].combine_chunks(), group["n"].combine_chunks()], names=["digest", "n"])
-        a, b = (pa.array([x[k] for x in forest], pa.int64()) for k in (0, 1))
-        return pa.Table.from_arrays([node.take(a), node.take(b)], names=["a", "b"])
-
-    node = "struct<digest:long,n:long>"
-    return dealt.groupBy("cluster", "instance", "i", "j").applyInArrow(run, f"a {node}, b {node}")
-
-
 def _block_pairs(sets: DataFrame, *columns: str) -> DataFrame:
     """Each row of ``sets`` (digest, n, blocks, ...) to the pairs (i, j) of blocks that its block is in."""
     own = F.pmod(F.xxhash64("digest", "n"), F.col("blocks")).cast("int")
@@ -334,44 +510,115 @@ def compare_blocks(sets: DataFrame, sim: Similarity) -> DataFrame:
     return dealt.groupBy("cluster", "i", "j").applyInArrow(run, f"a {node}, b {node}, links long")
 
 
+def link_forest(sizes: np.ndarray, sets: list[np.ndarray], far: np.ndarray, sim: Similarity) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the sets; where some are ``far``, of the links of those.
+
+    The first set meets all, then each set that is not yet in its tree: sets of one tree need not meet.
+    """
+    vocab, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    cut = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    mark, root, forest = np.zeros(len(vocab), dtype=np.int32), np.arange(len(sets)), []
+    some = bool(far.any())
+    for i in np.flatnonzero(far) if some else range(len(sets)):
+        if not some and i and root[i] == root[0]:
+            continue
+        own = flat[cut[i]:cut[i] + sizes[i]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[flat], cut)
+        mark[own] = 0
+        for j in np.flatnonzero(sim.den * both >= sim.num * (sizes + sizes[i] - both)):
+            if root[i] != root[j]:
+                root[root == root[j]] = root[i]
+                forest.append((int(i), int(j)))
+    return forest
+
+
+def link_edges(sets: DataFrame, sim: Similarity) -> DataFrame:
+    """(a, b): edges that connect all linked sets of each cluster; ``sets`` has (cluster, blocks, digest, n, features).
+
+    A cluster of one block is one task's. In a longer one all sets meet the hub first, block by block; those
+    that are not linked with it then meet the sets of all blocks.
+    """
+    def run(group: pa.Table) -> pa.Table:
+        far = group["far"].to_numpy(zero_copy_only=False)
+        forest = link_forest(group["n"].to_numpy(), [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group["features"]], far, sim)
+        node = _nodes(group["digest"].combine_chunks(), group["n"].combine_chunks())
+        a, b = (pa.array([x[k] for x in forest], pa.int64()) for k in (0, 1))
+        return pa.Table.from_arrays([node.take(a), node.take(b)], names=["a", "b"])
+
+    def meet_hub(group: pa.Table) -> pa.Table:
+        features = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in group["features"]]
+        k = int(np.argmax(group["is_hub"].to_numpy(zero_copy_only=False)))
+        n = group["n"].to_numpy()
+        both = np.array([len(np.intersect1d(features[k], x, assume_unique=True)) for x in features])
+        linked = sim.den * both >= sim.num * (n + n[k] - both)
+        return pa.Table.from_arrays([group["cluster"], group["chunk"], group["chunks"], group["digest"], group["n"], group["features"],
+                                     pa.array(~linked)], names=["cluster", "chunk", "chunks", "digest", "n", "features", "away"])
+
+    columns = ["cluster", "digest", "n", "features"]
+    edges = f"a {_NODE}, b {_NODE}"
+    short = sets.where("blocks = 1").select(*columns, F.lit(False).alias("far")).groupBy("cluster").applyInArrow(run, edges)
+    if sets.select("blocks").where("blocks > 1").isEmpty():
+        return short
+    chunk = F.pmod(F.xxhash64("digest", "n"), F.col("blocks")).cast("int")
+    rows = written(sets.where("blocks > 1").select(*columns, chunk.alias("chunk"), F.col("blocks").alias("chunks")), "long")
+    hubs = rows.groupBy("cluster").agg(F.min(F.struct("digest", "n")).alias("hub"))
+    hub_rows = (rows.join(hubs, "cluster").where((F.col("digest") == F.col("hub.digest")) & (F.col("n") == F.col("hub.n")))
+                .select(*columns, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "chunks", F.lit(True).alias("is_hub")))
+    kind = f"cluster {rows.schema['cluster'].dataType.simpleString()}, chunk int, chunks int, digest long, n long, features binary, away boolean"
+    judged = written(rows.withColumn("is_hub", F.lit(False)).unionByName(hub_rows).groupBy("cluster", "chunk").applyInArrow(meet_hub, kind), "judged")
+    near = judged.where("not away").join(hubs, "cluster").select(F.struct("digest", "n").alias("a"), F.col("hub").alias("b"))
+    rest = _dealt(judged, "cluster", "chunks", "digest", "n", "features").groupBy("cluster", "c", "j").applyInArrow(run, edges)
+    return short.union(near).union(rest)
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 sim: Similarity = Similarity()) -> DataFrame:
+                 sim: Similarity = Similarity(), count_links: bool = True) -> DataFrame:
     """(id, n_shingles, n_links, component): one row for each row of ``docs``.
 
     The component is the smallest id reachable by links, the row's own included; ``n_links`` counts
-    the other rows that a row is linked with, equal ones among them.
+    the other rows that a row is linked with, equal ones among them. The count needs every two linked sets
+    compared, in the tasks; with ``count_links=False`` the column is left out, and sets of one tree do not meet.
 
     A null or empty text, or one without words, has no shingles and is linked with nothing, not with
     another empty one either. A text of fewer words than a shingle is one shingle of its whole
     sequence. Rows that repeat an id come back as often as they came. A row whose id is null gets
     the smallest id it is linked with (null if it has none). An empty table gives an empty table.
     """
-    return grouped(docs, id_col, text_col, sim).select(
-        "id", "n_shingles", "n_links", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    found = grouped(docs, id_col, text_col, sim, count_links)
+    return found.select("id", "n_shingles", *(["n_links"] if count_links else []),
+                        F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
 
 
-def grouped(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
+def grouped(docs: DataFrame, id_col: str, text_col: str, sim: Similarity, count_links: bool = False) -> DataFrame:
     """(id, th, n_shingles, n_links, part, component) of each row; part names its group, null without words."""
     base = written(set_digests(docs, id_col, text_col, sim), "sets")
-    nodes = (base.where("n_shingles > 0").groupBy("digest", F.col("n_shingles").alias("n"))
-             .agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.max("band").alias("band"), F.max("cells").alias("cells")))
+    nodes = written(base.where("n_shingles > 0").groupBy("digest", F.col("n_shingles").alias("n"))
+                    .agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.max("cells").alias("cells")), "nodes")
 
     node = F.struct("digest", "n")
-    met = components(candidate_edges(candidate_rows(docs, text_col, sim)), "a", "b")
-    met = written(nodes.join(met.select(F.col("node").alias("digest"), F.col("component").alias("cluster")), "digest"), "met")
-    clusters = components(refine(met, sim), "a", "b").select(F.col("node.*"), F.col("component").alias("cluster"))
-    wanted = met.select("digest", "n", "id", "copies").join(clusters, ["digest", "n"])
+    groups = written(signature_groups(signature_rows(docs, text_col, sim)), "groups")
+    clusters = components(candidate_pairs(groups, nodes, sim), "a", "b").select(F.col("node.*"), F.col("component").alias("cluster"))
+    wanted = nodes.select("digest", "n", "id", "copies").join(clusters, ["digest", "n"])
     size = wanted.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_FEATURES)).cast("int")
     wanted = written(wanted.join(size.select("cluster", blocks.alias("blocks")), "cluster")
                      .select("cluster", "blocks", "digest", "n", "id", "copies"), "clusters")
-    found = written(compare_blocks(feature_sets(docs, id_col, text_col, wanted, sim.n), sim), "compared")
-    parts = components(found.where("b is not null"), "a", "b")
-    links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-
-    placed = (nodes.withColumn("node", node).join(parts, "node", "left").join(links, "node", "left")
-              .select("node", "id", F.coalesce("component", "node").alias("part"),
-                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    sets = feature_sets(docs, id_col, text_col, wanted, sim.n)
+    if count_links:
+        found = written(compare_blocks(sets, sim), "compared")
+        edges = found.where("b is not null")
+        links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    else:
+        edges = link_edges(written(sets, "features"), sim)
+    parts = components(edges, "a", "b")
+
+    placed = nodes.withColumn("node", node).join(parts, "node", "left")
+    if count_links:
+        placed = placed.join(links, "node", "left").withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
+    else:
+        placed = placed.withColumn("n_links", F.lit(None).cast("long"))
+    placed = placed.select("node", "id", F.coalesce("component", "node").alias("part"), "n_links")
     least = placed.groupBy("part").agg(F.min("id").alias("component"))
     placed = placed.join(least, "part").select("node", "part", "component", "n_links")
     own = F.when(F.col("n_shingles") > 0, F.struct("digest", F.col("n_shingles").alias("n")))

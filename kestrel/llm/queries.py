@@ -16,8 +16,8 @@ from .jaccard import Similarity, jaccard_join
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at a Jaccard similarity of 0.9 or more of their 3-word shingles."""
-    found = jaccard_join(table(spark, sf_dir, "documents"), "doc_id", "text", Similarity(3, 90, 100))
-    return found.selectExpr("id AS doc_id", "n_shingles", "component AS component_id", "n_links")
+    found = jaccard_join(table(spark, sf_dir, "documents"), "doc_id", "text", Similarity(3, 90, 100), count_links=False)
+    return found.selectExpr("id AS doc_id", "n_shingles", "component AS component_id")
 
 
 def op2_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

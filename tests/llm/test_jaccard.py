@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from kestrel.llm import words as W
+from kestrel.llm import jaccard, words as W
 from kestrel.llm.components import components
 from kestrel.llm.jaccard import Similarity, jaccard_join, keep_one_of_each, scheme, signatures
 
@@ -17,6 +17,61 @@ def test_links_and_components_equal_all_pairs(spark, sim):
     assert got == {a: tuple(x) for a, *x in brute.jaccard(rows, sim.n, sim.num, sim.den)}
 
 
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("sim", [Similarity(3, 90, 100), Similarity(5, 80, 100)])
+def test_components_without_counts(spark, sim, small, monkeypatch):
+    """Also where groups and clusters are dealt to chunks and blocks, with copies, near copies and strays in them."""
+    if small:
+        monkeypatch.setattr(jaccard, "GROUP", 3)
+        monkeypatch.setattr(jaccard, "BLOCK_SETS", 2)
+        monkeypatch.setattr(jaccard, "FLUSH", 500)
+    rng, rows = random.Random(3), brute.unique_ids(brute.documents())
+    base = " ".join(brute.sentence(rng, 12) for _ in range(12)).split()
+    for k in range(60):  # a family with more and more edits: chains of links
+        w = list(base)
+        for _ in range(k // 4):
+            w[rng.randrange(len(w))] = f"edit{rng.randrange(9)}"
+        rows.append((1000 + k, " ".join(w), "en", "s"))
+    rows += [(2000 + k, " ".join(base[:90] + [f"other{k}x{i}" for i in range(60)]), "en", "s") for k in range(12)]  # a shared passage
+    got = {r["id"]: (r["n_shingles"], r["component"]) for r in jaccard_join(brute.frame(spark, rows).repartition(5), sim=sim, count_links=False).collect()}
+    assert got == {a: (n, c) for a, n, _, c in brute.jaccard(rows, sim.n, sim.num, sim.den)}
+
+
+def made_groups():
+    rng = random.Random(5)
+    want, rows = {}, []
+    for sig in range(300):
+        members = sorted({rng.randrange(-60, 60) for _ in range(rng.choice([1, 1, 2, 3, 9, 40]))})
+        want[sig] = members
+        while members:
+            k = rng.randint(1, len(members))
+            rows.append((sig, members[0], np.array(members[1:k], dtype=np.int64).tobytes()))
+            members = members[k:] if rng.random() < 0.7 or k < 2 else members[k - 1:]  # sent twice by two tasks
+    return want, rows
+
+
+@pytest.mark.parametrize("limit", [4, 4096])
+def test_groups_equal_the_plain_version(spark, limit, monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP", limit)
+    want, rows = made_groups()
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        got = jaccard.signature_groups(spark.createDataFrame(rows, "sig long, digest long, more binary")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    found = {}
+    for r in got:
+        found.setdefault(r["gid"], set()).add(r["digest"])
+    # each list of members once; a list in chunks once for each signature
+    assert {tuple(sorted(x)) for x in found.values()} == {tuple(m) for m in want.values() if len(m) > 1}
+    assert all(r["chunk"] < 0 for r in got) == (limit == 4096)
+    sizes = {}
+    for r in got:
+        sizes[r["gid"], r["chunk"]] = sizes.get((r["gid"], r["chunk"]), 0) + 1
+    assert max(sizes.values()) <= limit
+
+
 def test_odd_rows(spark):
     rows = brute.documents()
     got = jaccard_join(brute.frame(spark, rows), sim=Similarity(3, 90, 100)).collect()
