@@ -6,6 +6,10 @@ identifier form a graph of patterns and instances. In each round a pattern's con
 score of the distinct instances it matches, and an instance's score is one less the odds that all its
 confident patterns are wrong; seeds score 1. Confident patterns then name identifiers that the base
 has not: addresses without a domain's ending, numbers whose check digit is wrong, phones without "+".
+
+They also propose what stands in their slots. Every token of every text is looked up by the words around it; of
+a pattern whose slots hold seeds and named identifiers for the most part, the tokens with a digit, an "@" or
+an inner mark are identifiers too, whatever their form.
 """
 
 from __future__ import annotations
@@ -14,11 +18,13 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, rows_of, written
+from . import words as W
+from .common import bit_map, in_map, map_batches, rows_of, written
 
 #: In the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -32,7 +38,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ANY = re.compile(r"[0-9@]")
 #: What may be an identifier: something@something, and numbers of seven digits or more, with separators.
 NUMBER = re.compile(r"(?<![A-Za-z0-9])[0-9](?:[\x20().:-]{0,2}+[0-9]){6,}+(?![A-Za-z0-9])")
-AROUND = re.compile(r"[^\W_]+")
+#: What a token in a slot must have to be an identifier, and the marks that do not belong to it at its ends.
+IDENTIFIER = re.compile(r"[0-9@]|\w[._+-]\w")
+EDGES = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>*`"
 
 
 def luhn(digits: str) -> bool:
@@ -116,18 +124,54 @@ def candidates(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, i
             yield _looks_like(text[a:b]), a, b
 
 
-def contexts(text: str, start: int, stop: int, reach: int = 64) -> list[str]:
-    """Lexical patterns: the two words before, the word before and the one after, the two after."""
-    left = [x.lower() for x in AROUND.findall(text[max(0, start - reach):start])][-2:]
-    right = [x.lower() for x in AROUND.findall(text[stop:stop + reach])][:2]
-    out = []
-    if len(left) == 2:
-        out.append(f"{left[0]} {left[1]} _")
-    if left and right:
-        out.append(f"{left[-1]} _ {right[0]}")
-    if len(right) == 2:
-        out.append(f"_ {right[0]} {right[1]}")
-    return out
+@dataclass
+class Around:
+    """The words of a text, parted by spaces and ASCII marks, by which contexts are named."""
+
+    raw: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+
+    @staticmethod
+    def of(raw: bytes) -> Around:
+        return Around(raw, *W.hash_words(raw, "marks"))
+
+    def sides(self, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the first words from the bytes ``start`` on, and after the bytes ``stop``."""
+        return np.searchsorted(self.ends, start, "right"), np.searchsorted(self.starts, stop)
+
+    def patterns(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the three patterns of each slot, and which of them there are: the two words before, the word
+        before and the one after, the two after."""
+        n, h = len(self.hashes), np.append(self.hashes, np.zeros(2, np.uint64))
+        pick = lambda at: h[np.clip(at, 0, n)]
+        pairs = ((left - 2, left - 1), (left - 1, right), (right, right + 1))
+        keys = [W.mix(pick(a) * np.uint64(0x9E3779B97F4A7C15) + W.mix(pick(b)) + np.uint64(k)) for k, (a, b) in enumerate(pairs)]
+        return np.stack(keys, axis=1), np.stack([(a >= 0) & (b < n) for a, b in pairs], axis=1)
+
+    def names(self, left: int, right: int) -> list[str]:
+        word = lambda k: self.raw[self.starts[k]:self.ends[k]].decode("utf-8", "replace").lower() if 0 <= k < len(self.starts) else ""
+        return [f"{word(left - 2)} {word(left - 1)} _", f"{word(left - 1)} _ {word(right)}", f"_ {word(right)} {word(right + 1)}"]
+
+
+def byte_places(raw: bytes, text: str) -> np.ndarray | None:
+    """The byte at which each code point begins, and the end; None where they are the same."""
+    if len(raw) == len(text):
+        return None
+    clean = raw if raw.decode("utf-8", "replace").encode() == raw else text.encode()
+    data = np.frombuffer(clean, dtype=np.uint8)
+    return np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+
+
+def marked(text: str) -> list[tuple[str, int, int, bool]]:
+    """(kind, start, stop, seed) of the base spans and the candidates of a text."""
+    base = base_spans(text)
+    spans = [(k, a, b, True) for k in KINDS for a, b in base[k]]
+    return spans + [(k, a, b, False) for k, a, b in candidates(text, [x for k in KINDS for x in base[k]])]
+
+
+_PATTERNS = "array<struct<pattern:long,words:string>>"
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
@@ -135,24 +179,87 @@ def occurrences(rows: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         got = []
         for at, raw in enumerate(rows_of(batch, "text")):
-            text = raw.decode()
-            if not ANY.search(text):
+            text = raw.decode("utf-8", "replace")
+            if not ANY.search(text) or not (spans := marked(text)):
                 continue
-            base = base_spans(text)
-            spans = [(k, a, b, True) for k in KINDS for a, b in base[k]]
-            spans += [(k, a, b, False) for k, a, b in candidates(text, [x for k in KINDS for x in base[k]])]
-            for k, a, b, seed in spans:
-                got.append((at, k, seed, a, b, text[a:b].lower(), contexts(text, a, b)))
+            around, place = Around.of(text.encode()), byte_places(text.encode(), text)
+            a, b = (np.array([x[k] for x in spans]) for k in (1, 2))
+            left, right = around.sides(*((a, b) if place is None else (place[a], place[b])))
+            keys, there = around.patterns(left, right)
+            for k, (kind, start, stop, seed) in enumerate(spans):
+                names = around.names(int(left[k]), int(right[k]))
+                patterns = [{"pattern": int(np.int64(keys[k, j].view(np.int64))), "words": names[j]} for j in range(3) if there[k, j]]
+                got.append((at, kind, seed, start, stop, text[start:stop].lower(), patterns))
         if got:
             at, *cols = zip(*got)
             at = pa.array(at, pa.int64())
-            kinds = pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())
+            kinds = (pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string(),
+                     pa.list_(pa.struct([("pattern", pa.int64()), ("words", pa.string())])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(1).take(at), *[pa.array(x, t) for x, t in zip(cols, kinds)]],
                 names=["id", "th", "kind", "seed", "start", "stop", "instance", "patterns"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return map_batches(rows, run, f"id {kind}, th long, kind string, seed boolean, start long, stop long, instance string, patterns array<string>")
+    return map_batches(rows, run, f"id {kind}, th long, kind string, seed boolean, start long, stop long, instance string, patterns {_PATTERNS}")
+
+
+def slots(rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(id, th, pattern, start, stop, use): the tokens of all ``rows`` (id, th, text) that may stand in a pattern's slot.
+
+    ``use`` is "known" for a seed or candidate, "new" for a token that looks like an identifier, else "plain".
+    Patterns are looked up in a bit map, so a join with them must follow.
+    """
+    wanted = bit_map(patterns, "pattern")
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        got = []
+        for at, raw in enumerate(rows_of(batch, "text")):
+            around = Around.of(raw)
+            start, stop, _ = W.hash_words(raw)
+            if not len(start):
+                continue
+            keys, there = around.patterns(*around.sides(start, stop))
+            hit = there & in_map(wanted, keys.ravel()).reshape(keys.shape)
+            if not hit.any():
+                continue
+            text = raw.decode("utf-8", "replace")
+            place = byte_places(raw, text)
+            if place is not None and place[-1] != len(raw):
+                continue  # bytes that are not UTF-8: places in the text can't be told
+            spans = sorted((a, b) for _, a, b, _ in marked(text))
+            begins = np.array([a for a, _ in spans])
+            for k in np.flatnonzero(hit.any(axis=1)):
+                a, b = (int(start[k]), int(stop[k])) if place is None else (int(x) for x in np.searchsorted(place, (start[k], stop[k])))
+                token = text[a:b]
+                a, b = a + len(token) - len(token.lstrip(EDGES)), b - len(token) + len(token.rstrip(EDGES))
+                near = int(np.searchsorted(begins, b)) - 1
+                known = near >= 0 and spans[near][1] > a
+                use = "known" if known else "new" if a < b and IDENTIFIER.search(text, a, b) else "plain"
+                got += [(at, int(keys[k, j].view(np.int64)), a, b, use) for j in np.flatnonzero(hit[k])]
+        if got:
+            at, *cols = zip(*got)
+            at = pa.array(at, pa.int64())
+            kinds = pa.int64(), pa.int64(), pa.int64(), pa.string()
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[pa.array(x, t) for x, t in zip(cols, kinds)]],
+                                             names=["id", "th", "pattern", "start", "stop", "use"])
+
+    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, th long, pattern long, start long, stop long, use string")
+
+
+def slot_spans(rows: DataFrame, patterns: DataFrame, how: Bootstrap) -> DataFrame:
+    """(id, th, kind, start, stop) of the tokens that confident patterns propose.
+
+    A pattern proposes them where seeds and candidates are ``confidence`` of all that its slots hold. A token
+    that patterns of several kinds propose is of the kind of the most confident.
+    """
+    if patterns.isEmpty():
+        return rows.select("id", "th", F.lit("").alias("kind"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("stop")).where("false")
+    found = written(slots(rows, patterns), "slots")
+    share = (found.groupBy("pattern").agg(F.count_if(F.col("use") == "known").alias("known"), F.count_if(F.col("use") != "new").alias("n"))
+             .where(F.col("known") >= how.confidence * F.col("n")))
+    best = F.max(F.struct("confidence", "kind")).getField("kind").alias("kind")
+    return (found.where("use = 'new'").join(share, "pattern").join(patterns, "pattern").groupBy("id", "th", "start", "stop").agg(best)
+            .select("id", "th", "kind", "start", "stop"))
 
 
 @dataclass(frozen=True)
@@ -165,13 +272,13 @@ class Bootstrap:
 
 
 def bootstrap(found: DataFrame, how: Bootstrap = Bootstrap()) -> DataFrame:
-    """(kind, pattern, confidence) of the confident patterns of ``occurrences``, scored in rounds.
+    """(kind, pattern, words, confidence) of the confident patterns of ``occurrences``, scored in rounds.
 
     A pattern is scored for a kind by the instances of that kind's form it matches; instances of other
     kinds count against it.
     """
-    edges = written(found.select("kind", "seed", F.xxhash64("kind", "instance").alias("instance"), F.explode("patterns").alias("pattern"))
-                    .groupBy("pattern", "kind", "instance").agg(F.max("seed").alias("seed")), "edges")
+    edges = written(found.select("kind", "seed", F.xxhash64("kind", "instance").alias("instance"), F.inline("patterns"))
+                    .groupBy("pattern", "kind", "instance").agg(F.max("seed").alias("seed"), F.min("words").alias("words")), "edges")
     size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
     patterns = None
     for _ in range(how.rounds):
@@ -179,44 +286,54 @@ def bootstrap(found: DataFrame, how: Bootstrap = Bootstrap()) -> DataFrame:
             scored = edges.withColumn("score", F.col("seed").cast("double"))
         else:
             wrong = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence"))))
-            odds = edges.where("not seed").join(patterns, ["kind", "pattern"]).groupBy("kind", "instance").agg((1 - F.exp(wrong)).alias("odds"))
+            odds = edges.where("not seed").join(patterns.drop("words"), ["kind", "pattern"]).groupBy("kind", "instance").agg((1 - F.exp(wrong)).alias("odds"))
             scored = (edges.join(odds, ["kind", "instance"], "left")
                       .withColumn("score", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("odds", F.lit(0.0)))))
-        patterns = (scored.groupBy("kind", "pattern").agg(F.sum("score").alias("score"), F.sum(F.col("seed").cast("int")).alias("seeds"))
+        patterns = (scored.groupBy("kind", "pattern").agg(F.sum("score").alias("score"), F.sum(F.col("seed").cast("int")).alias("seeds"),
+                                                             F.min("words").alias("words"))
                     .where(F.col("seeds") >= how.support).join(size, "pattern")
-                    .select("kind", "pattern", (F.col("score") / (F.col("n") + 1)).alias("confidence"))
+                    .select("kind", "pattern", "words", (F.col("score") / (F.col("n") + 1)).alias("confidence"))
                     .where(F.col("confidence") >= how.confidence))
         patterns = written(patterns, "patterns")
     return patterns
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: Bootstrap = Bootstrap()) -> DataFrame:
-    """(id, n_email, n_ip, n_card, n_phone, base, added): one row for each row of ``docs``.
+    """(id, n_email, n_ip, n_card, n_phone, base, added, spans): one row for each row of ``docs``.
 
     ``base`` lists the base spans as kind:start:stop, by kind and start, in code points; ``added`` those
-    that contexts add, as context_kind. Both are comma-joined, "" if there are none.
+    that contexts add, as context_kind; ``spans`` all of them by kind and start, under the kinds' own names.
+    Each is comma-joined, "" if there are none.
 
     A null or empty text has no spans. Ids may be null; rows that share id and text are given the same
-    spans each. An empty table gives an empty table.
+    spans each. Bytes that are not UTF-8 count as U+FFFD. An empty table gives an empty table.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
     found = written(occurrences(rows), "occurrences")
     patterns = bootstrap(found, how)
-    named = (found.where("not seed").withColumn("pattern", F.explode("patterns")).join(patterns, ["kind", "pattern"])
-             .select("id", "th", "kind", "start", "stop").distinct())
+    named = (found.where("not seed").select("id", "th", "kind", "start", "stop", F.inline("patterns")).join(patterns.drop("words"), ["kind", "pattern"])
+             .select("id", "th", "kind", "start", "stop").union(slot_spans(rows, patterns, how)).distinct())
     place = F.array(*[F.lit(k) for k in KINDS])
-    added = named.groupBy(F.struct("id", "th").alias("key")).agg(F.concat_ws(",", F.transform(
-        F.sort_array(F.collect_list(F.struct(F.array_position(place, F.col("kind")).alias("at"), "start", "stop", "kind"))),
-        lambda x: F.concat_ws(":", F.concat(F.lit("context_"), x["kind"]), x["start"].cast("string"), x["stop"].cast("string")))).alias("added"))
+    span = lambda kind, start, stop: F.struct(F.array_position(place, kind).alias("at"), start.alias("start"), stop.alias("stop"), kind.alias("kind"))
+    added = named.groupBy(F.struct("id", "th").alias("key")).agg(
+        F.sort_array(F.collect_list(span(F.col("kind"), F.col("start"), F.col("stop")))).alias("more"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        spans = [base_spans(x.decode()) for x in rows_of(batch, "text")]
+        spans = [base_spans(x.decode("utf-8", "replace")) for x in rows_of(batch, "text")]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), *[pa.array([len(s[k]) for s in spans], pa.int64()) for k in KINDS],
              pa.array([listed(s) for s in spans], pa.string())],
             names=["id", "th", *[f"n_{k}" for k in KINDS], "base"])
 
+    def joined(spans, prefix: str = ""):
+        return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(
+            ":", F.concat(F.lit(prefix), x["kind"]), x["start"].cast("string"), x["stop"].cast("string"))))
+
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     base = map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, th long, {counts}, base string")
+    parts = F.transform(F.split(F.when(F.col("base") != "", F.col("base")), ","), lambda x: F.split(x, ":"))
+    own = F.transform(parts, lambda x: span(x[0], x[1].cast("long"), x[2].cast("long")))
+    every = F.when(F.col("more").isNull(), F.col("base")).otherwise(joined(F.sort_array(F.concat(F.coalesce(own, F.array()), "more"))))
     return (base.withColumn("key", F.struct("id", "th")).join(added, "key", "left")
-            .select("id", *[f"n_{k}" for k in KINDS], "base", F.coalesce("added", F.lit("")).alias("added")))
+            .select("id", *[f"n_{k}" for k in KINDS], "base", F.coalesce(joined(F.col("more"), "context_"), F.lit("")).alias("added"),
+                    every.alias("spans")))

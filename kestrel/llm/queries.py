@@ -29,9 +29,8 @@ def op2_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in all documents."""
     found = pii.find_pii(table(spark, sf_dir, "documents"))
-    spans = F.concat_ws(",", F.nullif(F.col("base"), F.lit("")), F.nullif(F.col("added"), F.lit("")))
     return found.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
-                        F.sha2("base", 256).alias("base_sha256"), spans.alias("spans"))
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
 def op4_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,10 +55,10 @@ def op6_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_deletion_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lose lines, of one word or more: the lines' numbers, how many of them are near ones, and whose lines stay."""
     found = lines.dropped_lines(table(spark, sf_dir, "documents"), min_words=1, near_words=5)
-    return found.groupBy(F.col("id").alias("doc_id")).agg(
+    return found.groupBy(F.col("id").alias("doc_id"), "th").agg(
         F.count("*").alias("n_dropped"), F.sum(F.col("near").cast("long")).alias("n_near"),
         F.concat_ws(",", F.transform(F.sort_array(F.collect_list("line")), lambda x: x.cast("string"))).alias("lines"),
-        F.sort_array(F.collect_set("kept_id")).alias("kept_in"))
+        F.sort_array(F.collect_set("kept_id")).alias("kept_in")).drop("th")
 
 
 def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
