@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from kestrel.session import written
 
 #: Distinct values a broadcast pre-filter can hold, whatever the data size (see ``keep_buckets``).
 FILTER_BUCKETS = 1 << 20
+#: Bits of a map of wanted hashes, as a power of two: 512 KB, whatever the data size (see ``bit_map``).
+MAP_BITS = 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +45,22 @@ def _by_bucket(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column
     return left.join(F.broadcast(hit), "__bucket", how).select("__row.*")
 
 
+def bit_map(hashes: DataFrame, column: str) -> np.ndarray:
+    """2 ** MAP_BITS bits, packed: those of the hashes' first bits are set. Spark builds it in 128 parts."""
+    at = F.shiftrightunsigned(column, 64 - MAP_BITS) + 1
+    parts = (hashes.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect())
+    out = np.zeros((1 << MAP_BITS) // 8, dtype=np.uint8)
+    for r in parts:
+        lo = (r["part"] - 1) * 4096
+        out[lo:lo + len(r["bits"])] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
+
+
+def in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes >> np.uint64(64 - MAP_BITS)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
+
+
 def rows_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string column, null as empty."""
     out = []

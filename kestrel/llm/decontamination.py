@@ -21,13 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import keep_buckets, map_batches, other_buckets, rows_of, written
+from .common import bit_map, in_map, keep_buckets, map_batches, other_buckets, rows_of, written
 
 MATCH, MISS, GAP = 2, -1, -1
 
 
-#: Bits of the maps of wanted words and n-grams, as a power of two.
-MAP_BITS = 22
 #: Tokens whose words are counted at a time.
 COUNT_TOKENS = 1 << 20
 
@@ -44,22 +42,6 @@ def item_words(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return written(items.select(F.monotonically_increasing_id().alias("key"), "id", "words"), "items")
 
 
-def bit_map(hashes: DataFrame, column: str) -> np.ndarray:
-    """2 ** MAP_BITS bits, packed: those of the hashes' first bits are set. Spark builds it in 128 parts."""
-    at = F.shiftrightunsigned(column, 64 - MAP_BITS) + 1
-    parts = (hashes.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect())
-    out = np.zeros((1 << MAP_BITS) // 8, dtype=np.uint8)
-    for r in parts:
-        lo = (r["part"] - 1) * 4096
-        out[lo:lo + len(r["bits"])] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
-
-
-def in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes >> np.uint64(64 - MAP_BITS)
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
-
-
 def word_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """(word, n): how often each word in the map occurs in all of ``docs`` (text); the number of all words has a null word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

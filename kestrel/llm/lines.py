@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import keep_buckets, map_batches, other_buckets, rows_of, written
+from .common import bit_map, in_map, keep_buckets, map_batches, other_buckets, rows_of, written
 
 _LINE = "h1", "h2"
 
@@ -47,7 +47,7 @@ def line_rows(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
             row.append(np.full(len(number), at))
             line.append(number)
             one.append(runs.hash(lo, hi, 1))
-            two.append(runs.hash(lo, hi, 2))
+            two.append(W.Runs(h, second=True).hash(lo, hi))
             near = size >= near_words
             keys = [runs.hash(lo, lo + p, 3) for p in (size // 2, (size - 1) // 2)]
             keys += [runs.hash(hi - p, hi, 4) for p in (size // 2, (size - 1) // 2)]
@@ -76,9 +76,9 @@ def line_words(rows: DataFrame) -> DataFrame:
         for at, starts, _, h in W.each_text(texts):
             number, lo, hi = _lines(texts[at], starts, 1)
             use = np.isin(number, batch.column(1)[at].as_py())
-            lo, hi, runs = lo[use], hi[use], W.Runs(h)
-            one.append(runs.hash(lo, hi, 1))
-            two.append(runs.hash(lo, hi, 2))
+            lo, hi = lo[use], hi[use]
+            one.append(W.Runs(h).hash(lo, hi, 1))
+            two.append(W.Runs(h, second=True).hash(lo, hi))
             found += [h[a:b].tobytes() for a, b in zip(lo, hi)]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(one).view(np.int64)),
                                           pa.array(np.concatenate(two).view(np.int64)), pa.array(found, pa.binary())],
@@ -87,8 +87,8 @@ def line_words(rows: DataFrame) -> DataFrame:
     return map_batches(rows, run, "h1 long, h2 long, words binary")
 
 
-def variants(lines: DataFrame) -> DataFrame:
-    """(key, kind, first) of ``lines`` (words, first): the deletion neighbourhood of each line.
+def variants(lines: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    """(key, kind, first) of ``lines`` (words, first): the deletion neighbourhood of each line, or its keys in a map.
 
     kind 0: the line without a word, the place told apart (lines that share it differ in that word);
     kind 1: the line without a word; kind 2: the line itself, to meet the variants of longer lines.
@@ -104,9 +104,12 @@ def variants(lines: DataFrame) -> DataFrame:
             kinds += [np.zeros(n, np.int8), np.ones(len(keys[-2]), np.int8), np.full(1, 2, np.int8)]
             owner.append(np.full(n + len(keys[-2]) + 1, at))
         if keys:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(kinds)),
-                 batch.column(1).take(pa.array(np.concatenate(owner)))], names=["key", "kind", "first"])
+            key, kind, row = np.concatenate(keys), np.concatenate(kinds), np.concatenate(owner)
+            if wanted is not None:
+                use = in_map(wanted, key)
+                key, kind, row = key[use], kind[use], row[use]
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(kind), batch.column(1).take(pa.array(row))],
+                                             names=["key", "kind", "first"])
 
     rows = lines.select("words", "first")
     return map_batches(rows, run, f"key long, kind byte, first {rows.schema['first'].dataType.simpleString()}")
@@ -125,10 +128,11 @@ def near_lines(lines: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFram
     text = keep_buckets(docs.select(F.struct("id", "th").alias("key"), "text"), F.col("key"), wanted, F.col("key"))
     words = line_words(text.join(wanted, "key").select("text", "wanted"))
     known = written(words.join(active, [*_LINE]).groupBy(*_LINE).agg(F.first("words").alias("words"), F.first("first").alias("first")), "known")
-    keys = variants(known)
     # equal keys: the earliest line of each kind; without two lines a key tells nothing
     least = [F.min(F.when(F.col("kind") == k, F.col("first"))).alias(f"least{k}") for k in (0, 1, 2)]
-    groups = keys.groupBy("key").agg(*least, F.min("first").alias("lo"), F.max("first").alias("hi")).where("lo != hi")
+    groups = variants(known).groupBy("key").agg(*least, F.min("first").alias("lo"), F.max("first").alias("hi")).where("lo != hi")
+    groups = written(groups, "shared")
+    keys = variants(known, bit_map(groups, "key"))  # few keys are shared: the others are not sent again
     other = F.when(F.col("kind") == 0, F.col("least0")).when(F.col("kind") == 1, F.col("least2")).otherwise(F.col("least1"))
     met = (keys.join(groups, "key").select("first", other.alias("earlier")).where("earlier < first")
            .groupBy("first").agg(F.min("earlier").alias("earlier")))
@@ -170,7 +174,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     goes if any line before it is equal or near, whether or not that one stays itself. ``th`` is the
     hash of the text, so that documents that share an id are told apart; rows that repeat id and text
     are one document, and a line of theirs that stays, stays in each. Null and empty texts have no
-    lines; an empty table gives an empty table.
+    lines; an empty table gives an empty table. Bytes that are not UTF-8 are compared as they are, and become
+    U+FFFD in a text that loses lines.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
     lines = written(line_rows(rows, min_words, near_words), "lines")
@@ -203,7 +208,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 texts[at] = b"\n".join(x for i, x in enumerate(texts[at].split(b"\n")) if i not in drop)
             if not gone.is_valid or texts[at].strip(b" \t\n\r\x0b\x0c"):
                 keep.append(at)
-        new = pa.array([x.decode() if t.is_valid else None for x, t in zip(texts, batch.column(1))], pa.string())
+        new = pa.array([x.decode("utf-8", "replace") if t.is_valid else None for x, t in zip(texts, batch.column(1))], pa.string())
         yield pa.RecordBatch.from_arrays([batch.column(0), new], schema=pa.schema(
             [batch.schema.field(0), pa.field("text", pa.string())])).take(pa.array(keep, pa.int64()))
 

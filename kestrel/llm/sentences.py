@@ -1,6 +1,6 @@
 """Substring deduplication by sliding sentence spans.
 
-A sentence ends at a line break or after a word that ends in ".", "!" or "?". The shortest runs of
+A sentence ends at a line break or after a word that ends in ".", "!" or "?", closing quotes and brackets aside. The shortest runs of
 several sentences with enough words that begin and that end at each sentence are hashed; a longer run
 that repeats is covered by such runs, which repeat with it. A run that occurs more than once is kept
 where it comes first, by document and place; sentences covered by any other occurrence go.
@@ -25,7 +25,15 @@ def sentence_starts(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.nda
         return starts
     data = np.frombuffer(text, dtype=np.uint8)
     line = np.searchsorted(np.flatnonzero(data == 10), starts)
-    stop = np.isin(data[ends - 1], (33, 46, 63))
+    # closing quotes and brackets after the mark: ASCII ones, and the last bytes of ” ’ »
+    end, begin = ends.copy(), starts
+    for _ in range(3):
+        one = (end - 1 > begin) & np.isin(data[end - 1], (34, 39, 41, 93, 125))
+        last = data[end - 1]
+        three = (end - 3 > begin) & (data[np.maximum(end - 3, 0)] == 0xE2) & (data[np.maximum(end - 2, 0)] == 0x80) & ((last == 0x9D) | (last == 0x99))
+        two = (end - 2 > begin) & (data[np.maximum(end - 2, 0)] == 0xC2) & (last == 0xBB)
+        end = end - one - 3 * three - 2 * two
+    stop = np.isin(data[end - 1], (33, 46, 63))
     return np.flatnonzero(np.concatenate([[True], stop[:-1] | (line[1:] != line[:-1])]))
 
 
@@ -59,7 +67,7 @@ def span_rows(rows: DataFrame, sentences: int, min_words: int) -> DataFrame:
             at.append(begin)
             size.append(end - begin)
             one.append(runs.hash(lo, hi, 1))
-            two.append(runs.hash(lo, hi, 2))
+            two.append(W.Runs(h, second=True).hash(lo, hi))
         if row:
             take = pa.array(np.concatenate(row))
             yield pa.RecordBatch.from_arrays(
@@ -110,7 +118,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_words: int = 16) -> DataFrame:
     """``docs`` without the sentences of ``repeated_spans``; a text may become "". Other columns are as they were."""
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        new = [without(x, set(g.as_py())).decode() if g.is_valid else t.as_py()
+        new = [without(x, set(g.as_py())).decode("utf-8", "replace") if g.is_valid else t.as_py()
                for x, t, g in zip(rows_of(batch, "text"), batch.column(1), batch.column(2))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())],
                                          schema=pa.schema([batch.schema.field(0), pa.field("text", pa.string())]))

@@ -14,6 +14,8 @@ _SEG = 1 << 17
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
+_BASE2 = 0xC2B2AE3D27D4EB4F | 1
+_INV2 = pow(_BASE2, -1, 1 << 64)
 _STATE: dict[str, np.ndarray] = {}
 
 
@@ -38,6 +40,7 @@ def _tables() -> dict[str, np.ndarray]:
         _STATE["marks"] = space | np.isin(np.arange(256), [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
         _STATE["value"] = mix(low.astype(np.uint64) + np.uint64(0x1234567))
         _STATE["pow"], _STATE["inv"] = _powers(_BASE, _SEG), _powers(_INV, _SEG)
+        _STATE["pow2"], _STATE["inv2"] = _powers(_BASE2, _SEG), _powers(_INV2, _SEG)
     return _STATE
 
 
@@ -127,23 +130,27 @@ def sequence_hash(h: np.ndarray, seed: int = 0) -> np.uint64:
     return mix(np.array([(total + len(h) * 0x2545F4914F6CDD1D + seed * 0x632BE59BD9B4E019) & _MASK], dtype=np.uint64))[0]
 
 
-def powers(n: int) -> np.ndarray:
+def powers(n: int, second: bool = False) -> np.ndarray:
     """1, b, b^2, ... of the order-sensitive hash, modulo 2^64."""
-    return _tables()["pow"][:n] if n <= _SEG else _powers(_BASE, n)
+    return _tables()["pow2" if second else "pow"][:n] if n <= _SEG else _powers(_BASE2 if second else _BASE, n)
 
 
-def inverses(n: int) -> np.ndarray:
-    return _tables()["inv"][:n] if n <= _SEG else _powers(_INV, n)
+def inverses(n: int, second: bool = False) -> np.ndarray:
+    return _tables()["inv2" if second else "inv"][:n] if n <= _SEG else _powers(_INV2 if second else _INV, n)
 
 
 class Runs:
-    """Hashes of any runs of one sequence of word hashes, from sums taken once."""
+    """Hashes of any runs of one sequence of word hashes, from sums taken once.
 
-    def __init__(self, h: np.ndarray):
+    A hash with the ``second`` base does not follow from one with the first: the two are 128 bits.
+    """
+
+    def __init__(self, h: np.ndarray, second: bool = False):
         n = len(h)
+        h = mix(h) if second else h
         self.total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(h * powers(max(1, n))[:n], dtype=np.uint64, out=self.total[1:])
-        self.inverse = inverses(n + 1)
+        np.cumsum(h * powers(max(1, n), second)[:n], dtype=np.uint64, out=self.total[1:])
+        self.inverse = inverses(n + 1, second)
 
     def hash(self, lo: np.ndarray, hi: np.ndarray, seed: int = 0) -> np.ndarray:
         """Hashes of the runs [lo, hi): equal for equal runs wherever they stand."""

@@ -1,7 +1,8 @@
 from collections import Counter
 
 from kestrel.llm.lines import dedup_lines, dropped_lines
-from kestrel.llm.sentences import covered, dedup_spans, repeated_spans
+from kestrel.llm import words as W
+from kestrel.llm.sentences import covered, dedup_spans, repeated_spans, sentence_starts
 
 from . import brute
 
@@ -39,6 +40,17 @@ def test_line_dedup_rewrites_texts_only(spark):
     assert len(unique) > 60
 
 
+QUOTED = "He said: (it ends here.) And “there.” «Or here!» but not.this one \x27so.\x27 Yes."
+
+
+def test_marks_after_a_sentence():
+    raw = QUOTED.encode()
+    starts, ends, _ = W.hash_words(raw)
+    first = sentence_starts(raw, starts, ends)
+    cut = [*starts[first].tolist(), len(raw)]
+    assert [raw[a:b].decode().strip() for a, b in zip(cut, cut[1:])] == ["He said: (it ends here.)", "And “there.”", "«Or here!»", "but not.this one \x27so.\x27", "Yes."]
+
+
 def test_spans_equal_plain_comparison(spark):
     rows = brute.unique_ids(brute.documents())
     frame = brute.frame(spark, rows)
