@@ -42,7 +42,8 @@ class Fit:
     """``max_rows`` bounds the labelled rows a model is fitted on, ``features`` the words it weighs.
 
     A word is weighed if it stands in ``min_texts`` texts or more and a chi-square statistic of
-    ``min_chi`` ties it to the label; identity terms always are.
+    ``min_chi`` ties it to the label; identity terms always are. ``groups`` are those terms, single words, which
+    are swapped for one another; ``counterfactual`` weighs the change of score that a swap makes.
     """
 
     max_rows: int = 20_000
@@ -52,6 +53,7 @@ class Fit:
     ridge: float = 1e-4
     counterfactual: float = 1.0
     steps: int = 400
+    groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS
 
 
 @dataclass(frozen=True)
@@ -78,8 +80,12 @@ def _word_hash(term: str) -> int:
     return int(W.hash_words(term.encode(), "marks")[2][0])
 
 
-def identity_groups() -> list[np.ndarray]:
-    return [np.array([_word_hash(t) for t in group], dtype=np.uint64) for group in IDENTITY_TERMS]
+def identity_groups(groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> list[np.ndarray]:
+    """The hashes of the groups' terms; a term that is no single word can't be met, and is refused."""
+    odd = [t for group in groups for t in group if len(W.hash_words(t.encode(), "marks")[2]) != 1]
+    if odd:
+        raise ValueError(f"identity terms must be single words: {odd[:5]}")
+    return [np.array([_word_hash(t) for t in group], dtype=np.uint64) for group in groups]
 
 
 def distinct_words(batch: pa.RecordBatch, text: str) -> Iterator[np.ndarray]:
@@ -109,8 +115,8 @@ def fit(sample: DataFrame, how: Fit = Fit()) -> Model:
 
     n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     prior = float(np.log((ones + 0.5) / (n - ones + 0.5)))
-    groups = identity_groups()
-    terms = np.unique(np.concatenate(groups))
+    groups = identity_groups(how.groups)
+    terms = np.unique(np.concatenate([*groups, np.empty(0, np.uint64)]))
     if not 0 < ones < n:
         return Model(terms[:0], np.empty(0), prior)
     counted = (map_batches(sample, spell, "word long, label int").groupBy("word")
@@ -124,7 +130,8 @@ def fit(sample: DataFrame, how: Fit = Fit()) -> Model:
         hits = [np.flatnonzero(np.isin(vocab, x)).astype(np.int32).tobytes() for x in distinct_words(batch, "text")]
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(hits, pa.binary())], names=["label", "found"])
 
-    rows = map_batches(sample, index, "label int, found binary").orderBy("found", "label").toPandas()
+    # the sample's bound bounds what comes here; in one order, so that reruns agree
+    rows = map_batches(sample, index, "label int, found binary").toPandas().sort_values(["found", "label"], kind="stable")
     found = [np.frombuffer(x, dtype=np.int32) for x in rows["found"]]
     weights, bias = _descend(found, rows["label"].to_numpy(float), len(vocab),
                              [np.searchsorted(vocab, g) for g in groups], prior, how)
