@@ -623,12 +623,23 @@ def q36_forest_cv(spark, d, num_trees: int = 300, max_depth: int = 30):
                                      num_trees=num_trees, max_depth=max_depth)
 
 
+_FORESTS: dict[tuple, object] = {}
+
+
+def fitted_forest(spark, d, num_trees: int, max_depth: int):
+    """The forest of all labelled rows of a folder, fitted once for a session and its parameters."""
+    key = (spark.sparkContext.applicationId, d, num_trees, max_depth)
+    if key not in _FORESTS:
+        _FORESTS[key] = model.fit_forest(training_frame(_t(spark, d)), LABEL, FEATURES_NUM, FEATURES_TEXT,
+                                         num_trees=num_trees, max_depth=max_depth)
+    return _FORESTS[key]
+
+
 def q37_score_holdout(spark, d, num_trees: int = 300, max_depth: int = 30):
     """Fit on all labelled rows, score a hold-out written as a CSV file, and return
     that file as read (original names and order) with its label column replaced by the score."""
     t = _t(spark, d)
-    fitted = model.fit_forest(training_frame(t), LABEL, FEATURES_NUM, FEATURES_TEXT,
-                              num_trees=num_trees, max_depth=max_depth)
+    fitted = fitted_forest(spark, d, num_trees, max_depth)
     path = scratch_path(spark, "holdout_csv")
     holdout = unlabelled_docs(t).select("doc_id", F.lit(None).cast("double").alias("toxic"), "lang", "source",
                                         "n_chars")

@@ -20,7 +20,7 @@ from kestrel.functions.numeric import exact_sum, round_half_up
 from kestrel.operators import features, model, series, shape, star, stats
 from kestrel.operators.quality import row_counts
 from kestrel.sources.lines import hour_columns, read_declarations, read_sectioned_offers
-from kestrel.sources.sinks import export_single_csv, write_csv
+from kestrel.sources.sinks import export_named_files, export_single_csv, write_csv
 from kestrel.session import case_sensitive
 from kestrel.sources.tables import (bulk_load_delimited, project_master, read_header_names, read_headered_csv,
                                     with_auto_timestamps)
@@ -169,6 +169,11 @@ def ticket_export(consolidated: DataFrame, path: str) -> None:
     export_single_csv(consolidated, path, [F.col("total_vendido").desc()])
 
 
+def ticket_unload(consolidated: DataFrame, prefix: str, max_records: int = 0) -> list[str]:
+    """The same rows as files named ``<prefix>000``, ``<prefix>001``, ..., written by one task, over files of these names."""
+    return export_named_files(consolidated, prefix, [F.col("total_vendido").desc()], max_records)
+
+
 # ---------------------------------------------------------------- fraud model
 
 # Identifier, date and target columns left out of the features.

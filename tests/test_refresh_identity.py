@@ -9,6 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from kestrel.functions.temporal import auto_timestamp
 from kestrel.operators import layout, model, quality, star, stats
+from kestrel.plans import jobs
 from kestrel.session import session_setting
 from kestrel.sources import lines as L
 from kestrel.sources.sinks import export_named_files, insert_with_identity
@@ -208,3 +209,19 @@ def test_more_timestamp_shapes(spark):
              "2024-03-05 06:07:00.1234567": None, "x" * 5000: None, "31 foo 2024": None}
     got = spark.createDataFrame([(k,) for k in forms], "s string").select("s", auto_timestamp("s").alias("t")).collect()
     assert {r["s"]: r["t"] for r in got} == forms
+
+
+def test_unload_of_the_consolidation(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 5), ("b", 9), ("c", 7)], "nombre_evento string, total_vendido int")
+    names = jobs.ticket_unload(rows, str(tmp_path / "ventas_"), max_records=2)
+    assert [open(n).read().split() for n in names] == [["nombre_evento,total_vendido", "b,9", "c,7"], ["nombre_evento,total_vendido", "a,5"]]
+
+
+def test_a_master_row_that_passes_by_position(spark, tmp_path):
+    """The kept columns stay in file order and take the new names by position: the agent may stand in the second."""
+    cols = ["Tipo de central (Hidro, Termo, Filo, Menor)", "Nombre visible Agente", "AGENTE (OFEI)", "CENTRAL (dDEC, dSEGDES, dPRU…)"]
+    m, d = tmp_path / "master.csv", tmp_path / "ddec.txt"
+    m.write_text("\n".join(",".join(f'"{v}"' for v in r) for r in [cols, ["x", "EMGESA", "PLANT_A", "H"], ["x", "OTRO", "PLANT_A", "H"]]) + "\n", encoding="utf-8")
+    d.write_text("PLANT_A," + ",".join(["2"] * 24), encoding="utf-8")
+    got = [(r["Nombre_Agente"], r["Agente_OFEI"], r["Tipo_Central"], r["Suma_Horas"]) for r in jobs.declarations_job(spark, str(m), str(d)).collect()]
+    assert got == [("x", "EMGESA", "H", 48.0)]
