@@ -155,7 +155,7 @@ def set_digests(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) ->
 
 
 #: Signatures that a task gathers before it sends them on.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 
 
 def signature_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame:
@@ -184,7 +184,7 @@ def signature_rows(docs: DataFrame, text_col: str, sim: Similarity) -> DataFrame
                     d = digest(x)
                     if not len(x) or d in seen:
                         continue
-                    if len(seen) >= 1 << 19:  # the memory of what was sent only saves repeats
+                    if len(seen) >= 1 << 17:  # the memory of what was sent only saves repeats
                         seen.clear()
                     seen.add(d)
                     if len(x) >= bands[-2]:
@@ -315,6 +315,10 @@ def unpacked(cells: list[bytes]) -> np.ndarray:
     return out
 
 
+#: Pairs whose counts a task has in memory at a time.
+PAIRS = 1 << 13
+
+
 def near_pairs(start: np.ndarray, far: np.ndarray, bipartite: np.ndarray, n: np.ndarray, cells: list[bytes], sim: Similarity) -> list[tuple[int, int]]:
     """A spanning forest of the pairs whose counts allow a link, inside the groups that begin at ``start``.
 
@@ -323,7 +327,7 @@ def near_pairs(start: np.ndarray, far: np.ndarray, bipartite: np.ndarray, n: np.
     size = np.diff(np.append(start, len(n)))
     left_in = np.repeat(start + size, size) - np.arange(len(n))  # rows of the group from this one on
     counts = unpacked(cells)
-    cut = np.minimum(counts, 15)
+    cut = np.minimum(counts, 15).astype(np.int8)
     small = np.array([len(c) < counts.shape[1] for c in cells])
     coarse = cut.reshape(len(n), -1, 8).sum(axis=2, dtype=np.int16)
     root, forest = np.arange(len(n)), []
@@ -335,13 +339,15 @@ def near_pairs(start: np.ndarray, far: np.ndarray, bipartite: np.ndarray, n: np.
         use = (root[a] != root[b]) & (~bipartite[a] | (far[a] != far[b]))
         use &= np.minimum(n[a], n[b]) * sim.den >= np.maximum(n[a], n[b]) * sim.num
         a, b = a[use], b[use]
-        for at in range(0, len(a), 1 << 15):
-            x, y = a[at:at + (1 << 15)], b[at:at + (1 << 15)]
+        for at in range(0, len(a), PAIRS):
+            x, y = a[at:at + PAIRS], b[at:at + PAIRS]
             bound = most[x] + most[y]
             fits = np.abs(coarse[x] - coarse[y]).sum(axis=1, dtype=np.int32) * (sim.den + sim.num) <= bound
             x, y, bound = x[fits], y[fits], bound[fits]
             mixed = small[x] | small[y]
-            apart = np.abs(np.where(mixed[:, None], cut[x], counts[x]) - np.where(mixed[:, None], cut[y], counts[y])).sum(axis=1, dtype=np.int32)
+            apart = np.empty(len(x), dtype=np.int32)
+            for use, held in ((mixed, cut), (~mixed, counts)):
+                apart[use] = np.abs(held[x[use]] - held[y[use]]).sum(axis=1, dtype=np.int32)
             fits = apart * (sim.den + sim.num) <= bound
             for i, j in zip(x[fits].tolist(), y[fits].tolist()):
                 if root[i] != root[j]:
