@@ -33,7 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -365,12 +365,13 @@ def _nodes(digests: pa.Array, n: pa.Array) -> pa.StructArray:
     return pa.StructArray.from_arrays([digests, n], names=["digest", "n"])
 
 
-def _dealt(rows: DataFrame, key: str, chunks: str, *columns: str) -> DataFrame:
+def _dealt(rows: DataFrame, key: str, chunks: str, share: Column, *columns: str) -> DataFrame:
     """The sets of long groups to the pairs (c, j) of a chunk and a block of far sets: the chunk's own, and the far ones.
 
-    ``rows`` has a key, a digest, its ``chunk``, the group's number of ``chunks``, and ``away`` for far sets.
+    ``rows`` has a key, a digest, its ``chunk``, the group's number of ``chunks``, and ``away`` for far sets;
+    ``share`` is the part of a block that a far set fills.
     """
-    blocks = rows.where("away").groupBy(key).agg(F.ceil(F.count("*") / GROUP).cast("int").alias("blocks"))
+    blocks = rows.where("away").groupBy(key).agg(F.ceil(F.sum(share)).cast("int").alias("blocks"))
     rows = rows.join(blocks, key)
     block = F.pmod(F.xxhash64("digest", F.lit(7)), F.col("blocks")).cast("int")
     own = rows.select(key, *columns, F.col("chunk").alias("c"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(False).alias("far"))
@@ -415,7 +416,7 @@ def candidate_pairs(groups: DataFrame, nodes: DataFrame, sim: Similarity) -> Dat
     near = None
     if not groups.where("chunk >= 0").isEmpty():
         near, long_rows = _near_hubs(written(placed.where("chunk >= 0"), "long"), sim)
-        dealt = dealt.union(_dealt(long_rows, "gid", "chunks", "digest", "n", "cells").select(*columns, "c", "j", "far"))
+        dealt = dealt.union(_dealt(long_rows, "gid", "chunks", F.lit(1.0) / GROUP, "digest", "n", "cells").select(*columns, "c", "j", "far"))
     order = ["gid", "c", "j"]
     edges = dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, f"a {_NODE}, b {_NODE}")
     return edges if near is None else edges.union(near)
@@ -464,7 +465,7 @@ def _block_pairs(sets: DataFrame, *columns: str) -> DataFrame:
 
 
 #: Sets, and features of sets, that a block of a cluster holds on average at most.
-BLOCK_SETS, BLOCK_FEATURES = 1024, 1 << 20
+BLOCK_SETS, BLOCK_FEATURES = 1024, 1 << 19
 
 
 def compare(sizes: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
@@ -574,7 +575,8 @@ def link_edges(sets: DataFrame, sim: Similarity) -> DataFrame:
     kind = f"cluster {rows.schema['cluster'].dataType.simpleString()}, chunk int, chunks int, digest long, n long, features binary, away boolean"
     judged = written(rows.withColumn("is_hub", F.lit(False)).unionByName(hub_rows).groupBy("cluster", "chunk").applyInArrow(meet_hub, kind), "judged")
     near = judged.where("not away").join(hubs, "cluster").select(F.struct("digest", "n").alias("a"), F.col("hub").alias("b"))
-    rest = _dealt(judged, "cluster", "chunks", "digest", "n", "features").groupBy("cluster", "c", "j").applyInArrow(run, edges)
+    share = F.greatest(F.lit(1.0) / BLOCK_SETS, F.col("n") / BLOCK_FEATURES)
+    rest = _dealt(judged, "cluster", "chunks", share, "digest", "n", "features").groupBy("cluster", "c", "j").applyInArrow(run, edges)
     return short.union(near).union(rest)
 
 
