@@ -15,6 +15,7 @@ an inner mark are identifiers too, whatever their form.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -204,14 +205,30 @@ def occurrences(rows: DataFrame) -> DataFrame:
 
 
 def slots(rows: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(id, th, pattern, start, stop, use): the tokens of all ``rows`` (id, th, text) that may stand in a pattern's slot.
+    """(id, th, pattern, start, stop, use, n): the tokens of all ``rows`` (id, th, text) that may stand in a pattern's slot.
 
-    ``use`` is "known" for a seed or candidate, "new" for a token that looks like an identifier, else "plain".
-    Patterns are looked up in a bit map, so a join with them must follow.
+    ``use`` is "new" for a token that looks like an identifier; seeds and candidates ("known") and other words
+    ("plain") are counted by pattern in each task, without places. Patterns are looked up in a bit map, so a join
+    with them must follow.
     """
     wanted = bit_map(patterns, "pattern")
+    names = ["id", "th", "pattern", "start", "stop", "use", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[int, str]] = Counter()
+        kinds = None
+        for whole in batches:
+            kinds = whole.schema.field(0).type, whole.schema.field(1).type
+            step = max(1, min(whole.num_rows, int(whole.num_rows * (2 << 20) / max(1, whole.nbytes))))
+            for begin in range(0, whole.num_rows, step):
+                yield from tokens(whole.slice(begin, step), counts)
+        if counts:
+            n = len(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(n, kinds[0]), pa.nulls(n, kinds[1]), pa.array([k for k, _ in counts], pa.int64()), pa.nulls(n, pa.int64()),
+                 pa.nulls(n, pa.int64()), pa.array([u for _, u in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=names)
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def tokens(batch: pa.RecordBatch, counts: Counter) -> Iterator[pa.RecordBatch]:
         got = []
         for at, raw in enumerate(rows_of(batch, "text")):
             around = Around.of(raw)
@@ -235,15 +252,19 @@ def slots(rows: DataFrame, patterns: DataFrame) -> DataFrame:
                 near = int(np.searchsorted(begins, b)) - 1
                 known = near >= 0 and spans[near][1] > a
                 use = "known" if known else "new" if a < b and IDENTIFIER.search(text, a, b) else "plain"
-                got += [(at, int(keys[k, j].view(np.int64)), a, b, use) for j in np.flatnonzero(hit[k])]
+                found = [int(keys[k, j].view(np.int64)) for j in np.flatnonzero(hit[k])]
+                if use == "new":
+                    got += [(at, x, a, b) for x in found]
+                else:
+                    counts.update((x, use) for x in found)
         if got:
             at, *cols = zip(*got)
             at = pa.array(at, pa.int64())
-            kinds = pa.int64(), pa.int64(), pa.int64(), pa.string()
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[pa.array(x, t) for x, t in zip(cols, kinds)]],
-                                             names=["id", "th", "pattern", "start", "stop", "use"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[pa.array(x, pa.int64()) for x in cols],
+                                              pa.array(["new"] * len(at)), pa.array([1] * len(at), pa.int64())], names=names)
 
-    return map_batches(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, th long, pattern long, start long, stop long, use string")
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, th long, pattern long, start long, stop long, use string, n long")
 
 
 def slot_spans(rows: DataFrame, patterns: DataFrame, how: Bootstrap) -> DataFrame:
@@ -255,10 +276,11 @@ def slot_spans(rows: DataFrame, patterns: DataFrame, how: Bootstrap) -> DataFram
     if patterns.isEmpty():
         return rows.select("id", "th", F.lit("").alias("kind"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("stop")).where("false")
     found = written(slots(rows, patterns), "slots")
-    share = (found.groupBy("pattern").agg(F.count_if(F.col("use") == "known").alias("known"), F.count_if(F.col("use") != "new").alias("n"))
+    n = F.coalesce(F.sum(F.when(F.col("use") == "known", F.col("n"))), F.lit(0)).alias("known")
+    share = (found.groupBy("pattern").agg(n, F.coalesce(F.sum(F.when(F.col("use") != "new", F.col("n"))), F.lit(0)).alias("n"))
              .where(F.col("known") >= how.confidence * F.col("n")))
     best = F.max(F.struct("confidence", "kind")).getField("kind").alias("kind")
-    return (found.where("use = 'new'").join(share, "pattern").join(patterns, "pattern").groupBy("id", "th", "start", "stop").agg(best)
+    return (found.where("use = 'new'").drop("n").join(share, "pattern").join(patterns, "pattern").groupBy("id", "th", "start", "stop").agg(best)
             .select("id", "th", "kind", "start", "stop"))
 
 
