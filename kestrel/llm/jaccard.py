@@ -133,8 +133,16 @@ def digest(features: np.ndarray) -> int:
     return int(W.mix(np.array([total], dtype=np.uint64)).view(np.int64)[0])
 
 
-#: Parts of the feature domain in which a set's features are counted, as a power of two.
-CELL_BITS = 8
+#: Fewest and most parts of the feature domain in which a set's features are counted, as powers of two. Between
+#: them there are as many parts as hold four features or fewer each on average, so that the counts of long sets,
+#: too, tell apart what overlaps by half.
+CELL_BITS = (8, 13)
+
+
+def counted(features: np.ndarray) -> bytes:
+    """The packed numbers of a set's features in parts of the domain."""
+    bits = int(np.clip((len(features) // 4).bit_length(), *CELL_BITS))
+    return packed(np.bincount((features >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits))
 
 
 def set_digests(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) -> DataFrame:
@@ -143,8 +151,7 @@ def set_digests(docs: DataFrame, id_col: str, text_col: str, sim: Similarity) ->
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = []
         for _, x in shingle_sets(batch, "text", sim.n):
-            cells = np.bincount((x >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS)
-            found.append((len(x), digest(x), packed(cells)))
+            found.append((len(x), digest(x), counted(x)))
         count, digests, cells = zip(*found)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(count, pa.int64()), pa.array(digests, pa.int64()),
@@ -293,30 +300,73 @@ def signature_groups(rows: DataFrame) -> DataFrame:
 
 
 def packed(counts: np.ndarray) -> bytes:
-    """Counts of at most 255 as bytes, or two to a byte, cut off at 15, where the set is small."""
-    if counts.sum() >= 8 * len(counts):
+    """Counts two to a byte, cut off at 15; of the most parts there are, as bytes where they hold eight or more on average."""
+    if len(counts) == 1 << CELL_BITS[1] and counts.sum() >= 8 * len(counts):
         return np.minimum(counts, 255).astype(np.uint8).tobytes()
     low = np.minimum(counts, 15).astype(np.uint8)
     return (low[0::2] | (low[1::2] << 4)).tobytes()
 
 
-def unpacked(cells: list[bytes]) -> np.ndarray:
-    """Counts in rows; where one row is cut off at 15 all are, and the differences stay lower bounds."""
-    width = 1 << CELL_BITS
-    small = np.array([len(c) < width for c in cells])
-    out = np.zeros((len(cells), width), dtype=np.int16)
-    if small.any():
-        both = np.frombuffer(b"".join(c for c, x in zip(cells, small) if x), dtype=np.uint8).reshape(-1, width // 2)
-        half = np.empty((len(both), width), dtype=np.int16)
-        half[:, 0::2], half[:, 1::2] = both & 15, both >> 4
-        out[small] = half
-    if not small.all():
-        out[~small] = np.frombuffer(b"".join(c for c, x in zip(cells, small) if not x), dtype=np.uint8).reshape(-1, width)
-    return out
+#: Pairs whose counts in 256 parts a task has in memory at a time; fewer where there are more parts.
+PAIRS = 1 << 13
 
 
-#: Pairs whose counts a task has in memory at a time.
-PAIRS = 1 << 13
+class Counts:
+    """The counts of sets in parts of the domain, by the number of parts.
+
+    Two sets are compared in the parts of the one that has fewer: the other's are added up. Counts that either set has
+    cut off are cut off in both, so the differences of counts add up to no more than the sets differ by.
+    """
+
+    def __init__(self, cells: list[bytes]) -> None:
+        most = 1 << CELL_BITS[1]
+        length = np.array([len(c) for c in cells], dtype=np.int64)
+        self.whole = length == most  # a byte for each part
+        self.width = np.where(self.whole, most, 2 * length)
+        self.at: dict[int, np.ndarray] = {}
+        self.held: dict[int, np.ndarray] = {}  # all sets of so many parts or more
+        finer = 0
+        for width in sorted(set(self.width.tolist()), reverse=True):
+            rows = np.flatnonzero(self.width >= width)
+            self.at[width] = np.zeros(len(cells), dtype=np.int64)
+            self.at[width][rows] = np.arange(len(rows))
+            out = np.empty((len(rows), width), dtype=np.uint8)
+            if finer:
+                above = self.width >= finer
+                sums = self.held[finer].reshape(-1, width, finer // width).sum(axis=2, dtype=np.uint16)
+                out[self.at[width][above]] = np.minimum(sums, 15)
+            for use, wide in ((self.width == width) & ~self.whole, False), ((self.width == width) & self.whole, True):
+                if use.any():
+                    own = np.frombuffer(b"".join(cells[k] for k in np.flatnonzero(use)), dtype=np.uint8).reshape(use.sum(), -1)
+                    out[self.at[width][use]] = own if wide else np.stack([own & 15, own >> 4], axis=2).reshape(len(own), -1)
+            self.held[width] = out
+            finer = width
+
+    def coarse(self) -> np.ndarray:
+        """Counts in an eighth of the parts that all sets have."""
+        if not self.held:
+            return np.zeros((0, 1), dtype=np.int16)
+        least = min(self.held)
+        return np.minimum(self.held[least], 15).reshape(len(self.width), -1, 8).sum(axis=2, dtype=np.int16)
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How much the sets ``x`` and ``y``, pair by pair, differ in their counts."""
+        out = np.zeros(len(x), dtype=np.int32)
+        shared = np.minimum(self.width[x], self.width[y])
+        for width in np.unique(shared).tolist():
+            pairs, at, held = np.flatnonzero(shared == width), self.at[width], self.held[width]
+            step = max(1, (PAIRS << CELL_BITS[0]) // width)
+            for lo in range(0, len(pairs), step):
+                use = pairs[lo:lo + step]
+                a, b = held[at[x[use]]], held[at[y[use]]]
+                cut = ~(self.whole[x[use]] & self.whole[y[use]])
+                if width == 1 << CELL_BITS[1] and not cut.all():
+                    a[cut], b[cut] = np.minimum(a[cut], 15), np.minimum(b[cut], 15)
+                    out[use] = np.abs(a.astype(np.int16) - b).sum(axis=1, dtype=np.int32)
+                else:
+                    a, b = np.minimum(a, 15).view(np.int8), np.minimum(b, 15).view(np.int8)
+                    out[use] = np.abs(a - b).sum(axis=1, dtype=np.int32)
+        return out
 
 
 def near_pairs(start: np.ndarray, far: np.ndarray, bipartite: np.ndarray, n: np.ndarray, cells: list[bytes], sim: Similarity) -> list[tuple[int, int]]:
@@ -326,10 +376,8 @@ def near_pairs(start: np.ndarray, far: np.ndarray, bipartite: np.ndarray, n: np.
     """
     size = np.diff(np.append(start, len(n)))
     left_in = np.repeat(start + size, size) - np.arange(len(n))  # rows of the group from this one on
-    counts = unpacked(cells)
-    cut = np.minimum(counts, 15).astype(np.int8)
-    small = np.array([len(c) < counts.shape[1] for c in cells])
-    coarse = cut.reshape(len(n), -1, 8).sum(axis=2, dtype=np.int16)
+    counts = Counts(cells)
+    coarse = counts.coarse()
     root, forest = np.arange(len(n)), []
     most = n * (sim.den - sim.num)
     group_of = np.repeat(np.arange(len(start)), size)
@@ -344,11 +392,7 @@ def near_pairs(start: np.ndarray, far: np.ndarray, bipartite: np.ndarray, n: np.
             bound = most[x] + most[y]
             fits = np.abs(coarse[x] - coarse[y]).sum(axis=1, dtype=np.int32) * (sim.den + sim.num) <= bound
             x, y, bound = x[fits], y[fits], bound[fits]
-            mixed = small[x] | small[y]
-            apart = np.empty(len(x), dtype=np.int32)
-            for use, held in ((mixed, cut), (~mixed, counts)):
-                apart[use] = np.abs(held[x[use]] - held[y[use]]).sum(axis=1, dtype=np.int32)
-            fits = apart * (sim.den + sim.num) <= bound
+            fits = counts.apart(x, y).astype(np.int64) * (sim.den + sim.num) <= bound
             for i, j in zip(x[fits].tolist(), y[fits].tolist()):
                 if root[i] != root[j]:
                     lo = start[group_of[i]]
@@ -427,9 +471,8 @@ def _near_hubs(rows: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, hub = batch.column("n").to_numpy(), batch.column("hub")
-            both = unpacked(batch.column("cells").to_pylist() + hub.field("cells").to_pylist())
-            both = np.minimum(both, 15)
-            apart = np.abs(both[:len(n)] - both[len(n):]).sum(axis=1, dtype=np.int32)
+            both = Counts(batch.column("cells").to_pylist() + hub.field("cells").to_pylist())
+            apart = both.apart(np.arange(len(n)), np.arange(len(n)) + len(n)).astype(np.int64)
             away = apart * (sim.den + sim.num) > (n + hub.field("n").to_numpy()) * (sim.den - sim.num)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(k) for k in ("gid", "chunk", "chunks", "digest", "n", "cells")], _nodes(hub.field("digest"), hub.field("n")),

@@ -142,3 +142,34 @@ def test_components_of_random_links(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: parts.find(x) for x in linked}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_counts_never_exceed_the_difference():
+    """Sets of any two sizes, near and far: the filter keeps every pair that may be linked."""
+    rng = np.random.default_rng(4)
+    fresh = lambda n: W.mix(rng.integers(0, 1 << 62, n).astype(np.uint64))
+    sets = []
+    for size in (3, 200, 900, 1100, 5000, 20_000, 40_000, 100_000):
+        base = np.unique(fresh(size))
+        for share in (1.0, 0.95, 0.8, 0.4):
+            sets.append(np.unique(np.concatenate([base[rng.random(len(base)) < share], fresh(int(size * (1 - share)))])))
+    crowded = np.unique(fresh(9000) >> np.uint64(5))  # all in the first parts of the domain
+    sets += [crowded, crowded[50:], crowded[: len(crowded) // 8]]
+    counts = jaccard.Counts([jaccard.counted(x) for x in sets])
+    x, y = (np.array(v) for v in zip(*[(i, j) for i in range(len(sets)) for j in range(len(sets))]))
+    real = np.array([len(np.setxor1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x, y)])
+    assert (counts.apart(x, y) <= real).all()
+    assert (np.abs(counts.coarse()[x] - counts.coarse()[y]).sum(axis=1) <= real).all()
+
+
+@pytest.mark.parametrize("size", [300, 5000, 30_000])
+def test_counts_part_long_sets_that_share_half(size):
+    rng, sim = np.random.default_rng(6), Similarity(5, 80, 100)
+    fresh = lambda n: W.mix(rng.integers(0, 1 << 62, n).astype(np.uint64))
+    shared = fresh(size // 2)
+    sets = [np.unique(np.concatenate([shared, fresh(size // 2)])) for _ in range(20)]
+    near = [np.unique(np.concatenate([sets[0][size // 20:], fresh(size // 20)]))]
+    n = np.array([len(x) for x in sets + near])
+    far = np.zeros(len(n), dtype=bool)
+    found = jaccard.near_pairs(np.array([0]), far, far, n, [jaccard.counted(x) for x in sets + near], sim)
+    assert found == [(0, 20)]
