@@ -134,14 +134,14 @@ def digest(features: np.ndarray) -> int:
 
 
 #: Fewest and most parts of the feature domain in which a set's features are counted, as powers of two. Between
-#: them there are as many parts as hold four features or fewer each on average, so that the counts of long sets,
+#: them there are as many parts as hold eight features or fewer each on average, so that the counts of long sets,
 #: too, tell apart what overlaps by half.
 CELL_BITS = (8, 13)
 
 
 def counted(features: np.ndarray) -> bytes:
     """The packed numbers of a set's features in parts of the domain."""
-    bits = int(np.clip((len(features) // 4).bit_length(), *CELL_BITS))
+    bits = int(np.clip((len(features) // 8).bit_length(), *CELL_BITS))
     return packed(np.bincount((features >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits))
 
 
@@ -333,12 +333,18 @@ class Counts:
             out = np.empty((len(rows), width), dtype=np.uint8)
             if finer:
                 above = self.width >= finer
-                sums = self.held[finer].reshape(-1, width, finer // width).sum(axis=2, dtype=np.uint16)
-                out[self.at[width][above]] = np.minimum(sums, 15)
+                sums = np.minimum(self.held[finer], 15)
+                while sums.shape[1] > width:
+                    sums = np.minimum(sums[:, 0::2] + sums[:, 1::2], 15)
+                out[self.at[width][above]] = sums
             for use, wide in ((self.width == width) & ~self.whole, False), ((self.width == width) & self.whole, True):
                 if use.any():
                     own = np.frombuffer(b"".join(cells[k] for k in np.flatnonzero(use)), dtype=np.uint8).reshape(use.sum(), -1)
-                    out[self.at[width][use]] = own if wide else np.stack([own & 15, own >> 4], axis=2).reshape(len(own), -1)
+                    if wide:
+                        out[self.at[width][use]] = own
+                    else:
+                        out[self.at[width][use], 0::2] = own & 15
+                        out[self.at[width][use], 1::2] = own >> 4
             self.held[width] = out
             finer = width
 
@@ -360,12 +366,12 @@ class Counts:
                 use = pairs[lo:lo + step]
                 a, b = held[at[x[use]]], held[at[y[use]]]
                 cut = ~(self.whole[x[use]] & self.whole[y[use]])
-                if width == 1 << CELL_BITS[1] and not cut.all():
+                if width == 1 << CELL_BITS[1]:
                     a[cut], b[cut] = np.minimum(a[cut], 15), np.minimum(b[cut], 15)
                     out[use] = np.abs(a.astype(np.int16) - b).sum(axis=1, dtype=np.int32)
-                else:
-                    a, b = np.minimum(a, 15).view(np.int8), np.minimum(b, 15).view(np.int8)
-                    out[use] = np.abs(a - b).sum(axis=1, dtype=np.int32)
+                else:  # at most 15 each, so 16 of them add up in a byte: eight bytes at a time
+                    d = np.abs(a.view(np.int8) - b.view(np.int8)).view(np.uint64)
+                    out[use] = d.reshape(len(d), 16, -1).sum(axis=1).view(np.uint8).sum(axis=1, dtype=np.int32)
         return out
 
 

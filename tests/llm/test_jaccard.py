@@ -149,14 +149,14 @@ def test_counts_never_exceed_the_difference():
     rng = np.random.default_rng(4)
     fresh = lambda n: W.mix(rng.integers(0, 1 << 62, n).astype(np.uint64))
     sets = []
-    for size in (3, 200, 900, 1100, 5000, 20_000, 40_000, 100_000):
+    for size in (3, 200, 1100, 5000, 20_000, 70_000):
         base = np.unique(fresh(size))
-        for share in (1.0, 0.95, 0.8, 0.4):
+        for share in (1.0, 0.9, 0.4):
             sets.append(np.unique(np.concatenate([base[rng.random(len(base)) < share], fresh(int(size * (1 - share)))])))
     crowded = np.unique(fresh(9000) >> np.uint64(5))  # all in the first parts of the domain
     sets += [crowded, crowded[50:], crowded[: len(crowded) // 8]]
     counts = jaccard.Counts([jaccard.counted(x) for x in sets])
-    x, y = (np.array(v) for v in zip(*[(i, j) for i in range(len(sets)) for j in range(len(sets))]))
+    x, y = (np.array(v) for v in zip(*[(i, j) for i in range(len(sets)) for j in range(i)]))
     real = np.array([len(np.setxor1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x, y)])
     assert (counts.apart(x, y) <= real).all()
     assert (np.abs(counts.coarse()[x] - counts.coarse()[y]).sum(axis=1) <= real).all()
