@@ -55,17 +55,32 @@ def fit_forest(train: DataFrame, label: str, num_cols, text_cols, **kw) -> Pipel
     return forest_pipeline(label, num_cols, text_cols, **kw).fit(_with_label(train, label))
 
 
+def _transformed(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """M7: the rows with the forest's outputs, in the order they had.
+
+    Each partition is sorted by the features before the forest: rows that follow each other then pass
+    mostly the same nodes, which are still in the processor's cache. A deep forest takes more than
+    the cache holds, and rows in any order wait for the memory at every node.
+    """
+    *prepare, forest = model.stages
+    ready = df.withColumn("__label", F.lit(0.0)) if "__label" not in df.columns else df
+    for stage in prepare:
+        ready = stage.transform(ready)
+    ready = ready.select("*", vector_to_array(forest.getFeaturesCol()).alias("__by"), F.monotonically_increasing_id().alias("__at"))
+    scored = forest.transform(ready.sortWithinPartitions("__by"))
+    # numbers given after the forest: without them Spark drops a sort that another one follows
+    return scored.withColumn("__then", F.monotonically_increasing_id()).sortWithinPartitions("__at", "__then")
+
+
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
     """M7: class-1 probability next to the input columns."""
-    scored = model.transform(df.withColumn("__label", F.lit(0.0)) if "__label" not in df.columns else df)
-    return scored.select(*df.columns, vector_to_array("probability").getItem(1).alias(out))
+    return _transformed(model, df).select(*df.columns, vector_to_array("probability").getItem(1).alias(out))
 
 
 def class_scores(model: PipelineModel, df: DataFrame, out: Sequence[str]) -> DataFrame:
     """M7: the probability of each class in the order of the classes, next to the input columns."""
-    scored = model.transform(df.withColumn("__label", F.lit(0.0)) if "__label" not in df.columns else df)
     both = vector_to_array("probability")
-    return scored.select(*df.columns, *[both.getItem(k).alias(name) for k, name in enumerate(out)])
+    return _transformed(model, df).select(*df.columns, *[both.getItem(k).alias(name) for k, name in enumerate(out)])
 
 
 def auc(df: DataFrame, label: str, score_col: str, out: str = "auc") -> DataFrame:

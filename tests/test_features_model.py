@@ -110,3 +110,19 @@ def test_forest_pipeline_scores_and_cv(spark):
     cv = {r["fold"]: r["auc"] for r in model.cross_validated_auc(folds, "y", ["x"], ["c"], "fold",
                                                                num_trees=10, max_depth=5).collect()}
     assert set(cv) == {0, 1, 2, -1, -2} and cv[-1] > 0.7
+
+
+def test_rows_reach_the_forest_sorted_by_features_and_keep_their_order(spark):
+    rnd = random.Random(5)
+    rows = [(i % 150 if i % 9 else None, None if rnd.random() < 0.1 else float(rnd.randrange(40)),
+             rnd.choice(["a", "b", "c", None]), rnd.randrange(2)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, x double, c string, y int").repartition(3).localCheckpoint()
+    fitted = model.fit_forest(df, "y", ["x"], ["c"], num_trees=10, max_depth=8)
+    gone = df.drop("y").where("id is null or id < 140")
+    plain = fitted.transform(gone.withColumn("__label", F.lit(0.0)))
+    both = model.vector_to_array("probability")
+    scored, classes = model.score(fitted, gone, "p"), model.class_scores(fitted, gone, ["p0", "p1"])
+    assert scored.collect() == plain.select("id", "x", "c", both[1].alias("p")).collect()
+    assert classes.collect() == plain.select("id", "x", "c", both[0].alias("p0"), both[1].alias("p1")).collect()
+    for q in (scored, scored.agg(F.avg("p"), F.count_if(F.col("p") >= 0.5))):
+        assert "Sort [__by" in q._jdf.queryExecution().optimizedPlan().toString()
